@@ -7,16 +7,18 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 HOT_KEYS = 1000
+HOT_ROWS = 5_000_000
 
 
-def hot_keys(counts: DataFrame, keys: list[str], n: str, limit: int = HOT_KEYS) -> DataFrame:
-    """Keys holding more than ``1/limit`` of all rows.
+def hot_keys(counts: DataFrame, keys: list[str], n: str, rows: int = HOT_ROWS, limit: int = HOT_KEYS) -> DataFrame:
+    """The keys with the most rows: at most ``limit`` keys of at least ``rows`` rows each.
 
-    ``counts`` has one row per key with its number of rows. Fewer than ``limit``
-    keys can hold that share, which bounds the size of the result.
+    ``counts`` has one row per key with its number of rows. A key left out
+    either fits a task well or holds less than ``1/limit`` of all rows. Only
+    the way a row takes depends on this choice, never the result.
     """
-    total = counts.agg(F.sum(n).alias("total")).scalar()
-    return counts.where(F.col(n) * limit > total).select(*keys)
+    biggest = counts.where(F.col(n) >= rows).orderBy(F.desc(n), *keys).limit(limit)
+    return biggest.select(*keys)
 
 
 def _renamed(df: DataFrame, keys: list[str], prefix: str) -> DataFrame:
@@ -35,18 +37,19 @@ def lookup_join(
     how: str = "inner",
     null_safe: bool = False,
     counts: DataFrame | None = None,
-    limit: int = HOT_KEYS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add the columns of one or more ``lookups`` to ``rows``, where any key may be hot.
 
     A lookup has at most one row per key. Rows of hot keys never move: they
-    meet their fewer than ``limit`` lookup rows in a broadcast join. All other
+    meet their at most ``HOT_KEYS`` lookup rows in a broadcast join. All other
     rows are joined by an ordinary shuffle, in which no key can dominate. With no
     hot key the broadcast turns out empty and adaptive execution drops that
     branch.
 
     ``how`` is ``inner`` or ``left``. ``counts`` may pass a count per key (keys
-    and ``n``) that is needed anyway.
+    and ``n``) that is needed anyway. ``hot_rows`` is the number of rows from
+    which on a key counts as hot.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type: {how}")
@@ -57,7 +60,7 @@ def lookup_join(
 
     # Both branches compare null-safely with the hot keys, so that each row
     # takes exactly one of them.
-    hot = _renamed(hot_keys(counts, keys, "n", limit), keys, "_h_")
+    hot = _renamed(hot_keys(counts, keys, "n", hot_rows), keys, "_h_")
     hot_lookup, cold = hot, rows.join(F.broadcast(hot), _match(keys, "_h_", True), "left_anti")
     for number, lookup in enumerate(lookups):
         own = f"_l{number}_"
@@ -65,5 +68,5 @@ def lookup_join(
         cold = cold.join(lookup, _match(keys, own, null_safe), how)
         picked = lookup.join(F.broadcast(hot), _match(keys, "_h_", null_safe, own), "left_semi")
         hot_lookup = hot_lookup.join(F.broadcast(picked), _match(keys, own, null_safe, "_h_"), how)
-    hot_rows = rows.join(F.broadcast(hot_lookup), _match(keys, "_h_", True), "inner")
-    return hot_rows.select(*out).unionByName(cold.select(*out))
+    in_place = rows.join(F.broadcast(hot_lookup), _match(keys, "_h_", True), "inner")
+    return in_place.select(*out).unionByName(cold.select(*out))

@@ -18,12 +18,11 @@ def clean_latest_per_id(df: DataFrame, key: str = "id", ts: str = "_loaded_at",
     """The newest row of every key.
 
     ``now`` stands in for a missing load time. Equal load times are settled by
-    the other columns, so that repeated runs agree. Every task drops all but one
+    a hash of the row, so that repeated runs agree. Every task drops all but one
     row per key before the shuffle, so a key with many copies stays harmless.
     """
     loaded = F.col(ts) if now is None else F.coalesce(ts, F.lit(str(now)).cast("timestamp_ntz"))
-    rest = [F.col(c).desc_nulls_last() for c in df.columns if c not in (key, ts)]
-    newest = Window.partitionBy(key).orderBy(loaded.desc_nulls_last(), *rest)
+    newest = Window.partitionBy(key).orderBy(loaded.desc_nulls_last(), F.xxhash64(*df.columns))
     return df.withColumn("_rn", F.row_number().over(newest)).where("_rn = 1").drop("_rn")
 
 

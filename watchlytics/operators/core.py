@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from watchlytics.functions.aggregates import with_distinct_count
 from watchlytics.functions.joins import lookup_join
 from watchlytics.functions.numbers import mean_of, mean_of_hundredths
 from watchlytics.schemas import ACTIVE_DAYS, PREMIUM_PLANS
@@ -92,16 +93,20 @@ def dim_users(
 
 
 def content_viewing_stats(stg_sessions: DataFrame) -> DataFrame:
-    """Sessions, viewers, watch time and completion per content.
-
-    The distinct count groups by content and user first, so the viewers of one
-    popular title are spread over all tasks.
-    """
-    return stg_sessions.groupBy("content_id").agg(
-        F.count("viewing_session_id").alias("total_sessions"),
-        F.count_distinct("user_id").alias("unique_viewers"),
-        F.sum(F.col("duration_seconds").cast("bigint")).alias("total_watch_time_seconds"),
-        mean_of_hundredths(F.col("completion_rate")).alias("avg_completion_rate"),
+    """Sessions, viewers, watch time and completion per content."""
+    stats = with_distinct_count(
+        stg_sessions,
+        {"content_id": F.col("content_id")},
+        "user_id",
+        "unique_viewers",
+        [
+            F.count("viewing_session_id").alias("total_sessions"),
+            F.sum(F.col("duration_seconds").cast("bigint")).alias("total_watch_time_seconds"),
+            mean_of_hundredths(F.col("completion_rate")).alias("avg_completion_rate"),
+        ],
+    )
+    return stats.select(
+        "content_id", "total_sessions", "unique_viewers", "total_watch_time_seconds", "avg_completion_rate"
     )
 
 

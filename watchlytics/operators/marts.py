@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from watchlytics.functions.aggregates import with_distinct_count
 from watchlytics.functions.joins import lookup_join
 from watchlytics.functions.numbers import hundredths, mean, mean_of, mean_of_hundredths, ratio_round
 from watchlytics.functions.ordering import range_buckets, rank_and_running_total
@@ -38,17 +39,22 @@ def content_performance_agg(stg_sessions: DataFrame, stg_content: DataFrame) ->
     repeated in all their columns add up, as they would in a join of the
     single sessions.
     """
-    watched = stg_sessions.groupBy("content_id").agg(
-        F.count("*").alias("sessions"),
-        F.count_distinct("user_id").alias("viewers"),
-        F.sum(F.col("duration_seconds").cast("bigint")).alias("seconds"),
-        F.sum(hundredths(F.col("completion_rate"))).alias("completion"),
-        F.count("completion_rate").alias("completions"),
-        F.min("session_start").alias("first"),
-        F.max("session_start").alias("last"),
+    watched = with_distinct_count(
+        stg_sessions,
+        {"content_id": F.col("content_id")},
+        "user_id",
+        "viewers",
+        [
+            F.count("*").alias("sessions"),
+            F.sum(F.col("duration_seconds").cast("bigint")).alias("seconds"),
+            F.sum(hundredths(F.col("completion_rate"))).alias("completion"),
+            F.count("completion_rate").alias("completions"),
+            F.min("session_start").alias("first"),
+            F.max("session_start").alias("last"),
+        ],
     )
     titles = stg_content.groupBy(*TITLE_COLUMNS, "imdb_rating").agg(F.count("*").alias("copies"))
-    return titles.join(watched, "content_id").select(
+    return lookup_join(titles, watched, ["content_id"]).select(
         *TITLE_COLUMNS,
         (F.col("sessions") * F.col("copies")).alias("total_sessions"),
         F.col("viewers").alias("unique_viewers"),

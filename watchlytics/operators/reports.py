@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from watchlytics.functions.aggregates import with_distinct_count
 from watchlytics.functions.joins import lookup_join
 from watchlytics.functions.numbers import hundredths, mean, mean_of, mean_of_hundredths, ratio_round
 
@@ -18,6 +19,21 @@ def active_users(users: DataFrame, as_of, days: int = 30) -> DataFrame:
     return users.where((F.col("last_login") >= since) & F.col("is_active"))
 
 
+def _views(sessions: DataFrame) -> DataFrame:
+    return sessions.groupBy("content_id").agg(
+        F.count("id").alias("views"),
+        F.sum(hundredths(F.col("completion_rate"))).alias("completion"),
+        F.count("completion_rate").alias("completions"),
+    )
+
+
+def _titles(content: DataFrame) -> DataFrame:
+    # Equal rows of one title are counted, not kept.
+    return content.groupBy(F.col("id").alias("content_id"), "title", "content_type", "genre").agg(
+        F.count("*").alias("copies")
+    )
+
+
 def popular_content(content: DataFrame, sessions: DataFrame, ratings: DataFrame, min_views: int = 1000) -> DataFrame:
     """Titles with at least ``min_views`` views, most viewed first.
 
@@ -26,23 +42,15 @@ def popular_content(content: DataFrame, sessions: DataFrame, ratings: DataFrame,
     the counts are multiplied. The means do not change, as every session
     meets the same number of ratings and the reverse.
     """
-    views = sessions.groupBy("content_id").agg(
-        F.count("id").alias("views"),
-        F.sum(hundredths(F.col("completion_rate"))).alias("completion"),
-        F.count("completion_rate").alias("completions"),
-    )
     rated = ratings.groupBy("content_id").agg(
         F.count("*").alias("ratings"),
         F.sum(F.col("rating").cast("bigint")).alias("stars"),
         F.count("rating").alias("rated"),
     )
-    titles = content.groupBy(F.col("id").alias("content_id"), "title", "content_type", "genre").agg(
-        F.count("*").alias("copies")
-    )
-    view_count = F.col("copies") * F.coalesce("views", F.lit(0)) * F.greatest(F.coalesce("ratings", F.lit(1)), F.lit(1))
+    one = F.lit(1)
+    view_count = F.col("copies") * F.coalesce("views", F.lit(0)) * F.greatest(F.coalesce("ratings", one), one)
     return (
-        titles.join(views, "content_id", "left")
-        .join(rated, "content_id", "left")
+        lookup_join(_titles(content), [_views(sessions), rated], ["content_id"], how="left")
         .select(
             F.col("content_id").alias("id"),
             "title",
@@ -59,16 +67,18 @@ def popular_content(content: DataFrame, sessions: DataFrame, ratings: DataFrame,
 
 def daily_engagement(sessions: DataFrame) -> DataFrame:
     """Active users, sessions, watch time and completion per day, newest first."""
-    return (
-        sessions.groupBy(F.to_date("session_start").alias("viewing_date"))
-        .agg(
-            F.count_distinct("user_id").alias("daily_active_users"),
+    per_day = with_distinct_count(
+        sessions,
+        {"viewing_date": F.to_date("session_start")},
+        "user_id",
+        "daily_active_users",
+        [
             F.count("*").alias("total_sessions"),
             F.sum(F.col("duration_seconds").cast("bigint")).alias("total_watch_time_seconds"),
             mean_of_hundredths(F.col("completion_rate")).alias("avg_completion_rate"),
-        )
-        .orderBy(F.desc("viewing_date"))
+        ],
     )
+    return per_day.orderBy(F.desc_nulls_first("viewing_date"))
 
 
 # --- ad-hoc reports ----------------------------------------------------------
@@ -86,16 +96,8 @@ def users_sample(users: DataFrame, n: int = 5) -> DataFrame:
 
 def top_content(content: DataFrame, sessions: DataFrame, n: int = 10) -> DataFrame:
     """The most viewed titles. Sessions are aggregated per content before the join."""
-    views = sessions.groupBy("content_id").agg(
-        F.count("id").alias("views"),
-        F.sum(hundredths(F.col("completion_rate"))).alias("completion"),
-        F.count("completion_rate").alias("completions"),
-    )
-    titles = content.groupBy(F.col("id").alias("content_id"), "title", "content_type", "genre").agg(
-        F.count("*").alias("copies")
-    )
     return (
-        titles.join(views, "content_id")
+        lookup_join(_titles(content), _views(sessions), ["content_id"])
         .select(
             "content_id",
             "title",
@@ -113,16 +115,14 @@ def top_content(content: DataFrame, sessions: DataFrame, n: int = 10) -> DataFra
 def last_7_days(sessions: DataFrame, n: int = 7) -> DataFrame:
     """Active users, sessions and hours of the newest ``n`` days with sessions."""
     seconds = F.sum(F.col("duration_seconds").cast("bigint"))
-    return (
-        sessions.groupBy(F.to_date("session_start").alias("viewing_date"))
-        .agg(
-            F.count_distinct("user_id").alias("daily_active_users"),
-            F.count("*").alias("total_sessions"),
-            ratio_round(seconds, F.lit(3600), 1).alias("total_hours_watched"),
-        )
-        .orderBy(F.desc("viewing_date"))
-        .limit(n)
+    per_day = with_distinct_count(
+        sessions,
+        {"viewing_date": F.to_date("session_start")},
+        "user_id",
+        "daily_active_users",
+        [F.count("*").alias("total_sessions"), ratio_round(seconds, F.lit(3600), 1).alias("total_hours_watched")],
     )
+    return per_day.orderBy(F.desc_nulls_first("viewing_date")).limit(n)
 
 
 # --- summary of a data set ---------------------------------------------------
