@@ -28,6 +28,9 @@ def csv_options(table: str) -> dict:
         "header": True,
         "quote": '"',
         "escape": '"',
+        # Nothing between two commas is NULL, a pair of quotes is the empty text.
+        "nullValue": "\0",
+        "emptyValue": "",
         "mode": "PERMISSIVE",
         "multiLine": table in FREE_TEXT_TABLES,
         "columnNameOfCorruptRecord": BROKEN,
