@@ -29,7 +29,8 @@ def duckdb_tables(sf_dir: str) -> duckdb.DuckDBPyConnection:
     """Connection with the driver's tables as views."""
     con = duckdb.connect()
     for path in glob.glob(f"{sf_dir}/*.parquet"):
-        con.execute(f"CREATE VIEW {os.path.basename(path)[:-8]} AS SELECT * FROM '{path}'")
+        files = f"{path}/*.parquet" if os.path.isdir(path) else path
+        con.execute(f"CREATE VIEW {os.path.basename(path)[:-8]} AS SELECT * FROM '{files}'")
     return con
 
 

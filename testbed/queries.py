@@ -19,7 +19,7 @@ from watchlytics.functions import derivations
 from watchlytics.operators import cleaning, core, marts, messages, quality, reports, staging
 from watchlytics.plans.daily import run_daily
 from watchlytics.plans.models import Parameters, core_models, mart_models, staging_models
-from watchlytics.schemas import PREMIUM_PLANS, TABLES
+from watchlytics.schemas import TABLES
 from watchlytics.session import new_folder
 from watchlytics.sources import landing, loading, relational, staging_store
 from watchlytics.streaming.incremental import land_incremental
@@ -360,6 +360,7 @@ def dim_users(spark, sf):
         table(spark, sf, "viewing_sessions"),
         table(spark, sf, "subscription_events"),
         AS_OF,
+        updated_at=AS_OF,
     )
 
 
@@ -376,7 +377,7 @@ def content_rating_stats(spark, sf):
 @query
 def dim_content(spark, sf):
     return joined_arrays(
-        core.dim_content(table(spark, sf, "content"), sessions(spark, sf), table(spark, sf, "ratings"))
+        core.dim_content(table(spark, sf, "content"), sessions(spark, sf), table(spark, sf, "ratings"), AS_OF)
     )
 
 
@@ -397,7 +398,7 @@ def fact_ratings(spark, sf):
 
 @query
 def fact_viewing_sessions(spark, sf):
-    return core.fact_viewing_sessions(sessions(spark, sf))
+    return core.fact_viewing_sessions(sessions(spark, sf), AS_OF)
 
 
 # --- marts -------------------------------------------------------------------
@@ -451,7 +452,7 @@ def content_score(spark, sf):
 
 @query
 def mart_content_performance(spark, sf):
-    return marts.mart_content_performance(sessions(spark, sf), catalogue(spark, sf))
+    return marts.mart_content_performance(sessions(spark, sf), catalogue(spark, sf), AS_OF)
 
 
 @query
@@ -478,7 +479,7 @@ def engagement_ratios(spark, sf):
 
 @query
 def mart_user_engagement(spark, sf):
-    return marts.mart_user_engagement(sessions(spark, sf), current_users(spark, sf))
+    return marts.mart_user_engagement(sessions(spark, sf), current_users(spark, sf), AS_OF)
 
 
 @query
@@ -489,9 +490,8 @@ def subscription_event_count(spark, sf):
 
 @query
 def mart_subscription_analytics(spark, sf):
-    return marts.mart_subscription_analytics(
-        staging.stg_subscription_events(table(spark, sf, "subscription_events"))
-    )
+    events = staging.stg_subscription_events(table(spark, sf, "subscription_events"))
+    return marts.mart_subscription_analytics(events, AS_OF)
 
 
 # --- views and reports -------------------------------------------------------
@@ -628,7 +628,7 @@ def dq_report(spark, sf):
     raw = {**all_tables(spark, sf), "users": users_reloaded(spark, sf)}
     parameters = Parameters(as_of=AS_OF)
     stg = staging_models(raw, parameters)
-    models = {**core_models(raw, stg, parameters), **mart_models(stg)}
+    models = {**core_models(raw, stg, parameters), **mart_models(stg, parameters)}
     return quality.dq_report({**raw, **models}, as_of=AS_OF)
 
 

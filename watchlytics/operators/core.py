@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from watchlytics.functions.aggregates import with_distinct_count
 from watchlytics.functions.joins import lookup_join
 from watchlytics.functions.numbers import mean_of, mean_of_hundredths
+from watchlytics.functions.stamps import with_updated_at
 from watchlytics.schemas import ACTIVE_DAYS, PREMIUM_PLANS
 
 
@@ -42,6 +43,7 @@ def dim_users(
     as_of,
     active_days: int = ACTIVE_DAYS,
     premium_plans: list[str] = PREMIUM_PLANS,
+    updated_at=None,
 ) -> DataFrame:
     """User dimension with tier and engagement status as of a day.
 
@@ -61,7 +63,7 @@ def dim_users(
         .when(F.col("last_viewing_date").isNotNull(), "Inactive")
         .otherwise("Never Watched")
     )
-    return known.select(
+    dim = known.select(
         F.col("id").alias("user_key"),
         "email",
         "username",
@@ -90,6 +92,7 @@ def dim_users(
         _or_zero("cancellations"),
         status.alias("engagement_status"),
     )
+    return with_updated_at(dim, updated_at)
 
 
 def content_viewing_stats(stg_sessions: DataFrame) -> DataFrame:
@@ -119,11 +122,11 @@ def content_rating_stats(ratings: DataFrame) -> DataFrame:
     )
 
 
-def dim_content(content: DataFrame, stg_sessions: DataFrame, ratings: DataFrame) -> DataFrame:
+def dim_content(content: DataFrame, stg_sessions: DataFrame, ratings: DataFrame, updated_at=None) -> DataFrame:
     """Content dimension with its viewing and rating figures; reads filtered sessions."""
     per_content = [content_viewing_stats(stg_sessions), content_rating_stats(ratings)]
     known = lookup_join(content, [s.withColumnRenamed("content_id", "id") for s in per_content], ["id"], how="left")
-    return known.select(
+    dim = known.select(
         F.col("id").alias("content_key"),
         "title",
         "content_type",
@@ -148,6 +151,7 @@ def dim_content(content: DataFrame, stg_sessions: DataFrame, ratings: DataFrame)
         _or_zero("avg_rating", "double"),
         _or_zero("five_star_ratings"),
     )
+    return with_updated_at(dim, updated_at)
 
 
 def dim_date(sessions: DataFrame) -> DataFrame:
@@ -175,11 +179,11 @@ def fact_ratings(stg_ratings: DataFrame) -> DataFrame:
     )
 
 
-def fact_viewing_sessions(stg_sessions: DataFrame) -> DataFrame:
+def fact_viewing_sessions(stg_sessions: DataFrame, updated_at=None) -> DataFrame:
     """One row per session with its completion status."""
     rate = F.col("completion_rate")
     status = F.when(rate >= 90, "Complete").when(rate >= 50, "Partial").otherwise("Abandoned")
-    return stg_sessions.select(
+    fact = stg_sessions.select(
         F.col("viewing_session_id").alias("viewing_session_key"),
         F.col("user_id").alias("user_key"),
         F.col("content_id").alias("content_key"),
@@ -196,3 +200,4 @@ def fact_viewing_sessions(stg_sessions: DataFrame) -> DataFrame:
         "avg_bitrate",
         status.alias("completion_status"),
     )
+    return with_updated_at(fact, updated_at)

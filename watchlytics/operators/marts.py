@@ -8,6 +8,7 @@ from watchlytics.functions.aggregates import with_distinct_count
 from watchlytics.functions.joins import lookup_join
 from watchlytics.functions.numbers import hundredths, mean, mean_of, mean_of_hundredths, ratio_round
 from watchlytics.functions.ordering import range_buckets, rank_and_running_total
+from watchlytics.functions.stamps import with_updated_at
 
 TITLE_COLUMNS = [
     "content_id",
@@ -141,10 +142,10 @@ def content_score(performance: DataFrame, weights: dict[str, float] = SCORE_WEIG
     return performance.withColumn("content_score", F.round(score, 2))
 
 
-def mart_content_performance(stg_sessions: DataFrame, stg_content: DataFrame) -> DataFrame:
+def mart_content_performance(stg_sessions: DataFrame, stg_content: DataFrame, updated_at=None) -> DataFrame:
     """Content mart. Stored unordered; readers sort by ``watch_time_rank``."""
     ranked = ranked_watch_time(content_performance_agg(stg_sessions, stg_content))
-    return content_score(popularity_tier(abc_class(watch_time_share(ranked))))
+    return with_updated_at(content_score(popularity_tier(abc_class(watch_time_share(ranked)))), updated_at)
 
 
 # --- user engagement ---------------------------------------------------------
@@ -210,9 +211,9 @@ def engagement_ratios(engagement: DataFrame) -> DataFrame:
     )
 
 
-def mart_user_engagement(stg_sessions: DataFrame, stg_users: DataFrame) -> DataFrame:
+def mart_user_engagement(stg_sessions: DataFrame, stg_users: DataFrame, updated_at=None) -> DataFrame:
     """Engagement mart. Stored unordered; readers sort by day and watch time."""
-    return engagement_ratios(daily_engagement_agg(stg_sessions, stg_users))
+    return with_updated_at(engagement_ratios(daily_engagement_agg(stg_sessions, stg_users)), updated_at)
 
 
 # --- subscription events -----------------------------------------------------
@@ -229,10 +230,9 @@ def subscription_event_count(stg_events: DataFrame) -> DataFrame:
     events = stg_events.select(
         "user_id", "event_type", F.col("event_at").alias("event_date"), "previous_plan", "new_plan"
     )
-    counted = lookup_join(events, counts.withColumnRenamed("n", "event_count"), keys, null_safe=True, counts=counts)
-    return counted
+    return lookup_join(events, counts.withColumnRenamed("n", "event_count"), keys, null_safe=True, counts=counts)
 
 
-def mart_subscription_analytics(stg_events: DataFrame) -> DataFrame:
+def mart_subscription_analytics(stg_events: DataFrame, updated_at=None) -> DataFrame:
     """Subscription mart. Stored unordered; readers sort by date and user."""
-    return subscription_event_count(stg_events)
+    return with_updated_at(subscription_event_count(stg_events), updated_at)

@@ -140,64 +140,37 @@ def _line(model: str, column: str, check: str) -> list[Column]:
     return [F.lit(model).alias("model"), F.lit(column).alias("column"), F.lit(check).alias("check")]
 
 
-def _failures(amount: Column) -> Column:
-    return F.coalesce(amount, F.lit(0).cast("bigint")).alias("failures")
+def _group_line(found: DataFrame, model: str, column: str, check: str, failures: Column) -> DataFrame:
+    counted = found.agg(F.coalesce(failures, F.lit(0).cast("bigint")).alias("failures"))
+    return counted.select(*_line(model, column, check), "failures")
 
 
-def _not_null_lines(df: DataFrame, model: str, columns: list[str]) -> DataFrame:
-    return dq_not_null(df, columns).select(
-        F.lit(model).alias("model"), "column", F.lit("not_null").alias("check"), "failures"
-    )
-
-
-def _check_lines(tables: dict[str, DataFrame], checks: Iterable[Check]) -> list[DataFrame]:
-    lines, not_null = [], {}
-    for c in checks:
-        df = tables[c.model]
-        if c.kind == "not_null":
-            not_null.setdefault(c.model, []).append(c.column)
-        elif c.kind == "unique":
-            found = dq_unique(df, c.column).agg(_failures(F.count("*")))
-            lines.append(found.select(*_line(c.model, c.column, "unique"), "failures"))
-        else:
-            found = dq_relationships(df, c.column, tables[c.parent], c.parent_column).agg(_failures(F.sum("n")))
-            lines.append(found.select(*_line(c.model, c.column, "relationships"), "failures"))
-    lines += [_not_null_lines(tables[model], model, columns) for model, columns in not_null.items()]
-    return lines
-
-
-def _row_rule_lines(tables: dict[str, DataFrame], as_of) -> list[DataFrame]:
-    """Value lists, ranges and signs: rules about one row, one pass per table."""
-    rules: dict[str, list[tuple[str, str, Column]]] = {}
+def _row_rules(tables: dict[str, DataFrame], as_of) -> list[tuple[str, str, str, Column]]:
+    """Constraints on single values: model, column, check, and when a row breaks it."""
+    rules = []
     for (model, column), values in ACCEPTED_VALUES.items():
-        rules.setdefault(model, []).append((column, "accepted_values", ~F.col(column).isin(values)))
+        rules.append((model, column, "accepted_values", ~F.col(column).isin(values)))
     for (model, column), (low, high) in value_ranges(as_of).items():
-        rules.setdefault(model, []).append((column, "range", ~F.col(column).between(low, high)))
+        rules.append((model, column, "range", ~F.col(column).between(low, high)))
     for model, column in POSITIVE:
-        rules.setdefault(model, []).append((column, "positive", F.col(column) <= 0))
-    lines = []
-    for model, of_model in rules.items():
-        if model in tables:
-            counts = (
-                F.struct(*_line(model, column, check), F.count_if(broken).alias("failures"))
-                for column, check, broken in of_model
-            )
-            lines.append(tables[model].agg(F.array(*counts).alias("counts")).select(F.inline("counts")))
-    return lines
+        rules.append((model, column, "positive", F.col(column) <= 0))
+    return [rule for rule in rules if rule[0] in tables]
 
 
-def _composite_lines(tables: dict[str, DataFrame]) -> list[DataFrame]:
+def _row_rule_lines(tables: dict[str, DataFrame], rules: list[tuple[str, str, str, Column]]) -> list[DataFrame]:
+    """All rules about single rows of a table, counted in one pass over it."""
     lines = []
-    for model, columns in UNIQUE_TOGETHER.items():
-        if model in tables:
-            found = dq_unique_composite(tables[model], columns).agg(_failures(F.count("*")))
-            lines.append(found.select(*_line(model, ", ".join(columns), "unique_composite"), "failures"))
+    for model in dict.fromkeys(rule[0] for rule in rules):
+        counts = (
+            F.struct(*_line(model, column, check), F.count_if(broken).alias("failures"))
+            for of_model, column, check, broken in rules
+            if of_model == model
+        )
+        lines.append(tables[model].agg(F.array(*counts).alias("counts")).select(F.inline("counts")))
     return lines
 
 
-def dq_report(
-    tables: dict[str, DataFrame], checks: Iterable[Check] | None = None, as_of=None
-) -> DataFrame:
+def dq_report(tables: dict[str, DataFrame], checks: Iterable[Check] | None = None, as_of=None) -> DataFrame:
     """Failures of all checks on the given tables: model, column, check, failures, status.
 
     Without ``checks`` all declared ones run whose tables are given. With
@@ -206,8 +179,22 @@ def dq_report(
     """
     if checks is None:
         checks = [c for c in CHECKS if c.model in tables and (c.parent is None or c.parent in tables)]
-    lines = _check_lines(tables, checks)
+    rules, lines = [], []
+    for c in checks:
+        df = tables[c.model]
+        if c.kind == "not_null":
+            rules.append((c.model, c.column, "not_null", F.col(c.column).isNull()))
+        elif c.kind == "unique":
+            lines.append(_group_line(dq_unique(df, c.column), c.model, c.column, "unique", F.count("*")))
+        else:
+            orphans = dq_relationships(df, c.column, tables[c.parent], c.parent_column)
+            lines.append(_group_line(orphans, c.model, c.column, "relationships", F.sum("n")))
     if as_of is not None:
-        lines += _row_rule_lines(tables, as_of) + _composite_lines(tables)
+        rules += _row_rules(tables, as_of)
+        for model, columns in UNIQUE_TOGETHER.items():
+            if model in tables:
+                found = dq_unique_composite(tables[model], columns)
+                lines.append(_group_line(found, model, ", ".join(columns), "unique_composite", F.count("*")))
+    lines += _row_rule_lines(tables, rules)
     status = F.when(F.col("failures") > 0, "warn").otherwise("pass").alias("status")
     return reduce(DataFrame.unionByName, lines).select("model", "column", "check", "failures", status)

@@ -68,7 +68,7 @@ def run_daily(spark: SparkSession, landing: str, store: str, parameters: Paramet
         materialize(df, "staging", name)
 
     built = {}
-    for layer, models in (("core", core_models(raw, stg, parameters)), ("marts", mart_models(stg))):
+    for layer, models in (("core", core_models(raw, stg, parameters)), ("marts", mart_models(stg, parameters))):
         for name, df in models.items():
             built[name] = spark.table(materialize(df, layer, name, f"{store}/{layer}/{name}"))
 

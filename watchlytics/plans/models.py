@@ -46,20 +46,21 @@ def core_models(raw: dict[str, DataFrame], stg: dict[str, DataFrame], p: Paramet
             p.as_of,
             p.active_days,
             p.premium_plans,
+            updated_at=p.as_of,
         ),
-        "dim_content": core.dim_content(raw["content"], sessions, raw["ratings"]),
+        "dim_content": core.dim_content(raw["content"], sessions, raw["ratings"], updated_at=p.as_of),
         "dim_date": core.dim_date(raw["viewing_sessions"]),
         "dim_platform": core.dim_platform(sessions),
         "fact_ratings": core.fact_ratings(stg["stg_ratings"]),
-        "fact_viewing_sessions": core.fact_viewing_sessions(sessions),
+        "fact_viewing_sessions": core.fact_viewing_sessions(sessions, updated_at=p.as_of),
     }
 
 
-def mart_models(stg: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def mart_models(stg: dict[str, DataFrame], p: Parameters) -> dict[str, DataFrame]:
     """The three marts."""
     sessions = stg["stg_viewing_sessions"]
     return {
-        "mart_content_performance": marts.mart_content_performance(sessions, stg["stg_content"]),
-        "mart_user_engagement": marts.mart_user_engagement(sessions, stg["stg_users"]),
-        "mart_subscription_analytics": marts.mart_subscription_analytics(stg["stg_subscription_events"]),
+        "mart_content_performance": marts.mart_content_performance(sessions, stg["stg_content"], p.as_of),
+        "mart_user_engagement": marts.mart_user_engagement(sessions, stg["stg_users"], p.as_of),
+        "mart_subscription_analytics": marts.mart_subscription_analytics(stg["stg_subscription_events"], p.as_of),
     }
