@@ -68,7 +68,7 @@ def main() -> int:
     names = sys.argv[2:] or list(QUERIES)
     spark = build_session(
         master="local[8]",
-        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"},
+        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": os.environ.get("CHECK_MEMORY", "8g")},
     )
     spark.sparkContext.setLogLevel("ERROR")
     con, expected, failed = duckdb_tables(sf_dir), oracles(), 0

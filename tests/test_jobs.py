@@ -6,6 +6,7 @@ from conftest import rows
 from frames import frame, session, title, user
 
 from watchlytics import schemas
+from watchlytics.__main__ import main
 from watchlytics.plans.daily import run_daily
 from watchlytics.plans.models import Parameters
 from watchlytics.sources import landing
@@ -59,3 +60,18 @@ def test_daily_run_twice(spark, tmp_path):
     # The next day adds its own snapshot: users are current in staging, the dimension shows each load.
     assert next_day["rows", "stg_users", ""] == 2 and next_day["rows", "dim_users", ""] == 4
     assert next_day["check", "users.id", "unique"] == 2
+
+
+def test_command_line(spark, tmp_path, capsys):
+    source, landing_root, store = tmp_path / "source", str(tmp_path / "landing"), str(tmp_path / "store")
+    for name in schemas.TABLES:
+        df = frame(spark, name, user(1)) if name == "users" else frame(spark, name)
+        df.drop("_loaded_at").write.parquet(str(source / name))
+    day = ["--landing", landing_root, "--as-of", "2024-02-01"]
+    main(["extract", "--source-format", "parquet", "--source-root", str(source), *day])
+    main(["daily", "--store", store, *day])
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    main(["load", "--landing", landing_root, "--table", "users", "--out", out, "--checkpoint", checkpoint])
+    assert spark.read.parquet(f"{store}/core/dim_users").count() == 1
+    assert spark.read.parquet(out).count() == 1
+    assert "mart_user_engagement" in capsys.readouterr().out
