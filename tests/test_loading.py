@@ -109,7 +109,15 @@ def test_file_name_pattern(spark, tmp_path):
         (tmp_path / name).write_text("h\n1,2,3,2024-01-01 00:00:00,,5,web,tv,,,,,,\n")
     lines = loading.read_text(spark, str(tmp_path), "viewing_sessions")
     assert lines.count() == 3
-    assert loading.load_filename_pattern(lines, r".*viewing_sessions.*\.csv").count() == 1
+    matching = loading.load_filename_pattern(lines, r".*viewing_sessions.*\.csv")
+    assert matching.count() == 1
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        executed = matching.select("id")._jdf.queryExecution().executedPlan()
+        executed.executeCollect()
+        assert executed.collectLeaves().head().metrics().apply("numFiles").value() == 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
 def test_loaded_at_keeps_existing_stamps(spark):

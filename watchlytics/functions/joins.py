@@ -10,13 +10,16 @@ HOT_KEYS = 1000
 HOT_ROWS = 5_000_000
 
 
-def hot_keys(counts: DataFrame, keys: list[str], n: str, rows: int = HOT_ROWS, limit: int = HOT_KEYS) -> DataFrame:
+def hot_keys(
+    counts: DataFrame, keys: list[str], n: str, rows: int | None = None, limit: int = HOT_KEYS
+) -> DataFrame:
     """The keys with the most rows: at most ``limit`` keys of at least ``rows`` rows each.
 
     ``counts`` has one row per key with its number of rows. A key left out
     either fits a task well or holds less than ``1/limit`` of all rows. Only
     the way a row takes depends on this choice, never the result.
     """
+    rows = HOT_ROWS if rows is None else rows
     biggest = counts.where(F.col(n) >= rows).orderBy(F.desc(n), *keys).limit(limit)
     return biggest.select(*keys)
 
@@ -37,7 +40,7 @@ def lookup_join(
     how: str = "inner",
     null_safe: bool = False,
     counts: DataFrame | None = None,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Add the columns of one or more ``lookups`` to ``rows``, where any key may be hot.
 
@@ -49,7 +52,7 @@ def lookup_join(
 
     ``how`` is ``inner`` or ``left``. ``counts`` may pass a count per key (keys
     and ``n``) that is needed anyway. ``hot_rows`` is the number of rows from
-    which on a key counts as hot.
+    which on a key counts as hot, ``HOT_ROWS`` by default.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type: {how}")

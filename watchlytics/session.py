@@ -12,6 +12,10 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Spares the sort of the large side where the other side's partitions are small.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
+    # Checkpoints go when nothing refers to them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

@@ -14,7 +14,9 @@ def land_incremental(
     """Load all files of ``table`` not loaded before, then stop.
 
     The load day comes from the dated folder of a file. The stream's checkpoint
-    remembers files, so a second run without new files adds nothing.
+    remembers files, so a second run without new files adds nothing; a day that
+    is landed again counts as new files. Use it for folders that only grow, and
+    ``reload_day`` for days that may be replaced.
     ``max_files`` limits one batch, not the run: all files are still loaded.
     """
     options = csv_options(table)
