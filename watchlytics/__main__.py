@@ -1,9 +1,4 @@
-"""Jobs for spark-submit: extract, load (as files arrive) and daily.
-
-    python -m watchlytics extract --source-format jdbc --option url=... --landing s3://... --as-of 2024-02-01
-    python -m watchlytics load --landing s3://... --table users --out s3://... --checkpoint s3://...
-    python -m watchlytics daily --landing s3://... --store s3://... --as-of 2024-02-01
-"""
+"""Jobs for spark-submit: extract, load (as files arrive) and daily."""
 
 from __future__ import annotations
 

@@ -1,4 +1,8 @@
-"""All models of one run, as lazy DataFrames over the nine source tables."""
+"""All models of one run as DataFrames over the nine source tables.
+
+They are lazy but for the content mart, which checkpoints its aggregate when it
+is built (see ``functions/ordering.py``).
+"""
 
 from __future__ import annotations
 
