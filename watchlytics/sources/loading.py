@@ -61,8 +61,9 @@ def _typed(column: str, declared: str) -> Column:
     """``column`` converted to its declared type, NULL where that fails."""
     text = F.col(column)
     if declared in ("int", "bigint"):
-        # Exports write whole numbers as 12.0 when the column has gaps.
-        return F.round(text.try_cast("decimal(38,6)"), 0).try_cast(declared)
+        # Exports write whole numbers as 12.0 when the column has gaps; only
+        # those take the slower way through a decimal.
+        return F.coalesce(text.try_cast(declared), F.round(text.try_cast("decimal(38,6)"), 0).try_cast(declared))
     if declared.startswith("array"):
         return F.from_json(text, declared)
     return text if spark_type(declared) == "string" else text.try_cast(declared)
