@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from watchlytics.llm import bpe, decontamination, exact_dedup, quality, simhash
+from watchlytics.llm import arc_warc, bpe, decontamination, exact_dedup, html_template, language, quality, simhash, token_counts, url_filter
 from watchlytics.llm.common import fold_of, stored, table
 
 
@@ -15,6 +15,17 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every line of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.count_tokens(docs.withColumn("lengths", token_counts.line_sections(F.col("text"))), "lengths")
+
+
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = arc_warc.round_trip(table(spark, sf_dir, "pages"))
+    return found.select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontamination.judged(decontamination.find_benchmark_spans(docs, table(spark, sf_dir, "benchmark")))
@@ -42,18 +53,41 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = fold_of(F.col("doc_id")) == 2
+    model = language.learn(docs.where(~held_out))
+    found = language.label_spans(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans"))
+
+
 def op8_bpe_encoding_and_decoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest_documents(table(spark, sf_dir, "documents"))
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_template.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
+def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"))
+    return found.select("page_id", "host", "path", "rule", "verdict")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_exact_dedup,
+        op2_token_counts,
+        op3_warc,
         op4_benchmark_decontamination,
         op5_quality_classifier,
         op6_simhash_near_dedup,
+        op7_language_id,
         op8_bpe_encoding_and_decoding,
+        op9_html_extraction,
+        op10_url_filters,
     )
 }
 
@@ -73,4 +107,19 @@ ORACLES: dict[str, str] = {
         FROM bare
         WINDOW best AS (PARTITION BY text_sha256 ORDER BY points DESC, doc_id)
     """,
+    "op3_warc": """
+        WITH payloads AS (
+            SELECT page_id,
+                   strlen(coalesce(html, '')) AS payload_bytes,
+                   sha256(coalesce(html, '')) AS payload_digest
+            FROM pages
+        ),
+        best AS (
+            SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS response FROM payloads
+        )
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 100 AND page_id <> response THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 100 AND page_id <> response THEN response END AS refers_to
+        FROM best
+    """,
 }
