@@ -1,4 +1,4 @@
-"""Joins with hot keys against a plain join."""
+"""Joins with lookups, and joining operators over rows of which one key holds a third."""
 
 import random
 
@@ -6,7 +6,9 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from watchlytics.functions.joins import hot_keys, lookup_join
+from watchlytics.functions.derivations import derive_completion
+from watchlytics.functions.joins import lookup_join
+from watchlytics.operators import marts, reports
 
 SCHEMA = "id int, k int, j string"
 
@@ -25,60 +27,133 @@ def lookup(spark):
     return spark.createDataFrame(data, "k int, j string, v string")
 
 
-@pytest.mark.parametrize("hot_rows", [1, 20, 1000])
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_single_key(spark, skewed, lookup, how, hot_rows):
+def test_single_key(spark, skewed, lookup, how):
     per_k = lookup.where("j = 'a'").select("k", "v")
-    got = lookup_join(skewed, per_k, ["k"], how=how, hot_rows=hot_rows)
-    want = skewed.join(per_k, "k", how).select("id", "k", "j", "v")
+    got = lookup_join(skewed, per_k, ["k"], how=how)
+    known = {r.k: r.v for r in per_k.collect() if r.k is not None}
+    want = [(r.id, r.k, r.j, known.get(r.k)) for r in skewed.collect() if how == "left" or r.k in known]
     assert got.columns == ["id", "k", "j", "v"]
-    assert rows(got) == rows(want)
+    assert rows(got) == sorted(want, key=repr)
 
 
-@pytest.mark.parametrize("hot_rows", [1, 20, 1000])
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_null_safe_composite_key(spark, skewed, lookup, how, hot_rows):
-    got = lookup_join(skewed, lookup, ["k", "j"], how=how, null_safe=True, hot_rows=hot_rows)
-    other = lookup.toDF("k2", "j2", "v")
-    want = skewed.join(other, F.expr("k <=> k2 AND j <=> j2"), how).select("id", "k", "j", "v")
-    assert rows(got) == rows(want)
-
-
-@pytest.mark.parametrize("hot_rows", [1, 20, 1000])
-def test_several_lookups(spark, skewed, lookup, hot_rows):
-    first = lookup.where("j = 'a'").select("k", "v")
-    second = lookup.where("j = 'b' AND k > 10").select("k", F.col("v").alias("w"))
-    got = lookup_join(skewed, [first, second], ["k"], how="left", hot_rows=hot_rows)
-    want = skewed.join(first, "k", "left").join(second, "k", "left").select("id", "k", "j", "v", "w")
-    assert rows(got) == rows(want)
+def test_null_safe_composite_key(spark, skewed, lookup, how):
+    got = lookup_join(skewed, lookup, ["k", "j"], how=how, null_safe=True)
+    known = {(r.k, r.j): r.v for r in lookup.collect()}
+    want = [(r.id, r.k, r.j, known.get((r.k, r.j))) for r in skewed.collect() if how == "left" or (r.k, r.j) in known]
+    assert rows(got) == sorted(want, key=repr)
 
 
 def test_empty_sides(spark, skewed, lookup):
     per_k = lookup.where("j = 'a'").select("k", "v")
-    assert lookup_join(skewed.limit(0), per_k, ["k"], hot_rows=1).count() == 0
-    assert lookup_join(skewed, per_k.limit(0), ["k"], hot_rows=1).count() == 0
-    assert lookup_join(skewed, per_k.limit(0), ["k"], how="left", hot_rows=1).count() == skewed.count()
+    assert lookup_join(skewed.limit(0), per_k, ["k"]).count() == 0
+    assert lookup_join(skewed, per_k.limit(0), ["k"]).count() == 0
+    assert lookup_join(skewed, per_k.limit(0), ["k"], how="left").count() == skewed.count()
 
 
-def test_more_hot_keys_than_the_limit(spark, skewed):
-    counts = skewed.groupBy("k").agg(F.count("*").alias("n"))
-    picked = rows(hot_keys(counts, ["k"], "n", rows=1, limit=2))
-    assert picked == rows(spark.createDataFrame([(7,), (None,)], "k int"))
+def test_unknown_join_type(skewed, lookup):
+    with pytest.raises(ValueError):
+        lookup_join(skewed, lookup, ["k"], how="right")
 
 
-def test_hot_rows_are_not_shuffled(spark, skewed, lookup):
-    """Only rows of ordinary keys reach the exchange below the join."""
-    per_k = lookup.where("j = 'a'").select("k", "v")
-    joined = lookup_join(skewed, per_k, ["k"], hot_rows=50)
-    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
-    try:
-        placed = joined.select("k", F.spark_partition_id().alias("p")).where("k = 7").distinct().count()
-    finally:
-        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
-    # A shuffle would bring all rows of one key into one partition.
-    assert placed > 1
+# --- a third of all sessions belongs to one user and one title -------------------------------
 
+N = 60_000
+SMALL = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.shuffle.partitions": "16",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "0",
+}
 
-def test_unknown_join_type(skewed, lookup):
-    with pytest.raises(ValueError):
-        lookup_join(skewed, lookup, ["k"], how="right")
+
+@pytest.fixture(scope="module")
+def hot(spark, tmp_path_factory):
+    """Sessions, content, users and events on disk."""
+    folder = str(tmp_path_factory.mktemp("hot"))
+    key = F.when(F.col("id") % 3 == 0, 7).otherwise(F.pmod(F.xxhash64("id"), F.lit(500)).cast("int"))
+    ids = spark.range(N).repartition(8).withColumn("key", key)
+    frames = {
+        "sessions": ids.select(
+            "id",
+            F.col("key").alias("user_id"),
+            F.col("key").alias("content_id"),
+            F.timestamp_seconds(F.lit(1_705_000_000) + F.col("id") * 60).cast("timestamp_ntz").alias("session_start"),
+            F.lit(60).alias("duration_seconds"),
+            F.lit("12.50").cast("decimal(5,2)").alias("completion_rate"),
+            F.lit(1).alias("buffering_count"),
+            F.lit("web").alias("platform"),
+            F.lit("HD").alias("quality"),
+        ),
+        "content": spark.range(500).select(F.col("id").cast("int"), F.lit("tv_show").alias("content_type"), F.lit(30).alias("duration_minutes")),
+        "users": spark.range(500).select(
+            F.col("id").cast("int").alias("user_id"), F.lit("FR").alias("country"), F.lit("18-24").alias("age_group"), F.lit("basic").alias("subscription_plan")
+        ),
+        "events": ids.select(
+            F.col("key").alias("user_id"), F.lit("renewal").alias("event_type"), F.lit(None).cast("timestamp_ntz").alias("event_at"), F.col("id").cast("string").alias("previous_plan"), F.lit("b").alias("new_plan")
+        ),
+    }
+    for name, df in frames.items():
+        df.write.parquet(f"{folder}/{name}")
+    return {name: spark.read.parquet(f"{folder}/{name}") for name in frames}
+
+
+@pytest.fixture
+def small_partitions(spark):
+    before = {k: spark.conf.get(k, None) for k in SMALL}
+    for k, v in SMALL.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        if v is None:
+            spark.conf.unset(k)
+        else:
+            spark.conf.set(k, v)
+
+
+OPERATORS = {
+    "derive_completion": (lambda t: derive_completion(t["sessions"], t["content"]), N, "sessions"),
+    "tv_show_sessions": (lambda t: reports.tv_show_sessions(t["sessions"], t["content"]), N, "sessions"),
+    "subscription_event_count": (lambda t: marts.subscription_event_count(t["events"]), N, "events"),
+}
+
+
+@pytest.mark.parametrize("name", list(OPERATORS))
+def test_adaptive_execution_splits_the_hot_key(spark, hot, small_partitions, name):
+    make, n, _ = OPERATORS[name]
+    df = make(hot)
+    assert len(df.collect()) == n
+    text = df._jdf.queryExecution().executedPlan().toString()
+    assert "skew=true" in text
+
+
+@pytest.mark.parametrize("name", ["derive_completion", "tv_show_sessions"])
+def test_sessions_are_read_once(spark, hot, name):
+    make, _, table = OPERATORS[name]
+    text = make(hot)._jdf.queryExecution().optimizedPlan().toString()
+    scans = [line for line in text.splitlines() if "Relation" in line]
+    assert len(scans) == 2
+
+
+def test_no_task_far_above_the_others(spark, hot, small_partitions, tmp_path):
+    """Rows per file, one of which each task of the join writes: the hot key's third is dealt out."""
+    derive_completion(hot["sessions"], hot["content"]).write.parquet(str(tmp_path / "out"))
+    files = spark.read.parquet(str(tmp_path / "out")).groupBy(F.input_file_name()).count()
+    sizes = sorted(r["count"] for r in files.collect())
+    assert sum(sizes) == N
+    assert sizes[-1] < N / 6, sizes
+
+
+def test_engagement_shrinks_before_the_join(spark, hot):
+    found = marts.daily_engagement_agg(hot["sessions"], hot["users"])
+    text = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    join = next(i for i, line in enumerate(text) if "Join Inner" in line)
+    assert any("Aggregate" in line for line in text[join + 1 :])
+    assert found.agg(F.sum("total_sessions")).first()[0] == N
+    day = found.orderBy(F.desc("total_sessions")).first()
+    assert day.daily_active_users == day.unique_content_viewed

@@ -1,11 +1,10 @@
-"""Queries with joins against their SQL, with many keys treated as hot."""
+"""Queries with joins against their SQL, once with broadcasts and once with shuffles only."""
 
 import pytest
 from conftest import SF
 
 from testbed.check import compare, duckdb_tables
 from testbed.oracle import oracles
-from watchlytics.functions import joins
 
 JOINING = [
     "dim_users",
@@ -21,8 +20,14 @@ JOINING = [
 ]
 
 
-@pytest.mark.parametrize("hot_rows", [1, 8])
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
 @pytest.mark.parametrize("name", JOINING)
-def test_hot_keys_do_not_change_results(spark, monkeypatch, name, hot_rows):
-    monkeypatch.setattr(joins, "HOT_ROWS", hot_rows)
-    assert compare(spark, duckdb_tables(SF), SF, name, oracles()[name]) == ""
+def test_the_way_of_a_join_does_not_change_results(spark, name, threshold):
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for key in keys:
+        spark.conf.set(key, threshold)
+    try:
+        assert compare(spark, duckdb_tables(SF), SF, name, oracles()[name]) == ""
+    finally:
+        for key in keys:
+            spark.conf.unset(key)

@@ -34,7 +34,7 @@ def derive_completion(sessions: DataFrame, content: DataFrame) -> DataFrame:
     )
     length = F.col("duration_minutes").cast("bigint") * 60
     watched = F.least(F.col("duration_seconds").cast("bigint"), length)
-    return lookup_join(sessions, lengths, ["content_id"]).select(
+    return lookup_join(sessions, lengths, ["content_id"], hot=True).select(
         "id",
         "user_id",
         "content_id",

@@ -1,4 +1,4 @@
-"""Joins that stay balanced when a few keys hold much of the data."""
+"""Joins with tables of one row per key."""
 
 from __future__ import annotations
 
@@ -6,70 +6,25 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-HOT_KEYS = 1000
-HOT_ROWS = 5_000_000
-
-
-def hot_keys(
-    counts: DataFrame, keys: list[str], n: str, rows: int | None = None, limit: int = HOT_KEYS
-) -> DataFrame:
-    """The keys with the most rows: at most ``limit`` keys of at least ``rows`` rows each.
-
-    ``counts`` has one row per key with its number of rows. A key left out
-    either fits a task well or holds less than ``1/limit`` of all rows. Only
-    the way a row takes depends on this choice, never the result.
-    """
-    rows = HOT_ROWS if rows is None else rows
-    biggest = counts.where(F.col(n) >= rows).orderBy(F.desc(n), *keys).limit(limit)
-    return biggest.select(*keys)
-
-
-def _renamed(df: DataFrame, keys: list[str], prefix: str) -> DataFrame:
-    return df.withColumnsRenamed({k: prefix + k for k in keys})
-
-
-def _match(keys: list[str], prefix: str, null_safe: bool, left_prefix: str = "") -> Column:
-    pairs = ((F.col(left_prefix + k), F.col(prefix + k)) for k in keys)
-    return reduce(Column.__and__, (a.eqNullSafe(b) if null_safe else a == b for a, b in pairs))
-
 
 def lookup_join(
-    rows: DataFrame,
-    lookups: DataFrame | list[DataFrame],
-    keys: list[str],
-    how: str = "inner",
-    null_safe: bool = False,
-    counts: DataFrame | None = None,
-    hot_rows: int | None = None,
+    rows: DataFrame, lookup: DataFrame, keys: list[str], how: str = "inner", null_safe: bool = False, hot: bool = False
 ) -> DataFrame:
-    """Add the columns of one or more ``lookups`` to ``rows``, where any key may be hot.
+    """Add the columns of ``lookup``, which has at most one row per key, to ``rows``.
 
-    A lookup has at most one row per key. Rows of hot keys never move: they
-    meet their at most ``HOT_KEYS`` lookup rows in a broadcast join. All other
-    rows are joined by an ordinary shuffle, in which no key can dominate. With no
-    hot key the broadcast turns out empty and adaptive execution drops that
-    branch.
+    A plain join: Spark broadcasts a lookup it knows to be small. ``null_safe`` lets null keys meet.
 
-    ``how`` is ``inner`` or ``left``. ``counts`` may pass a count per key (keys
-    and ``n``) that is needed anyway. ``hot_rows`` is the number of rows from
-    which on a key counts as hot, ``HOT_ROWS`` by default.
+    ``hot`` says that a key may hold much of ``rows``. Adaptive execution splits the partition of such a key only
+    if both sides were shuffled for this very join, but a lookup aggregated by the same keys is joined as it lies.
+    Passing its keys through a one-element array hides that it is in place already, so it moves once more (one row
+    per key) and the hot partition is split.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type: {how}")
-    if counts is None:
-        counts = rows.groupBy(*keys).agg(F.count("*").alias("n"))
-    lookups = lookups if isinstance(lookups, list) else [lookups]
-    out = [*rows.columns, *(c for lookup in lookups for c in lookup.columns if c not in keys)]
-
-    # Both branches compare null-safely with the hot keys, so that each row
-    # takes exactly one of them.
-    hot = _renamed(hot_keys(counts, keys, "n", hot_rows), keys, "_h_")
-    hot_lookup, cold = hot, rows.join(F.broadcast(hot), _match(keys, "_h_", True), "left_anti")
-    for number, lookup in enumerate(lookups):
-        own = f"_l{number}_"
-        lookup = _renamed(lookup, keys, own)
-        cold = cold.join(lookup, _match(keys, own, null_safe), how)
-        picked = lookup.join(F.broadcast(hot), _match(keys, "_h_", null_safe, own), "left_semi")
-        hot_lookup = hot_lookup.join(F.broadcast(picked), _match(keys, own, null_safe, "_h_"), how)
-    in_place = rows.join(F.broadcast(hot_lookup), _match(keys, "_h_", True), "inner")
-    return in_place.select(*out).unionByName(cold.select(*out))
+    own = {k: f"_l_{k}" for k in keys}
+    renamed = lookup.withColumnsRenamed(own)
+    if hot:
+        renamed = renamed.withColumns({c: F.array_max(F.array(c)) for c in own.values()})
+    pairs = ((F.col(k), F.col(c)) for k, c in own.items())
+    match = reduce(Column.__and__, (a.eqNullSafe(b) if null_safe else a == b for a, b in pairs))
+    return rows.join(renamed, match, how).drop(*own.values())

@@ -37,17 +37,13 @@ def clean_delete_shared_load_ts(
     """
     loads = df.where(on_day(ts, load_day)).groupBy(key, ts).agg(F.count("*").alias("copies"))
     newest = loads.groupBy(key).agg(F.max(ts).alias("newest"))
-    versions = loads.groupBy(key).agg(F.count("*").alias("n"))
     outdated = (
-        lookup_join(loads, newest, [key], null_safe=True, counts=versions)
+        lookup_join(loads, newest, [key], null_safe=True)
         .where((F.col(ts) < F.col("newest")) | (F.col("copies") > 1))
         .select(ts)
         .distinct()
-        .withColumn("_outdated", F.lit(True))
     )
-    rows_per_load = df.groupBy(ts).agg(F.count("*").alias("n"))
-    marked = lookup_join(df, outdated, [ts], how="left", counts=rows_per_load)
-    return marked.where(F.col("_outdated").isNull()).drop("_outdated")
+    return df.join(outdated, ts, "left_anti").select(*df.columns)
 
 
 def clean_invalid_duration(sessions: DataFrame, load_day: dt.date | str) -> DataFrame:

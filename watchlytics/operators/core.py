@@ -50,8 +50,9 @@ def dim_users(
     Reads unfiltered sessions, and every row of ``users``: reloaded users
     appear once per load.
     """
-    per_user = [user_viewing_stats(sessions), user_subscription_stats(events)]
-    known = lookup_join(users, [s.withColumnRenamed("user_id", "id") for s in per_user], ["id"], how="left")
+    viewing = user_viewing_stats(sessions).withColumnRenamed("user_id", "id")
+    subscription = user_subscription_stats(events).withColumnRenamed("user_id", "id")
+    known = lookup_join(lookup_join(users, viewing, ["id"], how="left"), subscription, ["id"], how="left")
     idle_days = F.datediff(F.lit(str(as_of)).cast("date"), F.to_date("last_viewing_date"))
     tier = (
         F.when(F.col("subscription_plan").isin(premium_plans), "Premium")
@@ -124,8 +125,9 @@ def content_rating_stats(ratings: DataFrame) -> DataFrame:
 
 def dim_content(content: DataFrame, stg_sessions: DataFrame, ratings: DataFrame, updated_at=None) -> DataFrame:
     """Content dimension with its viewing and rating figures; reads filtered sessions."""
-    per_content = [content_viewing_stats(stg_sessions), content_rating_stats(ratings)]
-    known = lookup_join(content, [s.withColumnRenamed("content_id", "id") for s in per_content], ["id"], how="left")
+    viewing = content_viewing_stats(stg_sessions).withColumnRenamed("content_id", "id")
+    rating = content_rating_stats(ratings).withColumnRenamed("content_id", "id")
+    known = lookup_join(lookup_join(content, viewing, ["id"], how="left"), rating, ["id"], how="left")
     dim = known.select(
         F.col("id").alias("content_key"),
         "title",

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from watchlytics.functions.aggregates import with_distinct_count
 from watchlytics.functions.joins import lookup_join
-from watchlytics.functions.numbers import hundredths, mean, mean_of, mean_of_hundredths, ratio_round
+from watchlytics.functions.numbers import hundredths, mean, ratio_round
 from watchlytics.functions.ordering import range_buckets, rank_and_running_total
 from watchlytics.functions.stamps import with_updated_at
 
@@ -155,42 +155,49 @@ def daily_engagement_agg(stg_sessions: DataFrame, stg_users: DataFrame) -> DataF
     """Activity per day, country, age group and plan of known users.
 
     ``customer_tier`` is the age group, a name the consumers of this table know.
+    Sessions shrink to one row per day, user and title inside the map tasks, so a hot user
+    is no burden, and again to one per day and user before they meet the users. Both steps
+    keep the sums exact; a user listed several times counts once as a viewer and with all
+    sessions per listing, as in a join of the single sessions.
     """
-    profiles = stg_users.select("user_id", "country", "age_group", "subscription_plan")
-    used = stg_sessions.select(
-        F.to_date("session_start").alias("engagement_date"),
-        "user_id",
-        "content_id",
-        "duration_seconds",
-        "completion_rate",
-        "buffering_count",
-        "platform",
-        "quality",
-    )
     platform, quality = F.col("platform"), F.col("quality")
-    return (
-        lookup_join(used, profiles, ["user_id"])
-        .groupBy(
-            "engagement_date",
-            F.col("country").alias("country_code"),
-            F.col("age_group").alias("customer_tier"),
-            "subscription_plan",
-        )
-        .agg(
-            F.count_distinct("user_id").alias("daily_active_users"),
-            F.count_distinct("content_id").alias("unique_content_viewed"),
-            F.count("*").alias("total_sessions"),
-            F.sum(F.col("duration_seconds").cast("bigint")).alias("total_watch_time_seconds"),
-            mean_of_hundredths(F.col("completion_rate")).alias("avg_completion_rate"),
-            mean_of(F.col("buffering_count")).alias("avg_buffering_count"),
-            F.count_if(platform == "web").alias("web_sessions"),
-            F.count_if(platform.like("mobile%")).alias("mobile_sessions"),
-            F.count_if(platform == "smart_tv").alias("tv_sessions"),
-            F.count_if(quality.isin("4K", "HDR")).alias("high_quality_sessions"),
-            F.count_if(quality == "Full HD").alias("full_hd_sessions"),
-            F.count_if(quality == "HD").alias("hd_sessions"),
-            F.count_if(quality == "SD").alias("sd_sessions"),
-        )
+    sums = {
+        "total_sessions": F.count("*"),
+        "seconds": F.sum(F.col("duration_seconds").cast("bigint")),
+        "completion": F.sum(hundredths(F.col("completion_rate"))),
+        "completions": F.count("completion_rate"),
+        "buffering": F.sum(F.col("buffering_count").cast("bigint")),
+        "bufferings": F.count("buffering_count"),
+        "web_sessions": F.count_if(platform == "web"),
+        "mobile_sessions": F.count_if(platform.like("mobile%")),
+        "tv_sessions": F.count_if(platform == "smart_tv"),
+        "high_quality_sessions": F.count_if(quality.isin("4K", "HDR")),
+        "full_hd_sessions": F.count_if(quality == "Full HD"),
+        "hd_sessions": F.count_if(quality == "HD"),
+        "sd_sessions": F.count_if(quality == "SD"),
+    }
+    per_title = stg_sessions.groupBy(F.to_date("session_start").alias("engagement_date"), "user_id", "content_id").agg(
+        *(column.alias(name) for name, column in sums.items())
+    )
+    profiles = stg_users.select(
+        "user_id", F.col("country").alias("country_code"), F.col("age_group").alias("customer_tier"), "subscription_plan"
+    )
+    joined = lookup_join(per_title, profiles, ["user_id"], hot=True)
+    group = ["engagement_date", "country_code", "customer_tier", "subscription_plan"]
+    totals = [F.sum(name).alias(name) for name in sums]
+    per_user = joined.groupBy(*group, "user_id").agg(*totals)
+    figures = per_user.groupBy(*group).agg(F.count("user_id").alias("daily_active_users"), *totals)
+    titles = joined.select(*group, "content_id").distinct().groupBy(*group).agg(F.count("content_id").alias("unique_content_viewed"))
+    found = lookup_join(figures, titles, group, null_safe=True)
+    return found.select(
+        *group,
+        "daily_active_users",
+        "unique_content_viewed",
+        "total_sessions",
+        F.col("seconds").alias("total_watch_time_seconds"),
+        mean(F.col("completion"), F.col("completions"), 100).alias("avg_completion_rate"),
+        mean(F.col("buffering"), F.col("bufferings")).alias("avg_buffering_count"),
+        *(c for c in sums if c.endswith("_sessions") and c != "total_sessions"),
     )
 
 
@@ -222,15 +229,15 @@ def mart_user_engagement(stg_sessions: DataFrame, stg_users: DataFrame, updated_
 def subscription_event_count(stg_events: DataFrame) -> DataFrame:
     """Every event with the number of events of its user and type.
 
-    Counts are aggregated first and joined back, which keeps a user with very
-    many events from filling one task, as a window would.
+    Counts are aggregated first and joined back: adaptive execution splits the join for a
+    user with very many events, whom a window would put into one task.
     """
     keys = ["user_id", "event_type"]
-    counts = stg_events.groupBy(*keys).agg(F.count("*").alias("n"))
+    counts = stg_events.groupBy(*keys).agg(F.count("*").alias("event_count"))
     events = stg_events.select(
         "user_id", "event_type", F.col("event_at").alias("event_date"), "previous_plan", "new_plan"
     )
-    return lookup_join(events, counts.withColumnRenamed("n", "event_count"), keys, null_safe=True, counts=counts)
+    return lookup_join(events, counts, keys, null_safe=True, hot=True)
 
 
 def mart_subscription_analytics(stg_events: DataFrame, updated_at=None) -> DataFrame:

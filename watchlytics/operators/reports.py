@@ -50,7 +50,7 @@ def popular_content(content: DataFrame, sessions: DataFrame, ratings: DataFrame,
     one = F.lit(1)
     view_count = F.col("copies") * F.coalesce("views", F.lit(0)) * F.greatest(F.coalesce("ratings", one), one)
     return (
-        lookup_join(_titles(content), [_views(sessions), rated], ["content_id"], how="left")
+        lookup_join(lookup_join(_titles(content), _views(sessions), ["content_id"], "left"), rated, ["content_id"], "left")
         .select(
             F.col("content_id").alias("id"),
             "title",
@@ -197,14 +197,18 @@ def plan_share(users: DataFrame) -> DataFrame:
 # --- selections --------------------------------------------------------------
 
 
-def eligible_users(users: DataFrame, n: int = 5000) -> DataFrame:
-    """Up to ``n`` active users."""
-    return users.where("is_active").select("id").orderBy("id").limit(n)
+def _first(df: DataFrame, key: str, n: int | None) -> DataFrame:
+    return df if n is None else df.orderBy(key).limit(n)
 
 
-def distinct_viewers(sessions: DataFrame, n: int = 3000) -> DataFrame:
-    """Up to ``n`` users who watched something."""
-    return sessions.where("user_id IS NOT NULL").select("user_id").distinct().orderBy("user_id").limit(n)
+def eligible_users(users: DataFrame, n: int | None = None) -> DataFrame:
+    """Active users: all, or the first ``n`` by id."""
+    return _first(users.where("is_active").select("id"), "id", n)
+
+
+def distinct_viewers(sessions: DataFrame, n: int | None = None) -> DataFrame:
+    """Users who watched something: all, or the first ``n`` by id."""
+    return _first(sessions.where("user_id IS NOT NULL").select("user_id").distinct(), "user_id", n)
 
 
 def top_rated_content(content: DataFrame, n: int = 100) -> DataFrame:
@@ -217,8 +221,8 @@ def top_rated_content(content: DataFrame, n: int = 100) -> DataFrame:
     )
 
 
-def tv_show_sessions(sessions: DataFrame, content: DataFrame, n: int = 5000) -> DataFrame:
-    """Up to ``n`` sessions of TV shows."""
+def tv_show_sessions(sessions: DataFrame, content: DataFrame, n: int | None = None) -> DataFrame:
+    """Sessions of TV shows: all, or the first ``n`` by id."""
     shows = content.where("content_type = 'tv_show'").select(F.col("id").alias("content_id")).distinct()
     viewed = sessions.select("id", "user_id", "content_id")
-    return lookup_join(viewed, shows, ["content_id"]).select("id", "user_id").orderBy("id").limit(n)
+    return _first(lookup_join(viewed, shows, ["content_id"], hot=True).select("id", "user_id"), "id", n)
