@@ -129,10 +129,9 @@ for _name in TABLES:
     QUERIES[f"load_csv_typed_{_name}"] = _typed_load(_name)
 
 
-def _damaged(spark: SparkSession, sf: str) -> DataFrame:
-    """Landed watchlist lines, of which some got an unreadable field or length."""
-    root = new_folder(spark, "landing")
-    lines = table(spark, sf, "watchlist", loaded=False).select(
+def _damaged_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Watchlist lines, of which some have an unreadable field."""
+    return table(spark, sf, "watchlist", loaded=False).select(
         F.when(F.expr("id % 7 = 0"), "x1").otherwise(F.expr("id || '.0'")).alias("id"),
         "user_id",
         "content_id",
@@ -140,7 +139,10 @@ def _damaged(spark: SparkSession, sf: str) -> DataFrame:
         F.initcap(F.col("watched").cast("string")).alias("watched"),
         "watched_date",
     )
-    path = landing.land_csv_dated(lines, root, "watchlist", AS_OF)
+
+
+def _damaged(spark: SparkSession, sf: str) -> DataFrame:
+    path = landing.land_csv_dated(_damaged_lines(spark, sf), new_folder(spark, "landing"), "watchlist", AS_OF)
     return loading.read_text(spark, path, "watchlist")
 
 
@@ -221,15 +223,28 @@ QUERIES["land_incremental"] = QUERIES.pop("land_incremental_query")
 def landed_manifest(spark, sf):
     root = new_folder(spark, "landing")
     for name in ("users", "content"):
-        landing.land_csv_dated(table(spark, sf, name, loaded=False), root, name, AS_OF)
+        # Three parts with rows each, hence three files.
+        df = table(spark, sf, name, loaded=False)
+        landing.land_csv_dated(df.repartitionByRange(3, "id"), root, name, AS_OF)
     files = landing.landed_manifest(spark, f"{root}/raw/postgres")
+    rows = all_rows(spark, sf)
     folder = F.regexp_extract("path", r"/([^/]+)/(\d{4}-\d{2}-\d{2})/[^/]+$", 1)
     day = F.regexp_extract("path", r"/([^/]+)/(\d{4}-\d{2}-\d{2})/[^/]+$", 2).cast("date")
-    return files.groupBy(folder.alias("table_name"), day.alias("load_date")).agg(
-        (F.sum("size") > 0).alias("has_data")
+    found = files.groupBy(folder.alias("table_name"), day.alias("load_date")).agg(F.count("*").alias("n_files"), F.sum("size").alias("size"))
+    return found.join(rows, "table_name").select(
+        "table_name", "load_date", "n_files", (F.col("size") >= F.col("least_size")).alias("big_enough")
     )
 
 
+def all_rows(spark, sf):
+    """Characters that landed files must hold at least: a comma per field."""
+    sizes = []
+    for name in ("users", "content"):
+        df = table(spark, sf, name, loaded=False)
+        sizes.append(df.agg(F.lit(name).alias("table_name"), (F.count("*") * len(df.columns)).alias("least_size")))
+    return sizes[0].unionByName(sizes[1])
+
+
 def _load_message(name: str) -> Query:
     return lambda spark, sf: messages.load_count_message(table(spark, sf, name), f"stg_{name}")
 
@@ -268,6 +283,7 @@ def materialize(spark, sf):
 def run_daily_query(spark, sf):
     root, store = new_folder(spark, "landing"), new_folder(spark, "warehouse")
     landing.land_all_tables(spark, lambda name: table(spark, sf, name, loaded=False), root, AS_OF)
+    landing.land_csv_dated(_damaged_lines(spark, sf), root, "watchlist", AS_OF)
     return run_daily(spark, root, store, Parameters(as_of=AS_OF))
 
 

@@ -60,6 +60,39 @@ def test_daily_run_twice(spark, tmp_path):
     # The next day adds its own snapshot: users are current in staging, the dimension shows each load.
     assert next_day["rows", "stg_users", ""] == 2 and next_day["rows", "dim_users", ""] == 4
     assert next_day["check", "users.id", "unique"] == 2
+    assert next_day["loaded", "users", ""] == 2 and next_day["rejects", "users", ""] == 0
+    assert {row.id for row in spark.table("app_active_users").collect()} <= {1, 2}
+    assert spark.table("app_daily_engagement").count() > 0 and spark.table("app_popular_content").count() == 0
+
+
+def test_rejected_lines_are_kept_and_counted(spark, tmp_path):
+    tables = {name: frame(spark, name).drop("_loaded_at") for name in schemas.TABLES}
+    root, store = str(tmp_path / "landing"), str(tmp_path / "store")
+    folder = tmp_path / "landing" / "raw" / "postgres" / "watchlist" / "2024-02-01"
+    landing.land_all_tables(spark, tables.__getitem__, root, "2024-02-01")
+    folder.mkdir(parents=True)
+    (folder / "export.csv").write_text("id,user_id,content_id,added_date,watched,watched_date\n1,2,3,,True,\nx,2,3,,,\n4,5\n")
+    for _ in range(2):
+        report = {(r.kind, r.name): r.n for r in run_daily(spark, root, store, Parameters(as_of="2024-02-01")).collect()}
+        assert report["loaded", "watchlist"] == 1 and report["rejects", "watchlist"] == 2
+    kept = spark.read.parquet(f"{store}/rejects/watchlist")
+    assert {(r.id, tuple(r.bad_columns)) for r in kept.collect()} == {("x", ("id",)), ("4", ())}
+    out, bad = str(tmp_path / "out"), str(tmp_path / "bad")
+    job = ["load", "--landing", root, "--table", "watchlist", "--out", out, "--checkpoint", str(tmp_path / "checkpoint")]
+    main([*job, "--rejects", bad])
+    assert spark.read.parquet(out).count() == 1 and spark.read.parquet(bad).count() == 2
+
+
+def test_a_table_that_became_empty_leaves_nothing_of_its_day(spark, tmp_path):
+    empty = {name: frame(spark, name).drop("_loaded_at") for name in schemas.TABLES}
+    full = empty | {"users": frame(spark, "users", user(1)).drop("_loaded_at")}
+    root, store = str(tmp_path / "landing"), str(tmp_path / "store")
+    counts = []
+    for tables in (full, empty):
+        landing.land_all_tables(spark, tables.__getitem__, root, "2024-02-01")
+        report = {(r.kind, r.name): r.n for r in run_daily(spark, root, store, Parameters(as_of="2024-02-01")).collect()}
+        counts.append((report["loaded", "users"], report["rows", "stg_users"]))
+    assert counts == [(1, 1), (0, 0)]
 
 
 def test_command_line(spark, tmp_path, capsys):

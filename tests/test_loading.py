@@ -5,10 +5,11 @@ from decimal import Decimal
 
 import pytest
 from conftest import rows
-from pyspark.sql import Row
+from pyspark.sql import Row, functions as F
 
 from watchlytics import schemas
 from watchlytics.sources import landing, loading, relational, staging_store
+from watchlytics.streaming.incremental import land_incremental, reject_incremental
 
 AS_OF = "2024-02-01"
 
@@ -115,7 +116,9 @@ def test_file_name_pattern(spark, tmp_path):
     try:
         executed = matching.select("id")._jdf.queryExecution().executedPlan()
         executed.executeCollect()
-        assert executed.collectLeaves().head().metrics().apply("numFiles").value() == 1
+        leaves = executed.collectLeaves()
+        opened = [leaves.apply(i).metrics().apply("numFiles").value() for i in range(leaves.size())]
+        assert sorted(opened) == [0, 1]  # no file of this library, one foreign file
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
@@ -168,3 +171,81 @@ def test_materialize(spark):
     for n in (4, 2):
         table = staging_store.materialize(spark.range(n), "core", "some_table")
         assert spark.table(table).count() == n
+
+
+NASTY = ["a\nb", "a\r\nb", "\r", "\n", 'say "no"', "back\\slash", "\\n", "\\\n", "\\\\r\\", "a,b\\"]
+
+
+def nasty_rows(spark, table):
+    """Ten rows with line breaks, quotes and backslashes in every text column."""
+    data = []
+    for i, text in enumerate(NASTY):
+        row = []
+        for declared in schemas.TABLES[table].values():
+            kind = schemas.spark_type(declared)
+            if kind == "string":
+                row.append(text[: int(declared[8:-1])] if declared.startswith("varchar") else text)
+            elif kind.startswith("array"):
+                row.append([text, "x"])
+            else:
+                row.append(i if kind in ("int", "bigint") else None)
+        data.append(tuple(row))
+    return spark.createDataFrame(data, schemas.ddl(table))
+
+
+@pytest.mark.parametrize("table", list(schemas.TABLES))
+def test_line_breaks_survive_the_round_trip(spark, tmp_path, table):
+    df = nasty_rows(spark, table)
+    path = landing.land_csv_dated(df.repartition(2), str(tmp_path), table, AS_OF)
+    good, rejects = loading.load_reject_bad_rows(loading.read_text(spark, path, table), table)
+    assert rejects.count() == 0
+    assert rows(good) == rows(df)
+
+
+@pytest.mark.parametrize("table", list(schemas.TABLES))
+def test_line_breaks_survive_the_stream(spark, tmp_path, table):
+    df = nasty_rows(spark, table)
+    landing.land_csv_dated(df, str(tmp_path / "landing"), table, AS_OF)
+    out, bad = str(tmp_path / "out"), str(tmp_path / "bad")
+    land_incremental(spark, str(tmp_path / "landing"), table, out, str(tmp_path / "c1")).awaitTermination()
+    reject_incremental(spark, str(tmp_path / "landing"), table, bad, str(tmp_path / "c2")).awaitTermination()
+    loaded = spark.read.parquet(out)
+    assert rows(loaded, *df.columns) == rows(df)
+    assert loaded.select("_loaded_at").distinct().collect() == [Row(dt.datetime(2024, 2, 1))]
+    assert spark.read.schema("_broken string").parquet(bad).count() == 0
+
+
+@pytest.mark.parametrize("table", list(schemas.TABLES))
+def test_foreign_files_may_break_lines_in_any_column(spark, tmp_path, table):
+    df = nasty_rows(spark, table)
+    arrays = [c for c, t in df.dtypes if t.startswith("array")]
+    texts = df.withColumns({c: F.to_json(c) for c in arrays}).toPandas()
+    texts.to_csv(tmp_path / "export.csv", index=False)
+    good, rejects = loading.load_reject_bad_rows(loading.read_text(spark, str(tmp_path), table), table)
+    assert rejects.count() == 0
+    assert good.count() == len(NASTY)
+
+
+def test_own_and_foreign_files_side_by_side(spark, tmp_path):
+    path = landing.land_csv_dated(nasty_rows(spark, "users"), str(tmp_path), "users", AS_OF)
+    foreign = "\n".join([",".join(schemas.TABLES["users"]), '77,a\\nb,"two' + "\n" + 'lines"' + "," * (len(schemas.TABLES["users"]) - 3)])
+    with open(f"{path}/export.csv", "w") as file:
+        file.write(foreign + "\n")
+    found = loading.load_csv_typed(spark, path, "users")
+    assert found.count() == len(NASTY) + 1
+    assert rows(found.where("id = 77"), "email", "username") == [("a\\nb", "two\nlines")]
+
+
+def test_own_files_are_split(spark, tmp_path):
+    """Files written here are cut between tasks, so their size does not matter."""
+    plain = spark.createDataFrame([(i, 2, 3, None, True, None) for i in range(5000)], schemas.ddl("watchlist"))
+    path = landing.land_csv_dated(
+        nasty_rows(spark, "watchlist").unionByName(plain).coalesce(1), str(tmp_path), "watchlist", AS_OF
+    )
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        found = loading.load_csv_typed(spark, path, "watchlist")
+        assert found.rdd.getNumPartitions() > 3
+        assert found.count() == 5000 + len(NASTY)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")

@@ -9,7 +9,7 @@ from watchlytics.plans.daily import run_daily
 from watchlytics.plans.extract import run_extract
 from watchlytics.plans.models import Parameters
 from watchlytics.session import build_session
-from watchlytics.streaming.incremental import land_incremental
+from watchlytics.streaming.incremental import land_incremental, reject_incremental
 
 
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
@@ -26,6 +26,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     load.add_argument("--table", choices=list(schemas.TABLES), required=True)
     load.add_argument("--out", required=True)
     load.add_argument("--checkpoint", required=True)
+    load.add_argument("--rejects", help="folder of the lines that do not fit")
 
     daily = jobs.add_parser("daily")
     daily.add_argument("--store", required=True)
@@ -52,6 +53,9 @@ def main(argv: list[str] | None = None) -> None:
         run_extract(spark, source, args.landing, args.as_of, args.partitions).show(truncate=False)
     elif args.job == "load":
         land_incremental(spark, args.landing, args.table, args.out, args.checkpoint).awaitTermination()
+        if args.rejects:
+            checkpoint = args.checkpoint.rstrip("/") + "-rejects"
+            reject_incremental(spark, args.landing, args.table, args.rejects, checkpoint).awaitTermination()
     else:
         parameters = Parameters(
             as_of=args.as_of,

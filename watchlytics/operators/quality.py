@@ -71,36 +71,63 @@ class Check:
     parent_column: str = "id"
 
 
-def _declare(model: str, **columns: str) -> list[Check]:
-    """Checks of a model; ``u`` unique, ``n`` not null, any other word a parent table."""
-    checks = []
-    for column, spec in columns.items():
-        for word in spec.split():
-            if word == "u":
-                checks.append(Check(model, column, "unique"))
-            elif word == "n":
-                checks.append(Check(model, column, "not_null"))
-            else:
-                checks.append(Check(model, column, "relationships", word))
-    return checks
-
-
 # --- fixed values: the 55 declared checks ------------------------------------
 CHECKS: list[Check] = [
-    *_declare("users", id="u n", email="u n", username="u n"),
-    *_declare("content", id="u n", title="n"),
-    *_declare("viewing_sessions", id="u n", user_id="n users", content_id="n content"),
-    *_declare("ratings", id="u n", user_id="n users", content_id="n content"),
-    *_declare("watchlist", id="u n", user_id="n users", content_id="n content"),
-    *_declare("subscription_events", id="u n", user_id="n users"),
-    *_declare("search_queries", id="u n", user_id="users", clicked_content_id="content"),
-    *_declare("episodes", id="u n", tv_show_id="n content"),
-    *_declare("episode_viewing", id="u n", viewing_session_id="viewing_sessions", episode_id="episodes", user_id="users"),
-    *_declare("dim_users", user_key="n u"),
-    *_declare("dim_content", content_key="n u"),
-    *_declare("mart_user_engagement", engagement_date="n", daily_active_users="n"),
-    *_declare("mart_content_performance", content_id="n", watch_time_rank="n"),
-    *_declare("mart_subscription_analytics", user_id="n", event_type="n", event_date="n"),
+    Check("users", "id", "unique"),
+    Check("users", "id", "not_null"),
+    Check("users", "email", "unique"),
+    Check("users", "email", "not_null"),
+    Check("users", "username", "unique"),
+    Check("users", "username", "not_null"),
+    Check("content", "id", "unique"),
+    Check("content", "id", "not_null"),
+    Check("content", "title", "not_null"),
+    Check("viewing_sessions", "id", "unique"),
+    Check("viewing_sessions", "id", "not_null"),
+    Check("viewing_sessions", "user_id", "not_null"),
+    Check("viewing_sessions", "user_id", "relationships", parent="users"),
+    Check("viewing_sessions", "content_id", "not_null"),
+    Check("viewing_sessions", "content_id", "relationships", parent="content"),
+    Check("ratings", "id", "unique"),
+    Check("ratings", "id", "not_null"),
+    Check("ratings", "user_id", "not_null"),
+    Check("ratings", "user_id", "relationships", parent="users"),
+    Check("ratings", "content_id", "not_null"),
+    Check("ratings", "content_id", "relationships", parent="content"),
+    Check("watchlist", "id", "unique"),
+    Check("watchlist", "id", "not_null"),
+    Check("watchlist", "user_id", "not_null"),
+    Check("watchlist", "user_id", "relationships", parent="users"),
+    Check("watchlist", "content_id", "not_null"),
+    Check("watchlist", "content_id", "relationships", parent="content"),
+    Check("subscription_events", "id", "unique"),
+    Check("subscription_events", "id", "not_null"),
+    Check("subscription_events", "user_id", "not_null"),
+    Check("subscription_events", "user_id", "relationships", parent="users"),
+    Check("search_queries", "id", "unique"),
+    Check("search_queries", "id", "not_null"),
+    Check("search_queries", "user_id", "relationships", parent="users"),
+    Check("search_queries", "clicked_content_id", "relationships", parent="content"),
+    Check("episodes", "id", "unique"),
+    Check("episodes", "id", "not_null"),
+    Check("episodes", "tv_show_id", "not_null"),
+    Check("episodes", "tv_show_id", "relationships", parent="content"),
+    Check("episode_viewing", "id", "unique"),
+    Check("episode_viewing", "id", "not_null"),
+    Check("episode_viewing", "viewing_session_id", "relationships", parent="viewing_sessions"),
+    Check("episode_viewing", "episode_id", "relationships", parent="episodes"),
+    Check("episode_viewing", "user_id", "relationships", parent="users"),
+    Check("dim_users", "user_key", "not_null"),
+    Check("dim_users", "user_key", "unique"),
+    Check("dim_content", "content_key", "not_null"),
+    Check("dim_content", "content_key", "unique"),
+    Check("mart_user_engagement", "engagement_date", "not_null"),
+    Check("mart_user_engagement", "daily_active_users", "not_null"),
+    Check("mart_content_performance", "content_id", "not_null"),
+    Check("mart_content_performance", "watch_time_rank", "not_null"),
+    Check("mart_subscription_analytics", "user_id", "not_null"),
+    Check("mart_subscription_analytics", "event_type", "not_null"),
+    Check("mart_subscription_analytics", "event_date", "not_null"),
 ]
 
 # --- fixed values: constraints of the source tables --------------------------
@@ -140,9 +167,62 @@ def _line(model: str, column: str, check: str) -> list[Column]:
     return [F.lit(model).alias("model"), F.lit(column).alias("column"), F.lit(check).alias("check")]
 
 
-def _group_line(found: DataFrame, model: str, column: str, check: str, failures: Column) -> DataFrame:
-    counted = found.agg(F.coalesce(failures, F.lit(0).cast("bigint")).alias("failures"))
-    return counted.select(*_line(model, column, check), "failures")
+@dataclass(frozen=True)
+class _Key:
+    """A set of key values to be looked at: whose values, of which column, compared with the values of ``domain``."""
+
+    model: str
+    column: str  # or several, separated by ", "
+    check: str  # unique, unique_composite, relationships, or "" for the values of a parent only
+    domain: str
+
+
+def _keys(checks: Iterable[Check], tables: dict[str, DataFrame], together: bool) -> list[_Key]:
+    keys = []
+    for c in checks:
+        if c.kind == "unique":
+            keys.append(_Key(c.model, c.column, "unique", f"{c.model}.{c.column}"))
+        elif c.kind == "relationships":
+            keys.append(_Key(c.model, c.column, "relationships", f"{c.parent}.{c.parent_column}"))
+            keys.append(_Key(c.parent, c.parent_column, "", f"{c.parent}.{c.parent_column}"))
+    if together:
+        for model, columns in UNIQUE_TOGETHER.items():
+            if model in tables:
+                name = ", ".join(columns)
+                keys.append(_Key(model, name, "unique_composite", f"{model}.{name}"))
+    return list(dict.fromkeys(keys))
+
+
+def _key_lines(tables: dict[str, DataFrame], keys: list[_Key]) -> DataFrame:
+    """Failures of all checks on keys, from one pass over each table.
+
+    Every row is stacked to its key values; these are counted inside the map tasks, so a value with very many rows
+    moves as one row per task. The counts of a value in all its roles then meet: it fails a unique check if it
+    occurs more than once, and all its child rows fail if no parent has it.
+    """
+    stacked = []
+    for model in dict.fromkeys(k.model for k in keys):
+        values = []
+        for number, k in enumerate(keys):
+            if k.model == model:
+                parts = [F.col(c) for c in k.column.split(", ")]
+                complete = reduce(Column.__and__, (p.isNotNull() for p in parts))
+                value = parts[0].cast("string") if len(parts) == 1 else F.to_json(F.array(*(p.cast("string") for p in parts)))
+                values.append(F.struct(F.lit(k.domain).alias("domain"), F.when(complete, value).alias("value"), F.lit(number).alias("role")))
+        stacked.append(tables[model].select(F.inline(F.array(*values))).where("value IS NOT NULL"))
+    counted = reduce(DataFrame.unionByName, stacked).groupBy("domain", "value", "role").agg(F.count("*").alias("n"))
+    parents = [number for number, k in enumerate(keys) if not k.check]
+    met = counted.groupBy("domain", "value").agg(
+        F.collect_list(F.struct("role", "n")).alias("roles"), F.max(F.col("role").isin(parents)).alias("has_parent")
+    )
+    single = met.select("has_parent", F.inline("roles"))
+    lines = []
+    for number, k in enumerate(keys):
+        if k.check:
+            failed = F.when(~F.col("has_parent"), F.col("n")) if k.check == "relationships" else F.when(F.col("n") > 1, 1)
+            failures = F.coalesce(F.sum(F.when(F.col("role") == number, failed)), F.lit(0)).cast("bigint")
+            lines.append(F.struct(*_line(k.model, k.column, k.check), failures.alias("failures")))
+    return single.agg(F.array(*lines).alias("counts")).select(F.inline("counts"))
 
 
 def _row_rules(tables: dict[str, DataFrame], as_of) -> list[tuple[str, str, str, Column]]:
@@ -173,28 +253,20 @@ def _row_rule_lines(tables: dict[str, DataFrame], rules: list[tuple[str, str, st
 def dq_report(tables: dict[str, DataFrame], checks: Iterable[Check] | None = None, as_of=None) -> DataFrame:
     """Failures of all checks on the given tables: model, column, check, failures, status.
 
+    Each table is read twice: once for all rules about single rows, once for all its keys.
+
     Without ``checks`` all declared ones run whose tables are given. With
     ``as_of`` the constraints of the source tables are checked as well. A
     failure is a warning; the caller decides what follows from it.
     """
     if checks is None:
         checks = [c for c in CHECKS if c.model in tables and (c.parent is None or c.parent in tables)]
-    rules, lines = [], []
-    for c in checks:
-        df = tables[c.model]
-        if c.kind == "not_null":
-            rules.append((c.model, c.column, "not_null", F.col(c.column).isNull()))
-        elif c.kind == "unique":
-            lines.append(_group_line(dq_unique(df, c.column), c.model, c.column, "unique", F.count("*")))
-        else:
-            orphans = dq_relationships(df, c.column, tables[c.parent], c.parent_column)
-            lines.append(_group_line(orphans, c.model, c.column, "relationships", F.sum("n")))
+    checks = list(checks)
+    keys = _keys(checks, tables, as_of is not None)
+    lines = [_key_lines(tables, keys)] if keys else []
+    rules = [(c.model, c.column, "not_null", F.col(c.column).isNull()) for c in checks if c.kind == "not_null"]
     if as_of is not None:
         rules += _row_rules(tables, as_of)
-        for model, columns in UNIQUE_TOGETHER.items():
-            if model in tables:
-                found = dq_unique_composite(tables[model], columns)
-                lines.append(_group_line(found, model, ", ".join(columns), "unique_composite", F.count("*")))
     lines += _row_rule_lines(tables, rules)
     status = F.when(F.col("failures") > 0, "warn").otherwise("pass").alias("status")
     return reduce(DataFrame.unionByName, lines).select("model", "column", "check", "failures", status)

@@ -4,30 +4,34 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from watchlytics.operators.cleaning import clean_invalid_duration, clean_latest_per_id
+from watchlytics.operators.cleaning import clean_invalid_duration, clean_latest_per_id, on_day
 from watchlytics.operators.messages import row_count_recap
 from watchlytics.operators.quality import dq_report
-from watchlytics.plans.models import Parameters, core_models, mart_models, staging_models
+from watchlytics.plans.models import PARTITIONS, Parameters, application_views, core_models, mart_models, staging_models
 from watchlytics.schemas import TABLES, ddl
-from watchlytics.sources.landing import landed_manifest, landing_path
-from watchlytics.sources.loading import load_csv_typed, load_default_loaded_at
-from watchlytics.sources.staging_store import materialize, reload_day
+from watchlytics.sources.landing import exists, landing_path, remove
+from watchlytics.sources.loading import load_default_loaded_at, load_reject_bad_rows, read_text
+from watchlytics.sources.staging_store import day_path, materialize, reload_day
 
 
-def load_day(spark: SparkSession, landing: str, store: str, as_of: str) -> None:
-    """Load and clean the landed files of one day into the staging store.
+def load_day(spark: SparkSession, landing: str, store: str, rejected: str, as_of: str) -> None:
+    """Load and clean the landed files of one day into the staging store, keep rejected lines.
 
     Cleaning touches only the day that is loaded, so it happens on the way in:
-    the day is written once and never rewritten.
+    the day is written once and never rewritten. What an earlier run of the day left of a table that is
+    empty now goes.
     """
     for table in TABLES:
         path = landing_path(landing, table, as_of)
-        if not _exists(spark, path):
-            continue  # nothing was landed for an empty table
-        rows = load_default_loaded_at(load_csv_typed(spark, path, table), as_of)
+        if not exists(spark, path):  # nothing was landed for an empty table
+            remove(spark, day_path(f"{store}/{table}", as_of))
+            remove(spark, day_path(f"{rejected}/{table}", as_of))
+            continue
+        good, bad = load_reject_bad_rows(read_text(spark, path, table), table)
+        reload_day(bad, f"{rejected}/{table}", as_of)
+        rows = load_default_loaded_at(good, as_of)
         if table == "users":
             rows = clean_latest_per_id(rows)
         if table == "viewing_sessions":
@@ -35,42 +39,49 @@ def load_day(spark: SparkSession, landing: str, store: str, as_of: str) -> None:
         reload_day(rows, f"{store}/{table}", as_of)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        return not landed_manifest(spark, path, "*").isEmpty()
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-
-
 def read_store(spark: SparkSession, store: str) -> dict[str, DataFrame]:
     """The nine staging tables with all their load days."""
     tables = {}
     for table in TABLES:
         schema = f"{ddl(table)}, _loaded_at timestamp_ntz, _load_date date"
         path = f"{store}/{table}"
-        known = _exists(spark, path)
+        known = exists(spark, path)
         tables[table] = spark.read.schema(schema).parquet(path) if known else spark.createDataFrame([], schema)
     return tables
 
 
+def _loads(spark: SparkSession, raw: dict[str, DataFrame], rejected: str, as_of: str) -> list[DataFrame]:
+    """Rows loaded and lines rejected on the day, per source table."""
+    lines = []
+    for table, df in raw.items():
+        lines.append(df.where(on_day("_loaded_at", as_of)).agg(F.lit("loaded").alias("kind"), F.lit(table).alias("name"), F.count("*").alias("n")))
+        path = day_path(f"{rejected}/{table}", as_of)
+        bad = spark.read.schema("_broken string").parquet(path) if exists(spark, path) else spark.createDataFrame([], "_broken string")
+        lines.append(bad.agg(F.lit("rejects").alias("kind"), F.lit(table).alias("name"), F.count("*").alias("n")))
+    return [line.select("kind", "name", F.lit("").alias("check"), "n") for line in lines]
+
+
 def run_daily(spark: SparkSession, landing: str, store: str, parameters: Parameters) -> DataFrame:
     """Run one day; returns what was built and what the checks found.
 
-    The report has one row per object: kind (``rows`` or ``check``), layer,
-    name and number. Failed checks are reported, not raised.
+    The report has one row per object: kind, name, check and number. Kinds are ``loaded`` and
+    ``rejects`` (rows loaded and lines left out on the day, per source table), ``rows`` and ``check``.
+    Rejected lines are kept in ``<store>/rejects/<table>/_load_date=<day>``. Failed checks are reported, not raised.
+    The application views are published as ``app_<name>``.
     """
-    load_day(spark, landing, f"{store}/staging", parameters.as_of)
+    rejected = f"{store}/rejects"
+    load_day(spark, landing, f"{store}/staging", rejected, parameters.as_of)
     raw = read_store(spark, f"{store}/staging")
     stg = staging_models(raw, parameters)
     for name, df in stg.items():
         materialize(df, "staging", name)
+    for name, df in application_views(raw, parameters).items():
+        df.createOrReplaceTempView(f"app_{name}")
 
     built = {}
     for layer, models in (("core", core_models(raw, stg, parameters)), ("marts", mart_models(stg, parameters))):
         for name, df in models.items():
-            built[name] = spark.table(materialize(df, layer, name, f"{store}/{layer}/{name}"))
+            built[name] = spark.table(materialize(df, layer, name, f"{store}/{layer}/{name}", PARTITIONS.get(name)))
 
     rows = row_count_recap({**stg, **built}).select(
         F.lit("rows").alias("kind"), F.col("table_name").alias("name"), F.lit("").alias("check"), F.col("row_count").alias("n")
@@ -78,4 +89,4 @@ def run_daily(spark: SparkSession, landing: str, store: str, parameters: Paramet
     checks = dq_report({**raw, **built}, as_of=parameters.as_of).select(
         F.lit("check").alias("kind"), F.concat_ws(".", "model", "column").alias("name"), "check", F.col("failures").alias("n")
     )
-    return reduce(DataFrame.unionByName, [rows, checks])
+    return reduce(DataFrame.unionByName, [*_loads(spark, raw, rejected, parameters.as_of), rows, checks])

@@ -10,10 +10,14 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
-from watchlytics.operators import core, marts, staging
+from watchlytics.operators import core, marts, reports, staging
 from watchlytics.schemas import ACTIVE_DAYS, PREMIUM_PLANS, START_DATE
 
 
+# Columns by whose values a stored model is cut into folders; filters on them open only the folders they need.
+PARTITIONS = {"fact_viewing_sessions": "date_key", "mart_user_engagement": "engagement_date"}
+
+
 @dataclass(frozen=True)
 class Parameters:
     """What a run depends on besides its tables."""
@@ -68,3 +72,12 @@ def mart_models(stg: dict[str, DataFrame], p: Parameters) -> dict[str, DataFrame
         "mart_user_engagement": marts.mart_user_engagement(sessions, stg["stg_users"], p.as_of),
         "mart_subscription_analytics": marts.mart_subscription_analytics(stg["stg_subscription_events"], p.as_of),
     }
+
+
+def application_views(raw: dict[str, DataFrame], p: Parameters) -> dict[str, DataFrame]:
+    """The views the application reads."""
+    return {
+        "active_users": reports.active_users(raw["users"], p.as_of, p.active_days),
+        "popular_content": reports.popular_content(raw["content"], raw["viewing_sessions"], raw["ratings"]),
+        "daily_engagement": reports.daily_engagement(raw["viewing_sessions"]),
+    }

@@ -138,10 +138,6 @@ START_DATE = "2024-01-06"
 ACTIVE_DAYS = 30
 PREMIUM_PLANS = ["premium", "family", "ultimate"]
 
-# Tables with free text: a field may hold line breaks, so their files are read
-# whole. Files of all the other tables are split between tasks.
-FREE_TEXT_TABLES = {"content", "ratings", "search_queries", "episodes"}
-
 
 def spark_type(declared: str) -> str:
     """Spark type of a declared column type."""

@@ -5,30 +5,52 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from watchlytics.schemas import TABLES
 from watchlytics.sources.relational import skip_empty
 
-# Bounds the size of a landed file, as files with free text are read whole.
+# Bounds the size of a landed file for readers that cannot split it.
 ROWS_PER_FILE = 1_000_000
 
+# Names of files written here begin so: their fields hold no raw line breaks, hence tasks may split them.
+OWN_FILES = "+lines"
+
 
 def landing_path(root: str, table: str, as_of: dt.date | str) -> str:
     """Folder of one table and day."""
     return f"{root.rstrip('/')}/raw/postgres/{table}/{as_of}"
 
 
+def escaped(text: Column) -> Column:
+    """Text without line breaks: backslash, line feed and carriage return become two characters each."""
+    for character, name in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r")):
+        text = F.replace(text, F.lit(character), F.lit(name))
+    return text
+
+
+def unescaped(text: Column) -> Column:
+    """The text that :func:`escaped` was given."""
+    parts = F.split(text, r"\\\\", -1)
+    plain = F.transform(parts, lambda p: F.replace(F.replace(p, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r")))
+    return F.when(F.contains(text, F.lit("\\")), F.array_join(plain, "\\")).otherwise(text)
+
+
 def _as_text(df: DataFrame) -> DataFrame:
     # CSV has no arrays: they are landed as JSON text. The CSV writer would cut
     # timestamps to milliseconds, a cast keeps all digits.
-    arrays = {c: F.to_json(c) for c, t in df.dtypes if t.startswith("array")}
+    arrays = {c: escaped(F.to_json(c)) for c, t in df.dtypes if t.startswith("array")}
     stamps = {c: F.col(c).cast("string") for c, t in df.dtypes if t.startswith("timestamp")}
-    return df.withColumns({**arrays, **stamps}) if arrays or stamps else df
+    texts = {c: escaped(F.col(c)) for c, t in df.dtypes if t == "string"}
+    return df.withColumns({**arrays, **stamps, **texts})
 
 
 def land_csv_dated(df: DataFrame, root: str, table: str, as_of: dt.date | str) -> str:
-    """Write a snapshot with header lines; a second run replaces the day."""
+    """Write a snapshot with header lines; a second run replaces the day.
+
+    Line breaks are escaped and the files carry a name of their own, so a load knows that it
+    may split them and has to undo the escapes.
+    """
     path = landing_path(root, table, as_of)
     (
         _as_text(df)
@@ -41,11 +63,24 @@ def land_csv_dated(df: DataFrame, root: str, table: str, as_of: dt.date | str) -
             ignoreTrailingWhiteSpace=False,
             maxRecordsPerFile=ROWS_PER_FILE,
         )
+        .option("mapreduce.output.basename", OWN_FILES)
         .csv(path)
     )
     return path
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder is there, without listing what it holds."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder and what it holds, if it is there."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def land_all_tables(
     spark: SparkSession, tables: Callable[[str], DataFrame], root: str, as_of: dt.date | str
 ) -> DataFrame:
@@ -57,7 +92,9 @@ def land_all_tables(
     for name in TABLES:
         df = tables(name)
         written = 0
-        if not skip_empty(df):
+        if skip_empty(df):
+            remove(spark, landing_path(root, name, as_of))  # left by an earlier run of the day
+        else:
             seen = Observation(f"land_{name}")
             land_csv_dated(df.observe(seen, F.count(F.lit(1)).alias("n")), root, name, as_of)
             written = seen.get["n"]

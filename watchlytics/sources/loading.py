@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from watchlytics.schemas import FREE_TEXT_TABLES, TABLES, spark_type
+from watchlytics.schemas import TABLES, spark_type
+from watchlytics.sources.landing import OWN_FILES, unescaped
 
 BROKEN = "_broken"
+FILE = "_file"
 
 # Filters of a search as they may appear in the text column.
 SEARCH_FILTERS = (
@@ -18,11 +18,11 @@ SEARCH_FILTERS = (
 )
 
 
-def csv_options(table: str) -> dict:
-    """Reader options of the landed files of ``table``.
+def csv_options(own: bool) -> dict:
+    """Reader options of landed files: those this library wrote, or all others.
 
-    Only tables with free text are read file by file; splitting the others
-    between tasks is safe, as none of their fields holds a line break.
+    Fields of the former hold no line breaks, so their files are split between tasks. The others are
+    read file by file, as any field may hold one.
     """
     return {
         "header": True,
@@ -32,7 +32,8 @@ def csv_options(table: str) -> dict:
         "nullValue": "\0",
         "emptyValue": "",
         "mode": "PERMISSIVE",
-        "multiLine": table in FREE_TEXT_TABLES,
+        "multiLine": not own,
+        "pathGlobFilter": f"{OWN_FILES}*" if own else f"[!{OWN_FILES[0]}]*",
         "columnNameOfCorruptRecord": BROKEN,
         "columnPruning": False,
     }
@@ -43,18 +44,38 @@ def text_schema(table: str) -> str:
     return ", ".join(f"{c} string" for c in [*TABLES[table], BROKEN])
 
 
-def read_text(spark: SparkSession, path: str | list[str], table: str) -> DataFrame:
-    """Landed lines of ``table``, every field still text."""
-    return spark.read.schema(text_schema(table)).options(**csv_options(table)).csv(path)
+def _undone(lines: DataFrame, table: str) -> DataFrame:
+    return lines.withColumns({c: unescaped(F.col(c)) for c, t in TABLES[table].items() if _is_text(t)})
+
+
+def _is_text(declared: str) -> bool:
+    return spark_type(declared) == "string" or declared.startswith("array")
+
+
+def read_text(
+    spark: SparkSession, path: str | list[str], table: str, stream: bool = False, max_files: int | None = None
+) -> DataFrame:
+    """Landed lines of ``table``, every field still text, with the path of their file as ``FILE``.
+
+    Files of this library and foreign ones may lie side by side.
+    """
+    parts = []
+    for own in (True, False):
+        reader = (spark.readStream if stream else spark.read).schema(text_schema(table)).options(**csv_options(own))
+        if max_files:
+            reader = reader.option("maxFilesPerTrigger", max_files)
+        lines = reader.csv(path).withColumn(FILE, F.col("_metadata.file_path"))
+        parts.append(_undone(lines, table) if own else lines)
+    return parts[0].unionByName(parts[1])
 
 
 def load_filename_pattern(df: DataFrame, pattern: str) -> DataFrame:
     """Keep lines of files whose full path matches a regular expression.
 
-    A filter on file metadata is applied to the list of files, so files that do
+    The path is file metadata, so the filter is applied to the list of files and files that do
     not match are never opened.
     """
-    return df.where(F.col("_metadata.file_path").rlike(pattern))
+    return df.where(F.col(FILE).rlike(pattern))
 
 
 def _typed(column: str, declared: str) -> Column:
@@ -69,24 +90,37 @@ def _typed(column: str, declared: str) -> Column:
     return text if spark_type(declared) == "string" else text.try_cast(declared)
 
 
-def _bad(column: str, declared: str) -> Column:
-    """Whether the text of a field does not fit the declared type."""
+def _bad(column: str, declared: str, typed: Column) -> Column:
+    """Whether the text of a field does not fit the declared type; ``typed`` is what became of it."""
     if declared.startswith("varchar"):
         return F.char_length(column) > int(declared[8:-1])
     if declared == "string":
         return F.lit(False)
-    return F.col(column).isNotNull() & _typed(column, declared).isNull()
+    return F.col(column).isNotNull() & typed.isNull()
 
 
-def _is_bad(table: str) -> Column:
-    checks = [F.coalesce(_bad(c, t), F.lit(False)) for c, t in TABLES[table].items()]
-    return reduce(Column.__or__, checks, F.col(BROKEN).isNotNull())
+def parsed(raw: DataFrame, table: str) -> DataFrame:
+    """``raw`` with the typed row as struct ``_row`` and the names of columns that do not fit as ``_faults``.
+
+    Each field is converted once; the faults follow from text and converted value.
+    """
+    typed = raw.withColumn("_row", F.struct(*(_typed(c, t).alias(c) for c, t in TABLES[table].items())))
+    faults = [F.when(_bad(c, t, F.col(f"_row.{c}")), F.lit(c)) for c, t in TABLES[table].items()]
+    return typed.withColumn("_faults", F.array_compact(F.array(*faults)))
+
+
+def _fits() -> Column:
+    return F.col(BROKEN).isNull() & (F.size("_faults") == 0)
 
 
 def good_rows(raw: DataFrame, table: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """Typed rows of those lines that fit the table, with further columns to ``keep``."""
-    typed = (_typed(c, t).alias(c) for c, t in TABLES[table].items())
-    return raw.where(~_is_bad(table)).select(*typed, *keep)
+    return parsed(raw, table).where(_fits()).select("_row.*", *keep)
+
+
+def rejected_rows(raw: DataFrame, table: str) -> DataFrame:
+    """The other lines: their text and ``bad_columns``, the names of the columns at fault."""
+    return parsed(raw, table).where(~_fits()).drop("_row").withColumnRenamed("_faults", "bad_columns")
 
 
 def load_reject_bad_rows(raw: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
@@ -96,9 +130,7 @@ def load_reject_bad_rows(raw: DataFrame, table: str) -> tuple[DataFrame, DataFra
     fit its type or length; all other lines are loaded. Rejected lines keep
     their text and name the columns at fault.
     """
-    reasons = [F.when(_bad(c, t), F.lit(c)) for c, t in TABLES[table].items()]
-    rejects = raw.where(_is_bad(table)).withColumn("bad_columns", F.array_compact(F.array(*reasons)))
-    return good_rows(raw, table), rejects
+    return good_rows(raw, table), rejected_rows(raw, table)
 
 
 def load_csv_typed(spark: SparkSession, path: str | list[str], table: str) -> DataFrame:

@@ -21,16 +21,20 @@ def reload_day(df: DataFrame, path: str, as_of: dt.date | str) -> None:
     df.drop("_load_date").write.mode("overwrite").parquet(day_path(path, as_of))
 
 
-def materialize(df: DataFrame, layer: str, name: str, path: str | None = None) -> str:
+def materialize(df: DataFrame, layer: str, name: str, path: str | None = None, partition_by: str | None = None) -> str:
     """Publish a model under ``<layer>_<name>``: staging as view, the rest as table.
 
-    ``path`` stores the table outside the catalog's own folder.
+    ``path`` stores the table outside the catalog's own folder. ``partition_by`` cuts it into one folder per value;
+    rows are dealt to tasks by it first, spread evenly by Spark where a value holds many, so that folders get few files.
     """
     published = f"{layer}_{name}"
     if layer == "staging":
         df.createOrReplaceTempView(published)
     else:
-        writer = df.write.mode("overwrite").format("parquet")
+        writer = df.hint("rebalance", partition_by).write if partition_by else df.write
+        writer = writer.mode("overwrite").format("parquet")
+        if partition_by:
+            writer = writer.partitionBy(partition_by)
         if path:
             writer = writer.option("path", path)
         writer.saveAsTable(published)

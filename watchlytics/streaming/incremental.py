@@ -2,10 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from watchlytics.sources.loading import csv_options, good_rows, text_schema
+from watchlytics.sources.loading import FILE, good_rows, read_text, rejected_rows
+
+
+def _lines(spark: SparkSession, root: str, table: str, max_files: int | None) -> DataFrame:
+    path = f"{root.rstrip('/')}/raw/postgres/{table}/*"
+    lines = read_text(spark, path, table, stream=True, max_files=max_files)
+    return lines.withColumn("_load_date", F.regexp_extract(FILE, r"/(\d{4}-\d{2}-\d{2})/[^/]*$", 1).cast("date"))
+
+
+def _start(rows: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+    return (
+        rows.writeStream.format("parquet")
+        .partitionBy("_load_date")
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start(out)
+    )
 
 
 def land_incremental(
@@ -13,23 +29,22 @@ def land_incremental(
 ) -> StreamingQuery:
     """Load all files of ``table`` not loaded before, then stop.
 
-    The load day comes from the dated folder of a file. The stream's checkpoint
+    The load day comes from the dated folder of a file and is its load time, so the result can
+    serve as a staging table. The stream's checkpoint
     remembers files, so a second run without new files adds nothing; a day that
     is landed again counts as new files. Use it for folders that only grow, and
     ``reload_day`` for days that may be replaced.
     ``max_files`` limits one batch, not the run: all files are still loaded.
     """
-    options = csv_options(table)
-    if max_files:
-        options["maxFilesPerTrigger"] = max_files
-    lines = spark.readStream.schema(text_schema(table)).options(**options)
-    lines = lines.csv(f"{root.rstrip('/')}/raw/postgres/{table}/*")
-    day = F.regexp_extract("_metadata.file_path", r"/(\d{4}-\d{2}-\d{2})/[^/]*$", 1).cast("date")
-    rows = good_rows(lines.withColumn("_load_date", day), table, keep=("_load_date",))
-    return (
-        rows.writeStream.format("parquet")
-        .partitionBy("_load_date")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start(out)
-    )
+    rows = good_rows(_lines(spark, root, table, max_files), table, keep=("_load_date",))
+    return _start(rows.withColumn("_loaded_at", F.col("_load_date").cast("timestamp_ntz")), out, checkpoint)
+
+
+def reject_incremental(
+    spark: SparkSession, root: str, table: str, out: str, checkpoint: str, max_files: int | None = None
+) -> StreamingQuery:
+    """Keep the lines that ``land_incremental`` leaves out, with the columns at fault and their file.
+
+    A stream of its own with its own checkpoint: both sinks then hold each line exactly once.
+    """
+    return _start(rejected_rows(_lines(spark, root, table, max_files), table), out, checkpoint)
