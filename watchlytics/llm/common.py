@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from watchlytics.session import new_folder
@@ -31,7 +32,9 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     """
     path = new_folder(df.sparkSession, purpose)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    found = df.sparkSession.read.schema(df.schema).parquet(path)
+    found.stored_path = path
+    return found
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,3 +52,36 @@ def free_name(df: DataFrame, wanted: str) -> str:
     while wanted.lower() in taken:
         wanted = "_" + wanted
     return wanted
+
+
+def discard(spark: SparkSession, *frames: DataFrame | str) -> None:
+    """Remove the folders of stored frames, or folders by path, that nothing needs any more."""
+    for frame in frames:
+        path = frame if isinstance(frame, str) else frame.stored_path
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def _is_plain_scan(docs: DataFrame) -> bool:
+    """Whether the rows are those of files, some of them perhaps filtered out, each once."""
+    node = docs._jdf.queryExecution().analyzed()
+    while node.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        node = node.children().head()
+    return node.nodeName() == "LogicalRelation" or node.nodeName().startswith("Relation")
+
+
+def placed(docs: DataFrame) -> DataFrame:
+    """``docs`` as one struct ``document`` per row, with the row's locator: ``file`` and ``place`` within it.
+
+    Rows read from files are located there. All others are written to the shared folder first, which gives
+    every row, repeated ones too, a place that is the same whenever it is read again.
+    """
+    document = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("document")
+    locator = (F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place"))
+    if "_metadata" not in (c.lower() for c in docs.columns) and _is_plain_scan(docs):
+        try:
+            return docs.select(document, *locator)
+        except AnalysisException:  # files without such metadata
+            pass
+    copy = stored(docs.select(document), "documents")
+    return copy.select("document", *locator)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from watchlytics.llm.common import stored
+from watchlytics.llm.common import discard, stored
 
 #: Alternations end long before; more would mean an error.
 MOST_ROUNDS = 60
@@ -33,10 +33,12 @@ def components(links: DataFrame) -> DataFrame:
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = stored(large.where("u > v").distinct(), "large-star")
+        spark = large.sparkSession
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u")
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
         links = stored(small.where("u > v").distinct(), "small-star")
+        discard(spark, large)
         now = _state(links)
         if now == before:
             break

@@ -1,14 +1,15 @@
 """Exact dedup by a stream over keyed state that lives on disk and never expires.
 
-Texts are equal when they agree after white space (``\\x20 \\x09-\\x0D``) is deleted; null counts as empty. A stream reads
-the files not seen before and keeps, per SHA-256 digest of the normalised text, the preferred row so far (most
-code points, then smallest identifier, then first place) with its identifier and content locator
-(file and row number), and the number of rows. The state is kept by RocksDB in the stream's checkpoint, so a
-later run goes on from it. Rows of a digest that has hits are then fetched and their full normalised bytes
-compared with those of the kept row; should a digest ever cover different bytes, its rows are grouped by
-these bytes instead. The stable identifier is ``doc_id``; rows that repeat an identifier are told apart by their place,
-null identifiers come after all others. An empty table gives no rows. Extra columns of any
-name are neither read nor in the way.
+Texts are equal when they agree after white space (``\\x20 \\x09-\\x0D``) is deleted; null counts as empty. Each row enters
+a ledger: the SHA-256 digest of its normalised text, its identifier ``doc_id``, its number of code points and its content
+locator (file and row number). A stream reads the ledger files it has not seen and keeps per digest the preferred row so far
+(most code points, then smallest identifier, then first place) and the number of rows. The state is kept by RocksDB in the
+stream's checkpoint, so a later run goes on from it. Rows of a digest that has hits are then fetched and their full
+normalised bytes compared with those of the kept row; should a digest ever cover different bytes, its rows are grouped by
+these bytes instead.
+
+Rows that repeat an identifier are told apart by their place, null identifiers come after all others. An empty table gives no
+rows. Extra columns of any name are neither read nor in the way.
 
 Everything is a built-in expression. A hot text shrinks to one row per task before the state shuffle; the
 joins are ones whose skewed partitions adaptive execution splits.
@@ -16,17 +17,23 @@ joins are ones whose skewed partitions adaptive execution splits.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from watchlytics.llm.common import stored
+from watchlytics.llm.common import discard, placed, stored
 from watchlytics.session import new_folder
 
 #: Fixed value: the characters that do not count.
 SPACES = " \t\n\x0b\x0c\r"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+#: Setting with the number of state partitions, which a stream keeps for life. Each costs some files and 4 MB of disk whatever
+#: it holds, so it follows the size of the ledger, not the session's shuffles.
+PARTITIONS = "spark.sql.streaming.internal.stateStore.partitions"
+LEAST_PARTITIONS = 12
+PARTITION_BYTES = 128 << 20
 #: Files of one micro-batch.
 FILES_AT_ONCE = 1000
 
@@ -39,35 +46,30 @@ def sha256(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
 
-def _read(frame: DataFrame, digest: Callable[[Column], Column]) -> DataFrame:
-    """Rows as the state needs them: normalised text, digest, and the order of preference as a struct."""
-    bare = normalised(F.col("text"))
+def _rows(docs: DataFrame, digest: Callable[[Column], Column]) -> DataFrame:
+    """Placed documents with normalised text, digest, and the order of preference as a struct."""
+    bare = normalised(F.col("document.text"))
     prefer = F.struct(
-        (-F.length(F.coalesce("text", F.lit("")))).alias("fewer"),
-        F.col("doc_id").isNull().alias("nameless"),
-        F.col("doc_id"),
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.row_index").alias("place"),
+        (-F.length(F.coalesce("document.text", F.lit("")))).alias("fewer"),
+        F.col("document.doc_id").isNull().alias("nameless"),
+        F.col("document.doc_id").alias("doc_id"),
+        "file",
+        "place",
     )
-    return frame.select(bare.alias("bare"), digest(bare).alias("digest"), prefer.alias("row"))
-
-
-def update_state(
-    spark: SparkSession,
-    path: str,
-    checkpoint: str,
-    digest: Callable[[Column], Column] = sha256,
-    files_at_once: int = FILES_AT_ONCE,
-) -> None:
-    """Feed all Parquet files of ``path`` not seen before by ``checkpoint`` into its state."""
-    schema = spark.read.parquet(path).schema
-    folder, _, name = path.rstrip("/").rpartition("/")
-    # A pattern may match a folder of files or a single file; a stream takes no plain file.
-    pattern = f"{folder}/{{{name}}}"
-    frame = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_at_once).parquet(pattern)
-    best = _read(frame, digest).groupBy("digest").agg(F.min("row").alias("keep"), F.count("*").alias("n"))
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    return docs.select(bare.alias("bare"), digest(bare).alias("digest"), prefer.alias("row"))
+
+
+def update_state(spark: SparkSession, ledger: DataFrame, checkpoint: str, files_at_once: int = FILES_AT_ONCE) -> None:
+    """Feed all files of the stored ``ledger`` (digest, row) not seen before by ``checkpoint`` into its state."""
+    path = ledger.stored_path
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    size = place.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(place).getLength()
+    settings = {PROVIDER: ROCKSDB, PARTITIONS: str(max(LEAST_PARTITIONS, math.ceil(size / PARTITION_BYTES)))}
+    before = {key: spark.conf.get(key, None) for key in settings}
+    frame = spark.readStream.schema(ledger.schema).option("maxFilesPerTrigger", files_at_once).parquet(path)
+    best = frame.groupBy("digest").agg(F.min("row").alias("keep"), F.count("*").alias("n"))
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
         query = (
             best.writeStream.format("noop")
@@ -78,10 +80,11 @@ def update_state(
         )
         query.awaitTermination()
     finally:
-        if before is None:
-            spark.conf.unset(PROVIDER)
-        else:
-            spark.conf.set(PROVIDER, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def read_state(spark: SparkSession, checkpoint: str) -> DataFrame:
@@ -91,55 +94,54 @@ def read_state(spark: SparkSession, checkpoint: str) -> DataFrame:
     return state.select("key.digest", F.col(f"value.{keep}").alias("keep"), F.col(f"value.{count}").alias("n"))
 
 
-def dedup_files(
-    spark: SparkSession,
-    path: str,
-    checkpoint: str | None = None,
-    digest: Callable[[Column], Column] = sha256,
-) -> DataFrame:
-    """One row per row of the Parquet files in ``path``: digest, doc_id, file, place, keep_id, group_size, kept."""
-    checkpoint = checkpoint or new_folder(spark, "dedup-state")
-    update_state(spark, path, checkpoint, digest)
-    state = stored(read_state(spark, checkpoint), "dedup-groups")
-    rows = _read(spark.read.parquet(path), digest)
-
-    # Hits: rows of digests with several rows, with their full bytes, fetched once.
-    repeated = stored(state.where("n > 1").select(F.col("digest").alias("repeated")), "dedup-repeated")
-    hits = rows.join(repeated, F.col("digest") == F.col("repeated"), "left_semi")
-    hits = stored(hits.join(state, "digest").select("digest", "bare", "row", "keep"), "dedup-hits")
+def _different_bytes(rows: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Hits with their full bytes (digest, bare, row), and the digests that cover different bytes.
+
+    Each text moves once, whatever the number of hits; a merge join's partitions can be split.
+    """
+    repeated = state.where("n > 1").select("digest", "keep")
+    hits = stored(rows.join(repeated.hint("merge"), "digest").select("digest", "bare", "row", "keep"), "dedup-hits")
     first = hits.where("row = keep").select("digest", F.col("bare").alias("kept_bare"))
-    others = hits.where("row != keep").select("digest", "bare").join(first, "digest")
+    others = hits.where("row != keep").select("digest", "bare").join(first.hint("merge"), "digest")
     torn = stored(others.where("bare != kept_bare").select("digest").distinct(), "dedup-torn")
+    return hits, torn
 
-    rows = rows.select("digest", "row")
-    whole = rows.join(state, "digest").join(torn, "digest", "left_anti")
-    parts = hits.join(torn, "digest", "left_semi")
-    by_bytes = parts.groupBy("digest", "bare").agg(F.min("row").alias("keep"), F.count("*").alias("n"))
-    parts = parts.select("digest", "bare", "row").join(by_bytes, ["digest", "bare"])
-    columns = ["digest", "row", "keep", "n"]
-    return (
-        whole.select(*columns)
-        .unionByName(parts.select(*columns))
-        .select(
-            "digest",
-            "row.doc_id",
-            "row.file",
-            "row.place",
-            F.col("keep.doc_id").alias("keep_id"),
-            F.col("n").alias("group_size"),
-            (F.col("row") == F.col("keep")).alias("kept"),
-        )
-    )
 
+def duplicates(docs: DataFrame, checkpoint: str | None = None, digest: Callable[[Column], Column] = sha256) -> DataFrame:
+    """One row per row of ``docs`` (see ``placed``): digest, doc_id, file, place, keep_id, group_size, kept.
 
-def dedup(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, with its columns. They are written once to give every row a place."""
+    With a ``checkpoint`` of its own the state outlives the call: rows of later calls meet those of earlier ones.
+    """
     spark = docs.sparkSession
-    path = new_folder(spark, "dedup-documents")
-    docs.write.option("compression", "zstd").parquet(path)
-    found = dedup_files(spark, path)
-    drop = stored(found.where("not kept").select("file", "place"), "dedup-dropped")
-    rows = spark.read.schema(docs.schema).parquet(path)
-    file, place = F.col("_metadata.file_path"), F.col("_metadata.row_index")
-    placed = rows.select(F.struct("*").alias("document"), file.alias("file"), place.alias("place"))
-    return placed.join(drop, ["file", "place"], "left_anti").select("document.*")
+    rows = _rows(docs, digest)
+    ledger = stored(rows.select("digest", "row"), "dedup-ledger")
+    folder = checkpoint or new_folder(spark, "dedup-state")
+    update_state(spark, ledger, folder)
+    state = stored(read_state(spark, folder), "dedup-groups")
+    if not checkpoint:
+        discard(spark, folder)
+    hits, torn = _different_bytes(rows, state)
+    whole = ledger.join(state, "digest")
+    if torn.isEmpty():
+        discard(spark, hits, torn)
+    else:
+        parts = hits.join(torn, "digest", "left_semi").drop("keep")
+        by_bytes = parts.groupBy("digest", "bare").agg(F.min("row").alias("keep"), F.count("*").alias("n"))
+        parts = parts.join(stored(by_bytes, "dedup-parts"), ["digest", "bare"])
+        whole = whole.join(torn, "digest", "left_anti").unionByName(parts.select(*whole.columns))
+    return whole.select(
+        "digest",
+        "row.doc_id",
+        "row.file",
+        "row.place",
+        F.col("keep.doc_id").alias("keep_id"),
+        F.col("n").alias("group_size"),
+        (F.col("row") == F.col("keep")).alias("kept"),
+    )
+
+
+def unique(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that stay, with its columns."""
+    rows = placed(docs)
+    drop = stored(duplicates(rows).where("not kept").select("file", "place"), "dedup-dropped")
+    return rows.join(drop, ["file", "place"], "left_anti").select("document.*")

@@ -7,11 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from watchlytics.llm import arc_warc, bpe, decontamination, exact_dedup, html_template, language, quality, simhash, token_counts, url_filter
-from watchlytics.llm.common import fold_of, stored, table
+from watchlytics.llm.common import fold_of, placed, stored, table
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = exact_dedup.dedup_files(spark, f"{sf_dir}/documents.parquet")
+    found = exact_dedup.duplicates(placed(table(spark, sf_dir, "documents").select("doc_id", "text")))
     return found.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 

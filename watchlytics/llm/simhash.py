@@ -24,7 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from watchlytics.llm.common import bound_batches, free_name, stored
+from watchlytics.llm.common import bound_batches, discard, placed, stored
 from watchlytics.llm.components import components
 
 SHINGLE = 4
@@ -271,11 +271,11 @@ def near_duplicates(fps: DataFrame, key: str, limit: int = BITS, chunk: int = CH
 
 
 def near_unique(docs: DataFrame, limit: int = BITS) -> DataFrame:
-    """One row of ``docs`` per component: the smallest doc_id, null ids last, then any one of equal ids."""
-    row, fp = free_name(docs, "near_row"), free_name(docs, "near_fp")
-    placed = docs.withColumn(row, F.monotonically_increasing_id())
-    placed = stored(fingerprints(placed, name=fp), "near-documents")
-    key = F.struct(F.col("doc_id").isNull().alias("nameless"), F.col("doc_id"), F.col(row).alias("row"))
-    found = near_duplicates(placed.select(key.alias("key"), F.col(fp).alias("fp")), "key", limit)
-    drop = stored(found.where("key != component").select(F.col("key.row").alias(row)), "near-dropped")
-    return placed.join(drop, row, "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
+    """One row of ``docs`` per component: the smallest doc_id, null ids last, then the first of equal ids."""
+    rows = placed(docs)
+    key = F.struct(F.col("document.doc_id").isNull().alias("nameless"), F.col("document.doc_id"), "file", "place")
+    fps = stored(fingerprints(rows.select(key.alias("key"), "document.text")).select("key", "fp"), "simhash")
+    found = near_duplicates(fps, "key", limit)
+    drop = stored(found.where("key != component").select("key.file", "key.place"), "near-dropped")
+    discard(docs.sparkSession, fps)
+    return rows.join(drop, ["file", "place"], "left_anti").select("document.*")
