@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from array import array
 from collections.abc import Iterable, Iterator
 from heapq import heapify, heappop, heappush
@@ -24,6 +25,13 @@ from watchlytics.llm.common import bound_batches, free_name
 
 #: How byte-level vocabularies cut text into pieces before merging.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: The same for texts below U+0250, with the letters, numbers and white space there spelled out: twice as fast.
+LETTERS, NUMBERS, SPACES = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾", "\t-\r \x85\xa0"
+PLAIN_PIECES = re.compile(
+    rf" ?[{LETTERS}]+|'(?:[stmd]|re|ve|ll)| ?[{NUMBERS}]+| ?[^{SPACES}{LETTERS}{NUMBERS}]+"
+    rf"|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+"
+).findall
+BEYOND = re.compile("[^\x00-ɏ]").search
 #: Pieces kept with their ids in one worker; the memory is emptied when full, never the result.
 MEMORY = 400_000
 MEMORY_PIECE = 48
@@ -126,7 +134,8 @@ class Codec:
             if part in self.special:
                 out.append(self.special[part].to_bytes(4, "little"))
             elif part:
-                out.extend(map(self.memory.__getitem__, self.pieces(part)))
+                pieces = self.pieces(part) if BEYOND(part) else PLAIN_PIECES(part)
+                out.extend(map(self.memory.__getitem__, pieces))
         return b"".join(out)
 
     def encode(self, text: str) -> list[int]:
