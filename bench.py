@@ -38,6 +38,8 @@ HEADLINE = [
     "dq_unique_composite",
     "land_csv_dated",
     "load_csv_typed_viewing_sessions",
+    "dq_report",
+    "run_daily",
 ]
 
 
