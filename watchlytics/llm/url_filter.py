@@ -50,7 +50,10 @@ FEATURES = (
     "suffix_length",
     "suffix_log_count",
     "domain_log_count",
+    "block_rate",
 )
+#: Weight of the overall share of blocked URLs in the share of a suffix and first path segment.
+PRIOR_WEIGHT = 4.0
 
 
 def host_of(url: Column) -> Column:
@@ -94,13 +97,14 @@ def lexical(urls: DataFrame, url: str, prefix: str) -> DataFrame:
         "parameters": F.size(F.expr(f"filter(split({prefix}query, '&'), x -> x != '')")),
         "query_length": F.length(prefix + "query"),
         "has_fragment": u.contains("#").cast("int"),
-        "first_segment_length": F.length(F.regexp_extract(path, "^/([^/]*)", 1)),
+        "first_segment_length": F.length(prefix + "segment"),
         "suffix_length": F.length(prefix + "suffix"),
     }
     parsed = urls.withColumns({prefix + "host": host_of(F.col(f"`{url}`")), prefix + "path": path_of(F.col(f"`{url}`"))})
     parsed = parsed.withColumns(
         {
             prefix + "query": query,
+            prefix + "segment": F.regexp_extract(path, "^/([^/]*)", 1),
             prefix + "suffix": F.substring_index(host, ".", -1),
             prefix + "domain": F.substring_index(host, ".", -2),
         }
@@ -113,6 +117,23 @@ def suffix_statistics(parsed: DataFrame, prefix: str) -> DataFrame:
     return parsed.groupBy(F.col(prefix + "suffix").alias("suffix"), F.col(prefix + "domain").alias("domain")).agg(F.count("*").alias("n"))
 
 
+def block_rates(labelled: DataFrame, prefix: str, verdict: str) -> tuple[DataFrame, float]:
+    """Share of blocked URLs per suffix and first path segment among all labelled ones, drawn towards the overall share."""
+    blocked = (F.col(verdict) == BLOCK).cast("double")
+    known = labelled.where(F.col(verdict).isin(ALLOW, BLOCK))
+    overall = known.agg(F.coalesce(F.avg(blocked), F.lit(0.5))).first()[0]
+    rate = (F.sum(blocked) + PRIOR_WEIGHT * overall) / (F.count("*") + PRIOR_WEIGHT)
+    keys = (prefix + "suffix", prefix + "segment")
+    found = known.groupBy(*keys).agg(rate.alias(prefix + "block_rate"))
+    return stored(found, "url-rates"), overall
+
+
+def with_rates(rows: DataFrame, rates: DataFrame, overall: float, prefix: str) -> DataFrame:
+    """``rows`` with the block rate of their suffix and segment, the overall one where it is not known."""
+    joined = rows.join(rates, [prefix + "suffix", prefix + "segment"], "left")
+    return joined.withColumn(prefix + "block_rate", F.coalesce(prefix + "block_rate", F.lit(float(overall))))
+
+
 def matched(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     """Rule as text and verdict of the longest fitting rule; nulls if none fits."""
     rule = verdict = None
@@ -136,7 +157,10 @@ def _vectors(parsed: DataFrame, prefix: str, out: str) -> DataFrame:
 
 
 def train(labelled: DataFrame, prefix: str, verdict: str, most: int = MOST_LABELLED) -> Filter:
-    """Fit to rows with all features and a verdict (rows with a null verdict do not count)."""
+    """Fit to rows with all features and a verdict (rows with a null verdict do not count).
+
+    ``most`` bounds the rows fitted; their pick depends on the URL alone.
+    """
     rows = labelled.where(F.col(verdict).isin(ALLOW, BLOCK))
     n, blocked = rows.agg(F.count("*"), F.coalesce(F.sum((F.col(verdict) == BLOCK).cast("int")), F.lit(0))).first()
     if blocked in (0, n):
@@ -149,7 +173,7 @@ def train(labelled: DataFrame, prefix: str, verdict: str, most: int = MOST_LABEL
 
 
 def with_features(urls: DataFrame, url: str = "url", prefix: str = "u_") -> DataFrame:
-    """``urls`` with host, path and all features, in columns that begin with ``prefix``."""
+    """``urls`` with host, path and all features but the block rate, in columns that begin with ``prefix``."""
     parsed = lexical(urls, url, prefix)
     counts = stored(suffix_statistics(parsed, prefix), "url-suffixes")
     # One row per domain and one per suffix; a hot domain is split by the join, or never moves if the counts are small.
@@ -171,6 +195,7 @@ def judge(urls: DataFrame, url: str = "url", rules=RULES, most: int = MOST_LABEL
     rows = with_features(urls.select(*(F.col(f"`{c}`") for c in kept)), url, prefix)
     rule, verdict = matched(F.col(prefix + "host"), F.col(prefix + "path"), rules)
     rows = rows.withColumns({prefix + "rule": rule, prefix + "verdict": verdict})
+    rows = with_rates(rows, *block_rates(rows, prefix, prefix + "verdict"), prefix)
     model = train(rows, prefix, prefix + "verdict", most)
     if model.trees is None:
         other = F.lit(model.only)
