@@ -1,0 +1,83 @@
+"""BPE against the tokenizers library, on whole texts and edge cases."""
+
+import hashlib
+
+import numpy as np
+import pytest
+import public_tokenizers
+from tokenizers import Tokenizer
+
+from llm_helpers import AWKWARD, SF, clashing, documents, fetch
+from watchlytics.llm import bpe
+
+
+@pytest.fixture(scope="module")
+def library():
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    return tokenizer
+
+
+@pytest.fixture(scope="module")
+def own():
+    return bpe.Codec(bpe.read_vocabulary(bpe.default_vocabulary()))
+
+
+EDGES = ["", " ", "  a", "a" * 3001, "ab" * 500, "<|endoftext|>", "a<|endoftext|> <|endoftext|><|endoftext", "it's 'S 're", "\n\n x\t", "\x1c\x85  x", "漢字かな", "é‍"]
+
+
+@pytest.mark.parametrize("text", EDGES + [t for _, t, *_ in AWKWARD if t])
+def test_same_ids_and_text_as_the_library(library, own, text):
+    want = library.encode(text, add_special_tokens=False).ids
+    assert own.encode(text) == want
+    assert own.decode(want) == library.decode(want, skip_special_tokens=False)
+
+
+def test_every_character(library, own):
+    texts = ["a" + chr(c) + " " + chr(c) + "1" for c in range(0, 0x30000, 7) if not 0xD800 <= c < 0xE000]
+    assert [own.encode(t) for t in texts] == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_ids_that_are_no_text(library, own):
+    ids = [own.encode("é")[0], 50256, own.encode("漢")[0], 5]
+    assert own.decode(ids) == library.decode(ids, skip_special_tokens=False)
+
+
+def test_memory_is_bounded(own, monkeypatch):
+    monkeypatch.setattr(bpe, "MEMORY", 5)
+    small = bpe.Codec(bpe.read_vocabulary(bpe.default_vocabulary()))
+    text = " ".join(f"word{i} again" for i in range(50))
+    assert small.encode(text) == own.encode(text) and len(small.memory) <= 5
+
+
+def test_query_on_whole_documents(spark, library):
+    found = {r.doc_id: r for r in bpe.digest_documents(spark.read.parquet(f"{SF}/documents.parquet")).collect()}
+    rows = fetch(f"SELECT doc_id, coalesce(text, '') FROM '{SF}/documents.parquet'")
+    assert len(found) == len(rows)
+    for (doc_id, text), encoded in zip(rows, library.encode_batch([t for _, t in rows], add_special_tokens=False)):
+        r = found[doc_id]
+        assert r.n_tokens == len(encoded.ids)
+        assert r.ids_sha256 == hashlib.sha256(np.array(encoded.ids, "<u4").tobytes()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(library.decode(encoded.ids, skip_special_tokens=False).encode()).hexdigest()
+
+
+def test_round_trip_of_awkward_rows(spark):
+    docs = clashing(documents(spark), "IDS", "decoded", "encoded_text", "batch")
+    encoded = bpe.encode_documents(docs)
+    assert encoded.columns == [*docs.drop("IDS").columns, "ids"]
+    back = bpe.decode_documents(encoded)
+    got = sorted(((r.doc_id or 0, r.text or "", r.decoded) for r in back.collect()), key=repr)
+    assert got == sorted(((d or 0, t or "", t or "") for d, t, *_ in AWKWARD), key=repr)
+    assert back.where("batch = 'own batch'").count() == len(AWKWARD)
+
+
+def test_empty_table(spark):
+    empty = documents(spark, [])
+    assert bpe.digest_documents(empty).count() == 0
+    assert bpe.decode_documents(bpe.encode_documents(empty)).count() == 0
+
+
+def test_null_ids(spark):
+    df = spark.createDataFrame([(1, None), (2, []), (3, [50256])], "doc_id long, ids array<int>")
+    assert sorted((r.doc_id, r.decoded) for r in bpe.decode_documents(df).collect()) == [(1, ""), (2, ""), (3, "<|endoftext|>")]

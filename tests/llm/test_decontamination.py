@@ -1,0 +1,107 @@
+"""FM-index search against a plain scan for all windows."""
+
+import random
+import re
+
+import numpy as np
+import pytest
+
+from llm_helpers import AWKWARD, SF, clashing, documents, fetch
+from watchlytics.llm import decontamination as d
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+LOWER = {c: c + 32 for c in range(65, 91)}
+
+
+def plain_words(text):
+    return [w.encode() for w in WORD.findall((text or "").translate(LOWER))]
+
+
+def windows_of(items, window=13):
+    found = {}
+    for name, words in items:
+        for at in range(max(1, len(words) - window + 1)) if words else ():
+            found.setdefault(tuple(words[at : at + window]), set()).add(name)
+    return found
+
+
+def brute(text, windows):
+    words = plain_words(text)
+    hit, items = set(), set()
+    for length in {len(w) for w in windows}:
+        for at in range(len(words) - length + 1):
+            if owners := windows.get(tuple(words[at : at + length])):
+                items |= owners
+                hit.update(range(at, at + length))
+    return len(words), len(hit), sorted(items)
+
+
+def test_words():
+    for code in range(0x3000):
+        if not 0xD800 <= code < 0xE000:
+            text = "aB" + chr(code) + "Z9"
+            assert d.words(text) == plain_words(text)
+    assert d.words(None) == [] == d.words("")
+
+
+def test_suffix_array_and_ranks():
+    rng = np.random.default_rng(3)
+    symbols = np.concatenate([np.append(rng.integers(1, 4, rng.integers(1, 30)), 0) for _ in range(40)])
+    longest = 31
+    blocks = np.cumsum(symbols == 0) - (symbols == 0)
+
+    def suffix(i):
+        end = i + int(np.flatnonzero(symbols[i:] == 0)[0])
+        return (*symbols[i:end].tolist(), -1, int(blocks[i]), i)
+
+    order = d.suffix_array(symbols, longest)
+    terminators = int((symbols == 0).sum())
+    assert symbols[order[:terminators]].max() == 0
+    assert order[terminators:].tolist() == sorted((i for i in range(len(symbols)) if symbols[i]), key=suffix)
+    matrix = d.WaveletMatrix(symbols, 2)
+    at = rng.integers(0, len(symbols) + 1, 300)
+    wanted = rng.integers(0, 4, 300)
+    assert matrix.rank(wanted, at).tolist() == [int((symbols[:a] == s).sum()) for s, a in zip(wanted, at)]
+
+
+@pytest.mark.parametrize("capacity", [400, (1 << 20) - 1])
+def test_dense_texts(capacity):
+    rng = random.Random(0)
+    items = [(str(k), [rng.choice([b"a", b"b", b"c"]) for _ in range(rng.randint(0, 30))]) for k in range(20)]
+    texts = [" ".join(rng.choice(["a", "b", "c", "zz"][: rng.choice([3, 4])]) for _ in range(rng.randint(0, 400))) for _ in range(80)]
+    texts += [" ".join(w.decode() for _ in range(40) for w in rng.choice(items)[1]) for _ in range(30)]
+    phrases, windows = d.Phrases(items), windows_of(items)
+    for text, (n, spans, found) in zip(texts, d.search_documents(texts, phrases, capacity)):
+        assert (n, sum(b - a for a, b in spans), [phrases.names[i] for i in found]) == (lambda x: (x[0], x[1], sorted(x[2], key=int)))(brute(text, windows))
+        assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+
+
+@pytest.mark.parametrize("at_once", [30, 500_000])
+def test_whole_documents(spark, at_once):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    benchmark = spark.read.parquet(f"{SF}/benchmark.parquet")
+    found = d.judged(d.find_benchmark_spans(docs.select("doc_id", "text"), benchmark, phrases_at_once=at_once))
+    got = {r.doc_id: (r.n_words, r.n_hit, r["items"], r.contaminated) for r in found.collect()}
+    windows = windows_of([(str(i), plain_words(t)) for i, t in fetch(f"SELECT item_id, text FROM '{SF}/benchmark.parquet'")])
+    for doc_id, text in fetch(f"SELECT doc_id, text FROM '{SF}/documents.parquet'"):
+        n, hit, items = brute(text, windows)
+        assert got[doc_id] == (n, hit, items, hit > 0 and 20 * hit >= n)
+    assert any(x[3] for x in got.values())
+
+
+def test_awkward_rows(spark):
+    benchmark = spark.createDataFrame([(1, "two three four"), (2, None), (3, "!?"), (None, "six"), (4, "Two THREE four"), (1, "漢字")], "item_id long, text string")
+    docs = clashing(documents(spark), "spans", "ITEMS", "n_words", "contaminated")
+    found = d.judged(d.find_benchmark_spans(docs, benchmark))
+    assert found.count() == len(AWKWARD)
+    rows = {r.doc_id: r for r in found.collect()}
+    assert (rows[1].n_words, rows[1].n_hit, rows[1].contaminated) == (0, 0, False)
+    assert rows[4].n_hit == 4 and rows[4]["items"] == ["", "1", "4"] and rows[4].contaminated
+    assert [tuple(s) for s in rows[4].spans] == [(1, 4), (5, 6)]
+    assert rows[8]["items"] == ["1"]
+    assert d.find_benchmark_spans(documents(spark, []), benchmark).count() == 0
+
+
+def test_empty_benchmark(spark):
+    found = d.judged(d.find_benchmark_spans(documents(spark), spark.createDataFrame([], "item_id long, text string")))
+    assert found.where("contaminated OR n_hit > 0").count() == 0 and found.count() == len(AWKWARD)

@@ -1,0 +1,99 @@
+"""Page text: the template, awkward markup, whole pages against a plain extractor of their known layout."""
+
+import html
+import re
+
+import pytest
+
+from llm_helpers import clashing, fetch
+from watchlytics.llm import html_template as h
+
+SF = "/root/testdata/sf0.01"
+
+CASES = [
+    (None, ""),
+    ("", ""),
+    ("<", ""),
+    ("plain text", "plain text"),
+    ("<article>a &amp; b&nbsp;&#39;c&#x27; &lt;i&gt;</article>", "a & b 'c' <i>"),
+    ("<body><nav>m</nav><article><h1>T</h1><p>one<b>two</b> three<p>four<br>five</article><footer>f</footer>", "T onetwo three four five"),
+    ("<body><header>Site</header><div class='cookie-notice'>we use</div><main><p>text</p></main>", "text"),
+    ("<article>a<script>var t='</p>';</script>b<style>p{}</style>c<!-- no <p> --></article>", "abc"),
+    ("<article>cut &am", "cut &am"),
+    ("<article><p>cut</p></arti", "cut"),
+    ("<article><p>cut<p class=\"x", "cut"),
+    ("<article>1 < 2 and 3 > 2<p>x", "1 < 2 and 3 > 2 x"),
+    ("<article><form>f<p>g</p></form><aside>s</aside><div id=comments>c</div><ul><li>a<li>b</ul></article>", "a b"),
+    ("<article><table><tr><td>a<td>b<tr><td>c</table></article>", "a b c"),
+    ("<div class='advert'>x</div><div><p>no content element</p></div>", "no content element"),
+    ("<ARTICLE>Upper <B>Case</B></ARTICLE>", "Upper Case"),
+    ("<article>one</article><nav>n</nav><article>two</article>", "one two"),
+]
+
+
+@pytest.mark.parametrize("page, text", CASES)
+def test_pages_by_themselves(page, text):
+    assert h.main_text(page, None) == text
+
+
+def plain_extractor(page):
+    found = re.search(r"<article>(.*?)(</article>|\Z)", page or "", re.S)
+    parts = re.split(r"</?(?:p|h1|br)>", found[1]) if found else []
+    parts = [" ".join(html.unescape(re.sub(r"</?b>|</?[a-z0-9]*\Z", "", p)).split()) for p in parts]
+    return " ".join(p for p in parts if p)
+
+
+def test_whole_pages(spark):
+    found = {r.page_id: r.text for r in h.extract(spark.read.parquet(f"{SF}/pages.parquet")).collect()}
+    rows = fetch(f"SELECT page_id, html FROM '{SF}/pages.parquet'")
+    assert len(found) == len(rows)
+    assert [i for i, page in rows if found[i] != plain_extractor(page)] == []
+
+
+def site(n, host="http://s.org/"):
+    """Pages of one site without any telling element names; one frame text on all of them."""
+    return [
+        (i, f"{host}{i}", f"<html><body><div><p>Frame of all</p></div><div><div><p>Article number {i}</p><p>Same line</p></div></div></body></html>")
+        for i in range(n)
+    ]
+
+
+def test_texts_on_all_pages_are_template(spark):
+    pages = spark.createDataFrame(site(12), "page_id long, url string, html string")
+    texts = {r.text for r in h.extract(pages).collect()}
+    assert texts == {f"Article number {i}" for i in range(12)}  # without a content element, what all pages share is frame
+
+
+def test_few_pages_make_no_template_of_their_texts(spark):
+    pages = spark.createDataFrame(site(3), "page_id long, url string, html string")
+    assert {r.text for r in h.extract(pages).collect()} == {f"Frame of all Article number {i} Same line" for i in range(3)}
+
+
+def test_repeated_lines_of_articles_stay(spark):
+    rows = [(i, f"http://s.org/{i}", f"<body><nav>menu</nav><article><p>Same line</p><p>own {i}</p></article>") for i in range(20)]
+    found = h.extract(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert {r.text for r in found.collect()} == {f"Same line own {i}" for i in range(20)}
+
+
+def test_classes_of_a_site(spark):
+    from pyspark.sql import functions as F
+
+    pages = spark.createDataFrame(site(12), "page_id long, url string, html string").withColumn("host", F.lit("s.org"))
+    found = h.templates(h.token_vectors(pages, "host", "page_id", "html")).collect()
+    assert len(found) == 1 and found[0].all_pages == 12
+    classes = [{(t.path, t.text is None) for t in c} for c in found[0].classes]
+    # once per page: the frame's elements and both texts; three times per page: the paragraphs' divisions
+    assert {("html", True), ("html/body", True)} <= next(c for c in classes if ("html", True) in c)
+    template = h.nested(12, [[tuple(t) for t in c] for c in found[0].classes])
+    assert ("html", "body", "div", "div", "p") in template.elements
+    assert len(template.texts) == 2
+
+
+def test_awkward_rows(spark):
+    rows = [(1, None, None), (2, None, "<article>x</article>"), (2, None, "<article>x</article>"), (None, "", "<p>y"), (3, "http://h.org", "<article>" + "<p>long text " * 30_000)]
+    pages = clashing(spark.createDataFrame(rows, "page_id long, url string, html string"), "TEXT", "host", "page_host", "classes", "all_pages")
+    found = h.extract(pages)
+    assert found.columns == [*(c for c in pages.columns if c not in ("html", "TEXT")), "text"]
+    got = sorted(((r.page_id or 0, r.text) for r in found.collect()))
+    assert got == [(0, "y"), (1, ""), (2, "x"), (2, "x"), (3, " ".join(["long text"] * 30_000))]
+    assert h.extract(pages.limit(0)).count() == 0

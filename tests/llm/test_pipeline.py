@@ -1,0 +1,103 @@
+"""The pipeline, stage by stage, against brute-force versions on the driver's smallest documents."""
+
+import zlib
+
+import corpus_pipeline
+import pytest
+from pyspark.sql import functions as F
+
+from llm_helpers import SF, clashing, documents, fetch
+from test_decontamination import brute, plain_words, windows_of
+from test_simhash import slow_components, slow_fingerprint
+from watchlytics.llm import quality
+from watchlytics.llm.common import stored
+
+import numpy as np
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    found = [docs]
+    for _, stage in corpus_pipeline.STAGES:
+        found.append(stored(stage(spark, found[-1], SF), "test-pipeline"))
+    return found
+
+
+def rows_of(df):
+    return {r.doc_id: r.text for r in df.select("doc_id", "text").collect()}
+
+
+def test_columns(stages):
+    for df in stages[1:-1]:
+        assert df.columns == stages[0].columns
+    assert stages[-1].columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"]
+
+
+def test_quality(spark, stages):
+    labels = dict(fetch(f"SELECT doc_id, quality FROM '{SF}/labels.parquet' WHERE quality IS NOT NULL"))
+    texts = rows_of(stages[0])
+    x = {i: quality.statistics(t) for i, t in texts.items()}
+    train = [i for i in texts if i in labels and zlib.crc32(str(i).encode()) % 4 != 2]
+    own = [np.array([x[i] for i in train if labels[i] == k]) for k in (0, 1)]
+    model = quality.discriminant(np.array([len(v) for v in own], float), np.array([v.sum(axis=0) for v in own]), np.array([v.T @ v for v in own]))
+    keep = {i for i in texts if model.scores(np.array([x[i]]))[0] >= 0.7}
+    assert set(rows_of(stages[1])) == keep
+    assert 0 < len(keep) < len(texts)
+
+
+def test_exact_copies(stages):
+    table = str.maketrans("", "", " \t\n\x0b\x0c\r")
+    best = {}
+    for i, t in rows_of(stages[1]).items():
+        key = (t or "").translate(table)
+        best[key] = min(best.get(key, (1, 0)), (-len(t or ""), i))
+    assert set(rows_of(stages[2])) == {i for _, i in best.values()}
+
+
+def test_near_copies(stages):
+    codes = {i: slow_fingerprint(t) for i, t in rows_of(stages[2]).items()}
+    roots = slow_components(set(codes.values()))
+    least = {}
+    for i, c in codes.items():
+        least[roots[c]] = min(least.get(roots[c], i), i)
+    assert set(rows_of(stages[3])) == set(least.values())
+
+
+def test_contaminated(stages):
+    windows = windows_of([(str(i), plain_words(t)) for i, t in fetch(f"SELECT item_id, text FROM '{SF}/benchmark.parquet'")])
+    texts = rows_of(stages[3])
+    keep = set()
+    for i, t in texts.items():
+        n, hit, _ = brute(t, windows)
+        if not (hit and 20 * hit >= n):
+            keep.add(i)
+    assert set(rows_of(stages[4])) == keep
+
+
+def test_tokens(stages):
+    assert {r.doc_id for r in stages[5].select("doc_id").collect()} == set(rows_of(stages[4]))
+    assert stages[5].where("size(ids) <> n_tokens").count() == 0
+
+
+def test_run_is_all_stages(spark, stages):
+    found = corpus_pipeline.run(spark, SF).select("doc_id", "ids_sha256")
+    want = stages[-1].select("doc_id", "ids_sha256")
+    assert found.exceptAll(want).count() == 0 == want.exceptAll(found).count()
+
+
+def test_awkward_documents(spark):
+    docs = clashing(documents(spark), "score", "fp", "file", "place", "spans", "document")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        found = stage(spark, docs, SF)
+        assert found.columns == docs.columns
+        assert stage(spark, docs.limit(0), SF).count() == 0
+        found.collect()
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() == docs.count()
+
+
+def test_documents_with_only_null_texts(spark):
+    docs = documents(spark, [(1, None, None, None, None), (None, None, None, None, None)])
+    for _, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, SF).collect()
+    assert docs.where(F.col("text").isNotNull()).count() == 0

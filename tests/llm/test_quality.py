@@ -1,0 +1,80 @@
+"""Quality classifier: held-out accuracy, the discriminant itself, awkward rows."""
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from llm_helpers import AWKWARD, clashing, documents
+from watchlytics.llm import quality as q
+from watchlytics.llm.common import fold_of, table
+from watchlytics.llm.queries import op5_quality_classifier
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_held_out_accuracy(spark):
+    found = op5_quality_classifier(spark, SF)
+    labels = table(spark, SF, "labels").where("quality IS NOT NULL")
+    rows = found.join(labels, "doc_id").where("held_out").select("predicted", "quality").collect()
+    assert len(rows) > 50
+    assert np.mean([r.predicted == r.quality for r in rows]) > 0.97
+    assert np.mean([r.predicted for r in rows if r.quality == 1]) > 0.97
+    assert found.count() == table(spark, SF, "documents").count()
+    assert found.where("score < 0 OR score > 1 OR score IS NULL").count() == 0
+
+
+def test_folds_are_crc32(spark):
+    import zlib
+
+    df = spark.range(50).withColumn("fold", fold_of(F.col("id")))
+    assert all(r.fold == zlib.crc32(str(r.id).encode()) % 4 for r in df.collect())
+
+
+def test_discriminant_is_the_difference_of_log_densities():
+    rng = np.random.default_rng(0)
+    x = [rng.normal(size=(300, 3)) @ np.diag([1, 2, 3]), rng.normal(size=(500, 3)) + 1]
+    model = q.discriminant(
+        np.array([300.0, 500.0]), np.array([v.sum(axis=0) for v in x]), np.array([v.T @ v for v in x]), 0.1, 0.2
+    )
+    common = sum((v - v.mean(axis=0)).T @ (v - v.mean(axis=0)) for v in x) / 800
+
+    def log_density(point, k):
+        own = np.cov(x[k].T, bias=True) * 0.9 + 0.1 * common
+        own = 0.8 * own + 0.2 * np.diag(np.diag(own)) + np.eye(3) * q.LEAST_DEVIATION**2
+        gap = point - x[k].mean(axis=0)
+        return -0.5 * gap @ np.linalg.inv(own) @ gap - 0.5 * np.log(np.linalg.det(own)) + np.log(len(x[k]) / 800)
+
+    for point in rng.normal(size=(10, 3)):
+        want = 1 / (1 + np.exp(log_density(point, 0) - log_density(point, 1)))
+        assert abs(model.scores(point[None])[0] - want) < 1e-9
+
+
+def test_fit_sums_in_spark(spark):
+    rng = np.random.default_rng(1)
+    x, y = rng.normal(size=(40, len(q.FEATURES))), rng.integers(0, 2, 40)
+    df = spark.createDataFrame([(v.tolist(), int(k)) for v, k in zip(x, y)] + [([0.0] * len(q.FEATURES), None)], "features array<double>, label int")
+    model = q.fit(df)
+    own = [x[y == k] for k in (0, 1)]
+    want = q.discriminant(np.array([len(v) for v in own], float), np.array([v.sum(axis=0) for v in own]), np.array([v.T @ v for v in own]))
+    assert np.allclose(model.means, want.means) and np.allclose(model.whiten, want.whiten)
+
+
+def test_one_class_or_none(spark):
+    schema = "features array<double>, label int"
+    row = [0.5] * len(q.FEATURES)
+    assert q.fit(spark.createDataFrame([], schema)).scores(np.zeros((2, 12))).tolist() == [0.5, 0.5]
+    assert q.fit(spark.createDataFrame([(row, 1)], schema)).scores(np.zeros((1, 12))).tolist() == [1.0]
+
+
+def test_awkward_rows(spark):
+    docs = clashing(documents(spark), "FEATURES", "score", "label")
+    featured = q.features(docs)
+    model = q.train(featured, spark.createDataFrame([(4, 1, 0), (9, 0, 0), (None, 1, 0), (8, None, 1), (99, 1, 1), (3, 0, 0), (7, 1, 0)], "doc_id long, quality int, toxic int"))
+    scored = q.score(featured, model)
+    assert scored.count() == len(AWKWARD) and scored.where("score IS NULL").count() == 0
+    texts = q.score_texts(docs, model, "quality_score")
+    assert texts.columns == [*docs.columns, "quality_score"]
+    by_id = {}
+    for r in texts.collect():
+        by_id.setdefault(r.text, set()).add(r.quality_score)
+    assert all(len(s) == 1 for s in by_id.values()) and by_id[None] == by_id[""]
+    assert q.features(documents(spark, [])).count() == 0

@@ -1,0 +1,72 @@
+"""Token counts per section against the spans of the tokenizers library."""
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from llm_helpers import AWKWARD, SF, clashing, documents, fetch
+from watchlytics.llm import token_counts as t
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def counted(docs, rule="largest"):
+    return t.count_tokens(docs.withColumn("lengths", t.line_sections(F.col("text"))), "lengths", rule=rule)
+
+
+def test_lines_of_whole_documents(spark, library):
+    found = {}
+    for r in counted(spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")).collect():
+        found.setdefault(r.doc_id, []).append((r.section, r.start, r.end, r.n_tokens))
+    for doc_id, text in fetch(f"SELECT doc_id, text FROM '{SF}/documents.parquet' WHERE text IS NOT NULL"):
+        lines = text.split("\n")
+        starts = np.concatenate([[0], np.cumsum([len(x) + 1 for x in lines])])
+        ends = np.append(starts[1:-1], len(text))
+        # The library trims the blank in front of a word from its span; a token lies in the line of its first character.
+        wanted = np.zeros(len(lines), int)
+        encoded = library.encode(text, add_special_tokens=False)
+        for a, b in encoded.offsets:
+            wanted[np.searchsorted(ends, max(a, min(a, b - 1)), side="right")] += 1
+        got = sorted(found[doc_id])
+        assert [g[:3] for g in got] == list(zip(range(len(lines)), starts[:-1].tolist(), ends.tolist()))
+        assert sum(g[3] for g in got) == len(encoded.ids)
+        assert [g[3] for g in got] == wanted.tolist()
+
+
+def test_rules_for_tokens_across_borders():
+    first, last = np.array([0, 3, 4, 9, 20]), np.array([3, 7, 10, 12, 22])
+    start, end = np.array([0, 4, 10]), np.array([4, 9, 12])
+    section, several = t.allocate(first, last, start, end, "largest")
+    assert section.tolist() == [0, 1, 1, 2, -1]
+    assert several.tolist() == [False, True, False, False, False]
+    section, _ = t.allocate(first, last, start, end, "first")
+    assert section.tolist() == [0, 0, 1, 2, -1]
+    # equal parts go to the first of the sections; empty sections get nothing
+    section, _ = t.allocate(np.array([2]), np.array([6]), np.array([0, 4, 4]), np.array([4, 4, 8]), "largest")
+    assert section.tolist() == [0]
+    assert t.allocate(first, last, start[:0], end[:0], "first")[0].tolist() == [-1] * 5
+
+
+def test_fields_joined_to_one_text(spark):
+    docs = spark.createDataFrame([(1, "en", "hello world"), (2, None, "x"), (3, "de", None)], "doc_id long, lang string, text string")
+    joined = t.join_fields(docs, ["lang", "text"], "whole", "parts")
+    found = t.count_tokens(joined, "parts", text="whole").select("doc_id", "section", "start", "end", "n_tokens")
+    assert sorted(map(tuple, found.collect()))[:2] == [(1, 0, 0, 3, 2), (1, 1, 3, 14, 2)]
+    assert found.count() == 6
+
+
+def test_awkward_rows(spark):
+    docs = clashing(documents(spark), "SECTION", "start", "n_shared")
+    found = counted(docs)
+    per_doc = {(r.doc_id or 0): r.n for r in found.groupBy("doc_id").agg(F.sum("n_tokens").alias("n")).collect()}
+    assert 1 not in per_doc and per_doc[2] == 0 and per_doc[4] == 12
+    assert found.where("doc_id = 3").count() == 2
+    assert found.where("section < 0").count() == 0
+    assert counted(documents(spark, [])).count() == 0
+    with pytest.raises(ValueError):
+        counted(docs, rule="none")

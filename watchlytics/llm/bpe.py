@@ -218,7 +218,7 @@ def decode_documents(
             )
 
     picked = docs.select(*(F.col(f"`{c}`") for c in kept))
-    return picked.mapInArrow(decode, picked.schema.add(text, "string"))
+    return picked.mapInArrow(decode, T.StructType([*picked.schema.fields, T.StructField(text, T.StringType())]))
 
 
 def digest_documents(docs: DataFrame, vocabulary: str | None = None, key: str = "doc_id", with_ids: bool = False) -> DataFrame:

@@ -182,8 +182,8 @@ def train(featured: DataFrame, labels: DataFrame, name: str = "features") -> Dis
     """Fit ``quality`` on the labelled rows of ``featured`` (doc_id and statistics) outside fold 2."""
     wanted = labels.where("quality in (0, 1)").where(fold_of(F.col("doc_id")) != 2)
     wanted = wanted.select(F.col("doc_id").alias("id"), F.col("quality").alias("label"))
-    rows = featured.join(wanted, F.col("doc_id") == F.col("id"))
-    return fit(rows.select(F.col(name).alias("features"), "label"))
+    rows = featured.select("doc_id", F.col(f"`{name}`").alias("features")).join(wanted, F.col("doc_id") == F.col("id"))
+    return fit(rows.select("features", "label"))
 
 
 def score_texts(docs: DataFrame, model: Discriminant, out: str) -> DataFrame:
