@@ -4,9 +4,9 @@
    their path. ``token_vectors`` describes the occurrence vector of each token over the pages of its host by a
    hash that adds up (XOR over pages of page and count), so tokens with equal vectors have equal descriptions and
    a hot host is grouped token by token, never as a whole.
-2. ``templates`` groups the frequent tokens of a host into equivalence classes. A class is valid if it nests: all its
-   elements lie below one class, or below itself. The valid classes form the host's template, a tree whose size is
-   bounded by that of a page: only tokens on at least ``SUPPORT`` of the host's pages count.
+2. ``templates`` groups the frequent tokens of a host into equivalence classes. A class is valid if its tokens occur once per
+   page, or if it nests: all its elements lie below one class, or below itself. The valid classes form the host's template,
+   a tree whose size is bounded by that of a page: only tokens on at least ``SUPPORT`` of the host's pages count.
 3. ``extract`` lays the template over each page. Texts that are not template themselves are slots; the slots below the
    template's content element, and outside its menus, notices and the like, are the article. Pages without their
    host's content element use their own, or the whole body.
@@ -28,7 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from watchlytics.llm.common import bound_batches, free_name, stored
+from watchlytics.llm.common import bound_batches, discard, free_name, stored
 from watchlytics.llm.url_filter import host_of
 
 #: Share of a host's pages a token must be on to be part of the template.
@@ -265,8 +265,9 @@ def nested(pages: int, classes: list[list[tuple]]) -> Template:
         for path, text, *_ in tokens:
             steps = tuple(path.split("/"))
             above.add(next((o for i in range(len(steps) - (text is None), 0, -1) if (o := owner.get(steps[:i])) not in (None, k)), -1))
-        if len(above) == 1 or all(text is None for _, text, *_ in tokens):
-            found.parent[k] = above.pop() if len(above) == 1 else -1
+        once = all(on == times for _, _, on, times, *_ in tokens)
+        if len(above) == 1 or once:
+            found.parent[k] = -1 if len(above) > 1 else above.pop()
             for path, text, on, *_ in tokens:
                 if text is None:
                     found.elements[tuple(path.split("/"))] = k
@@ -299,16 +300,8 @@ def main_text(page: str | None, template: Template | None) -> str:
     return blocks_of(kept)
 
 
-_held: dict[str, Template] = {}
-
-
-def _template(host: str, pages: int, classes: list[list[dict]]) -> Template:
-    key = f"{host}\0{pages}\0{len(classes)}\0{classes[0][0] if classes else ''}"
-    if key not in _held:
-        if len(_held) >= 1000:
-            _held.clear()
-        _held[key] = nested(pages, [[tuple(token.values()) for token in tokens] for tokens in classes])
-    return _held[key]
+#: Templates a task keeps at a time.
+TEMPLATES_AT_ONCE = 1000
 
 
 def extract(pages: DataFrame, url: str = "url", html: str = "html", text: str = "text") -> DataFrame:
@@ -317,23 +310,27 @@ def extract(pages: DataFrame, url: str = "url", html: str = "html", text: str =
     host, page = free_name(pages, "page_host"), free_name(pages, "page_number")
     hosted = pages.withColumn(host, host_of(F.col(f"`{url}`")))
     numbered = hosted.withColumn(page, F.xxhash64(F.col(f"`{url}`"), F.col(f"`{html}`")))
-    found = stored(templates(token_vectors(numbered, host, page, html)), "templates").withColumnRenamed("host", host)
+    vectors = stored(token_vectors(numbered, host, page, html), "token-vectors")  # read twice, parsed once
+    found = stored(templates(vectors), "templates")
+    discard(pages.sparkSession, vectors)
     kept = [c for c in pages.columns if c.lower() not in (html.lower(), text.lower())]
     picked = [F.col(f"`{c}`") for c in kept]
-    joined = hosted.join(found, host, "left").select(*picked, F.col(f"`{html}`"), host, "all_pages", "classes")
+    given = hosted.select(F.struct(*picked, F.col(f"`{html}`").alias(page)).alias("row"), F.col(host).alias("host"))
+    joined = given.join(found, "host", "left").select("row.*", "host", "all_pages", "classes")
+    joined = joined.toDF(*kept, *(free_name(pages, c) for c in ("page_html", "host", "all_pages", "classes")))
 
     def lay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, Template | None] = {}
+        n = len(kept)
         for batch in batches:
-            n = len(kept)
             out = []
-            names, counts = batch.column(n + 1).to_pylist(), batch.column(n + 2).to_pylist()
-            before: tuple | None = None
-            own = None
-            for i, (body, name, count) in enumerate(zip(batch.column(n), names, counts)):
-                if before != (name, count):
-                    own = _template(name, count, batch.column(n + 3)[i].as_py()) if count is not None else None
-                    before = (name, count)
-                out.append(main_text(body.as_py(), own))
+            for i, (body, name) in enumerate(zip(batch.column(n), batch.column(n + 1).to_pylist())):
+                if name not in known:
+                    if len(known) >= TEMPLATES_AT_ONCE:
+                        known.clear()
+                    count, classes = batch.column(n + 2)[i].as_py(), batch.column(n + 3)[i].as_py()
+                    known[name] = nested(count, [[tuple(t.values()) for t in c] for c in classes]) if classes else None
+                out.append(main_text(body.as_py(), known[name]))
             yield pa.RecordBatch.from_arrays([*batch.columns[:n], pa.array(out, pa.string())], names=[*kept, text])
 
     schema = T.StructType([*pages.select(*picked).schema.fields, T.StructField(text, T.StringType())])
