@@ -103,7 +103,8 @@ def _different_bytes(rows: DataFrame, state: DataFrame) -> tuple[DataFrame, Data
     hits = stored(rows.join(repeated.hint("merge"), "digest").select("digest", "bare", "row", "keep"), "dedup-hits")
     first = hits.where("row = keep").select("digest", F.col("bare").alias("kept_bare"))
     others = hits.where("row != keep").select("digest", "bare").join(first.hint("merge"), "digest")
-    torn = stored(others.where("bare != kept_bare").select("digest").distinct(), "dedup-torn")
+    # Not made distinct: that would keep the join's partitions from being split, and repeats do no harm.
+    torn = stored(others.where("bare != kept_bare").select("digest"), "dedup-torn")
     return hits, torn
 
 
