@@ -1,13 +1,14 @@
-"""Every registered query against its SQL."""
+"""Every query of the core library against its SQL."""
 
 import pytest
 
 import __spark_entry__ as entry_module
 from conftest import SF
 from testbed.check import compare, duckdb_tables
+from testbed.oracle import oracles
+from testbed.queries import QUERIES
 
-ORACLES = entry_module.oracle_sql()
-QUERIES = entry_module.queries()
+ORACLES = oracles()
 
 
 @pytest.fixture(scope="module")
@@ -19,6 +20,12 @@ def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
 
 
+def test_all_are_registered():
+    assert set(QUERIES) <= set(entry_module.queries())
+    assert ORACLES.items() <= entry_module.oracle_sql().items()
+    assert set(entry_module.oracle_sql()) <= set(entry_module.queries())
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     assert compare(spark, con, SF, name, ORACLES[name]) == ""
