@@ -384,5 +384,6 @@ def round_trip(pages: DataFrame) -> DataFrame:
     found = stored(read_warc(spark, warc), "warc-records")
     wanted = found.where("refers_to_record IS NOT NULL").select(F.col("refers_to_record").alias("response_record")).distinct()
     responses = found.join(wanted, F.col("record_id") == F.col("response_record"), "left_semi")
-    responses = responses.select(F.col("record_id").alias("response_record"), F.col("key").alias("refers_to"))
+    # Written, so that the join shuffles both sides and a response with very many revisits can be split.
+    responses = stored(responses.select(F.col("record_id").alias("response_record"), F.col("key").alias("refers_to")), "warc-responses")
     return found.join(responses, F.col("refers_to_record") == F.col("response_record"), "left").drop("response_record", "refers_to_record")

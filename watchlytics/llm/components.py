@@ -18,8 +18,8 @@ def components(links: DataFrame) -> DataFrame:
     """``node`` and ``root`` (smallest node of its component) for every node of ``links`` (columns u, v).
 
     Alternates large and small stars. A star needs only the smallest neighbour of each node, which is
-    aggregated before it moves; a node with very many neighbours is joined to it by a
-    splittable join. Every round is written to the shared folder. Links to oneself are
+    aggregated before it moves and written, as only a join that shuffles both its sides can be
+    split for a node with very many neighbours. Every round is written to the shared folder. Links to oneself are
     allowed and make a node of its own; no links give no rows.
     """
     links = stored(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
@@ -30,15 +30,16 @@ def components(links: DataFrame) -> DataFrame:
         if not before[0]:
             break
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = stored(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = stored(large.where("u > v").distinct(), "large-star")
         spark = large.sparkSession
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        discard(spark, least)
+        least = stored(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(least, "u")
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
         links = stored(small.where("u > v").distinct(), "small-star")
-        discard(spark, large)
+        discard(spark, large, least)
         now = _state(links)
         if now == before:
             break

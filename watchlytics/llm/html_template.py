@@ -240,6 +240,9 @@ def templates(vectors: DataFrame, support: float = SUPPORT) -> DataFrame:
     """One row per host: number of pages and its classes, each with its tokens (path, text, pages, times)."""
     hosts = vectors.where("path = '' AND text IS NULL").select("host", F.col("pages").alias("all_pages"))
     frequent = vectors.where("path <> ''").join(hosts, "host").where(F.col("pages") >= support * F.col("all_pages"))
+    # Passed through an array, the host no longer tells how the join was dealt out: its partitions may be split, and only
+    # the frequent tokens, no more than some pages' worth per host, are then brought together.
+    frequent = frequent.withColumn("host", F.array_max(F.array("host")))
     token = F.struct("path", "text", "pages", "times", "chars")
     classes = frequent.groupBy("host", "all_pages", "vector", "pages", "times").agg(F.sort_array(F.collect_list(token)).alias("tokens"))
     return classes.groupBy("host", "all_pages").agg(F.sort_array(F.collect_list("tokens")).alias("classes"))

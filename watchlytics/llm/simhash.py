@@ -266,7 +266,8 @@ def near_duplicates(fps: DataFrame, key: str, limit: int = BITS, chunk: int = CH
     nodes = stored(fps.groupBy("fp").agg(F.min(key).alias("least")), "fingerprints")
     found = components(near_links(nodes, limit, chunk)).select(F.col("node").alias("fp"), "root")
     found = stored(nodes.join(found, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "roots")
-    least = found.groupBy("root").agg(F.min("least").alias("component"))
+    # Written, so that the join shuffles both sides and a large component can be split.
+    least = stored(found.groupBy("root").agg(F.min("least").alias("component")), "components")
     return fps.join(found.join(least, "root").select("fp", "component"), "fp")
 
 

@@ -32,6 +32,8 @@ RULES = (
 #: At most about so many labelled URLs are fitted; a hash of the URL picks them evenly from all.
 MOST_LABELLED = 200_000
 TREES, DEPTH, SEED = 20, 4, 42
+#: Parts of the sample that is fitted.
+PARTS = 8
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 FEATURES = (
@@ -169,16 +171,19 @@ def train(labelled: DataFrame, prefix: str, verdict: str, most: int = MOST_LABEL
     rows = rows.where(F.pmod(F.xxhash64(*(prefix + f for f in FEATURES), prefix + "host", prefix + "path"), F.lit(parts)) < int(parts * min(1.0, most / n)))
     rows = rows.select(*(prefix + f for f in FEATURES), (F.col(verdict) == BLOCK).cast("double").alias("label"))
     trees = GBTClassifier(featuresCol="features", labelCol="label", maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=SEED)
-    return Filter(trees.fit(_vectors(stored(rows, "url-training"), prefix, "features")))
+    sample = stored(rows.repartition(PARTS), "url-training")  # bounded, so a few parts do; each tree reads them anew
+    return Filter(trees.fit(_vectors(sample, prefix, "features")))
 
 
 def with_features(urls: DataFrame, url: str = "url", prefix: str = "u_") -> DataFrame:
     """``urls`` with host, path and all features but the block rate, in columns that begin with ``prefix``."""
     parsed = lexical(urls, url, prefix)
     counts = stored(suffix_statistics(parsed, prefix), "url-suffixes")
-    # One row per domain and one per suffix; a hot domain is split by the join, or never moves if the counts are small.
+    # One row per domain and one per suffix, both written: the joins shuffle both sides, so hot ones can be split, or
+    # rows never move if the counts are small.
     domains = counts.select(F.col("domain").alias(prefix + "domain"), F.log1p("n").alias(prefix + "domain_log_count"))
     suffixes = counts.groupBy(F.col("suffix").alias(prefix + "suffix")).agg(F.log1p(F.sum("n")).alias(prefix + "suffix_log_count"))
+    suffixes = stored(suffixes, "url-suffixes")
     return parsed.join(domains, prefix + "domain").join(suffixes, prefix + "suffix")
 
 
