@@ -97,3 +97,45 @@ def test_awkward_rows(spark):
     got = sorted(((r.page_id or 0, r.text) for r in found.collect()))
     assert got == [(0, "y"), (1, ""), (2, "x"), (2, "x"), (3, " ".join(["long text"] * 30_000))]
     assert h.extract(pages.limit(0)).count() == 0
+
+
+MARKED = [
+    ("<body class='right-sidebar'><article><p>whole</p></article></body>", "whole"),
+    ("<body class='single has-comments'><p>whole</p></body>", "whole"),
+    ("<html id=search><div id='search-page'><article>whole</article></div>", "whole"),
+    ("<div id='search-page'><p>whole text</p></div><p>rest</p>", "whole text rest"),
+    ("<div class='no-sidebar'><main>whole</main></div>", "whole"),
+    ("<div class='ad'>buy<article><p>one</article><article>two</article>", "one two"),
+    ("<header><h1>Site</h1><article>whole</article>", "whole"),
+    ("<header><p>all of a page without a content element", "all of a page without a content element"),
+    ("<form><div><p>all of a page</p></div></form>", "all of a page"),
+    ("<aside><article>teaser</article></aside><article>whole</article>", "whole"),
+    ("<article data-id='share'><p data-class=ad>whole</p></article>", "whole"),
+    ("<article><div class='related-work'><p>nearly all of it</p></div><p>rest</p></article>", "nearly all of it rest"),
+]
+
+
+@pytest.mark.parametrize("page, text", MARKED)
+def test_marks_above_the_article(page, text):
+    assert h.main_text(page, None) == text
+
+
+@pytest.mark.parametrize("page, text", MARKED)
+def test_marks_above_the_article_on_a_host(spark, page, text):
+    pages = spark.createDataFrame([(1, "http://s.org/", page)], "page_id long, url string, html string")
+    assert [r.text for r in h.extract(pages).collect()] == [text]
+
+
+def test_marks_inside_the_article_are_judged_by_the_template(spark):
+    marks = ["side-note", "related-work", "search", "alert", "share"]
+    rows = [
+        (
+            i,
+            f"http://s.org/{i}",
+            f"<article><p>Much text of its own {i}</p><p class='{marks[i % 5]}'>note {i}</p><p class=share>Share this</p>"
+            f"<div class=comments>said {i}</div>{'<div class=alert>once</div>' if i == 7 else ''}</article>",
+        )
+        for i in range(20)
+    ]
+    found = h.extract(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert {r.text for r in found.collect()} == {f"Much text of its own {i} note {i}" + " once" * (i == 7) for i in range(20)}

@@ -21,7 +21,7 @@ from __future__ import annotations
 import html as references
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -45,7 +45,7 @@ TOKEN = re.compile(
     | <\Z""",
     re.S | re.I | re.X,
 )
-MARK = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+MARK = re.compile(r"""(?<![\w:.-])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 
 #: Kinds of HTML elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -62,6 +62,10 @@ CLOSES = {
     "option": frozenset(["option"]),
     "body": frozenset(["head"]),
 }
+#: Elements of the whole page: their marks tell nothing about a part of it.
+ROOTS = frozenset(["html", "body"])
+#: Elements that hold one paragraph or less: a mark on them does not make them a part of the page of its own.
+PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th tr blockquote pre figcaption caption".split()) | INLINE
 STOPS = frozenset(["ul", "ol", "dl", "table", "select", "article", "section", "div", "body"])
 #: Elements and marks (words of class, id or role) that are never part of an article.
 ASIDE_NAMES = frozenset("head title nav footer aside form button select dialog menu svg canvas object audio video fieldset".split())
@@ -71,6 +75,8 @@ ASIDE_MARKS = frozenset(
     related recommended sidebar side menu nav navbar navigation breadcrumb breadcrumbs pagination comment comments
     disqus reply replies footer widget toolbar copyright complementary contentinfo search""".split()
 )
+#: Of these, elements that may wrap a whole page.
+WRAPPERS = frozenset(["form", "fieldset", "object"])
 HEADER = frozenset(["header", "masthead"])
 CONTENT_NAMES = ("article", "main")
 CONTENT_MARKS = frozenset("article main content story post entry".split())
@@ -88,7 +94,7 @@ class Text:
 
 def step_of(name: str, marks: str) -> str:
     """Name of a path step: the element, with its marks if it has any that tell its use."""
-    if not marks or "=" not in marks:
+    if not marks or "=" not in marks or name in ROOTS:
         return name
     words = {w for _, a, b, c in MARK.findall(marks) for w in re.split(r"[^a-z]+", (a or b or c).lower())}
     own = sorted(words & (ASIDE_MARKS | CONTENT_MARKS | HEADER))
@@ -177,15 +183,36 @@ def is_content(step: str) -> bool:
     return name in CONTENT_NAMES or bool(marks & CONTENT_MARKS) and not marks & ASIDE_MARKS and name not in INLINE
 
 
-def is_aside(path: tuple[str, ...], inside: bool = False) -> bool:
-    """Whether a text at the path belongs to a menu, notice or the like. ``inside``: the path begins below the content."""
-    for step in path:
-        name, marks = marks_of(step)
-        if name in ASIDE_NAMES or marks & ASIDE_MARKS:
-            return True
-        if not inside and (name == "header" or marks & HEADER):
-            return True
-    return False
+def is_aside(path: tuple[str, ...]) -> bool:
+    """Whether an element of the path is a menu, notice or the like, or carries such a mark."""
+    return any(name in ASIDE_NAMES or name == "header" or marks & (ASIDE_MARKS | HEADER) for name, marks in map(marks_of, path))
+
+
+def aside_paths(texts: list[Text], depth: int, template: Template | None, content: bool) -> set[tuple[str, ...]]:
+    """Paths, longer than ``depth``, of the elements whose texts do not belong to the article.
+
+    Marks count only on elements that the host's template has, below a content element not on paragraphs, and never on an
+    element that holds more than half of the text: that one wraps the article. The same goes for headers and forms.
+    """
+    paths = {t.path[:i] for t in texts for i in range(depth + 1, len(t.path) + 1)}
+    found, doubtful = set(), set()
+    for path in paths:
+        name, marks = marks_of(path[-1])
+        if name in ASIDE_NAMES and name not in WRAPPERS:
+            found.add(path)
+        elif name in WRAPPERS or not content and (name == "header" or marks & HEADER):
+            doubtful.add(path)
+        elif marks & ASIDE_MARKS and (template is None or template.is_frame(path) and not (content and name in PARAGRAPHS)):
+            doubtful.add(path)
+    if not doubtful:
+        return found
+    held: Counter = Counter()
+    for t in texts:
+        own = [t.path[:i] for i in range(depth + 1, len(t.path) + 1)]
+        if not t.text.isspace() and found.isdisjoint(own) and not (template and text_token(t.path, t.text) in template.texts):
+            for path in (None, *own):
+                held[path] += len(t.text)
+    return found | {path for path in doubtful if 2 * held[path] <= held[None]}
 
 
 def text_token(path: tuple[str, ...], text: str) -> int:
@@ -256,8 +283,13 @@ class Template:
     parent: dict[int, int] = field(default_factory=dict)
     elements: dict[tuple[str, ...], int] = field(default_factory=dict)
     texts: set[int] = field(default_factory=set)
+    on: dict[tuple[str, ...], int] = field(default_factory=dict)
     content: tuple[str, ...] | None = None
 
+    def is_frame(self, path: tuple[str, ...]) -> bool:
+        """Whether the host's pages share the element."""
+        return path in self.elements and self.on[path] > 1
+
 
 def nested(pages: int, classes: list[list[tuple]]) -> Template:
     """The template of the classes that nest. A token is (path, text, pages, times, chars)."""
@@ -274,33 +306,58 @@ def nested(pages: int, classes: list[list[tuple]]) -> Template:
             for path, text, on, *_ in tokens:
                 if text is None:
                     found.elements[tuple(path.split("/"))] = k
+                    found.on[tuple(path.split("/"))] = on
                 elif pages >= TEXT_PAGES and on >= TEXT_SUPPORT * pages:
                     found.texts.add(text)
-    inside = [path for path in found.elements if is_content(path[-1]) and not is_aside(path[:-1])]
-    named = [path for path in inside if marks_of(path[-1])[0] in CONTENT_NAMES]
-    best = sorted(named or inside, key=lambda path: (marks_of(path[-1])[0] != "article", len(path), path))
-    found.content = best[0] if best else None
+    found.content = next(iter(content_paths(found.elements)), None)
     return found
 
 
+def content_paths(paths: Iterable[tuple[str, ...]]) -> list[tuple[str, ...]]:
+    """Those of content elements, the likeliest first. Asides above them only make them less likely."""
+    inside = [path for path in paths if is_content(path[-1])]
+    return sorted(inside, key=lambda p: (is_aside(p[:-1]), marks_of(p[-1])[0] not in CONTENT_NAMES, marks_of(p[-1])[0] != "article", len(p), p))
+
+
+def within(texts: list[Text], content: tuple[str, ...], template: Template | None) -> list[Text]:
+    """Texts of the elements with the content's name, wherever the page has it but in asides that are not above the content."""
+    last, above = content[-1], frozenset(content[:-1])
+    depths: dict[tuple[str, ...], list[Text]] = {}
+    for t in texts:
+        if last in t.path:
+            start = t.path[: t.path.index(last) + 1]
+            if start == content or not is_aside(tuple(s for s in start[:-1] if s not in above)):
+                depths.setdefault(start, []).append(t)
+    kept = []
+    for start, own in depths.items():
+        asides = aside_paths(own, len(start), template, True)
+        kept += [t for t in own if asides.isdisjoint(t.path[:i] for i in range(len(start) + 1, len(t.path) + 1)) and not is_marked_frame(t, len(start), template)]
+    chosen = set(map(id, kept))
+    return [t for t in texts if id(t) in chosen]
+
+
+def is_marked_frame(t: Text, depth: int, template: Template | None) -> bool:
+    """Whether a text below a marked element is the same on the host's pages."""
+    return bool(template) and any(marks_of(s)[1] & ASIDE_MARKS for s in t.path[depth:]) and text_token(t.path, t.text) in template.texts
+
+
 def main_text(page: str | None, template: Template | None) -> str:
     """The article of one page."""
     if not page:
         return ""
     elements, texts = parse(page)
-    content = template.content if template and template.content in elements else None
-    if content is None:
-        own = [p for p in elements if is_content(p[-1]) and not is_aside(p[:-1])]
-        own.sort(key=lambda p: (marks_of(p[-1])[0] not in CONTENT_NAMES, marks_of(p[-1])[0] != "article", len(p), p))
-        content = own[0] if own else None
-    if content is not None:
-        # Every element with the content's name counts, wherever the page has it.
-        last = content[-1]
-        kept = [t for t in texts if last in t.path and not is_aside(t.path[: t.path.index(last)]) and not is_aside(t.path[t.path.index(last) + 1 :], True)]
-    else:
-        known = template.texts if template else ()
-        kept = [t for t in texts if not is_aside(t.path) and (t.text == " " or text_token(t.path, t.text) not in known)]
-    return blocks_of(kept)
+    contents = content_paths(elements)
+    if template and template.content in elements:
+        contents = [template.content, *(p for p in contents if p != template.content)]
+    for content in contents:
+        if found := blocks_of(within(texts, content, template)):
+            return found
+    if contents:
+        return ""
+    asides = aside_paths(texts, 0, template, False)
+    known = template.texts if template else ()
+    kept = [t for t in texts if asides.isdisjoint(t.path[:i] for i in range(1, len(t.path) + 1))]
+    return blocks_of([t for t in kept if t.text == " " or text_token(t.path, t.text) not in known])
 
 
 #: Templates a task keeps at a time.
