@@ -139,3 +139,43 @@ def test_marks_inside_the_article_are_judged_by_the_template(spark):
     ]
     found = h.extract(spark.createDataFrame(rows, "page_id long, url string, html string"))
     assert {r.text for r in found.collect()} == {f"Much text of its own {i} note {i}" + " once" * (i == 7) for i in range(20)}
+
+
+def test_frame_inside_the_article(spark):
+    """Bylines and disclaimers without a listed word go, what articles share among their own paragraphs stays."""
+    rows = [
+        (
+            i,
+            f"http://s.org/{i}",
+            f"<article><h1>Title {i}</h1><p class=byline>By <b>our staff</b></p><p>Same line</p><p>own <b>words</b> {i}</p>"
+            "<div class='box'><p>Read more in our shop</p></div><small>No warranty</small></article>",
+        )
+        for i in range(20)
+    ]
+    found = h.extract(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert {r.text for r in found.collect()} == {f"Title {i} Same line own words {i}" for i in range(20)}
+
+
+def test_frame_of_each_layout(spark):
+    """A third of the pages has a layout of its own."""
+    rows = [
+        (
+            i,
+            f"http://s.org/{i}",
+            f"<body><div><section><p>Frame of shops</p></section><p>goods {i}</p></div></body>"
+            if i % 3
+            else f"<body><table><tr><td>Frame of lists</td></tr><tr><td>entry {i}</td></tr></table></body>",
+        )
+        for i in range(30)
+    ]
+    found = h.extract(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert {r.text for r in found.collect()} == {f"goods {i}" if i % 3 else f"entry {i}" for i in range(30)}
+
+
+def test_a_repeated_page_is_no_frame(spark):
+    page = "<body><article><h1>Title</h1><p>Words of an article</p></article></body>"
+    rows = [(i, f"http://s.org/{i}", page) for i in range(12)]
+    rows += [(i, f"http://t.org/{i}", page if i < 6 else f"<body><article><p>own {i}</p></article></body>") for i in range(12)]
+    found = h.extract(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    texts = [r.text for r in found.collect()]
+    assert texts.count("Title Words of an article") == 18 and len(texts) == 24

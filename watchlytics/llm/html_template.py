@@ -6,13 +6,16 @@
    a hot host is grouped token by token, never as a whole.
 2. ``templates`` groups the frequent tokens of a host into equivalence classes. A class is valid if its tokens occur once per
    page, or if it nests: all its elements lie below one class, or below itself. The valid classes form the host's template,
-   a tree whose size is bounded by that of a page: only tokens on at least ``SUPPORT`` of the host's pages count.
-3. ``extract`` lays the template over each page. Texts that are not template themselves are slots; the slots below the
-   template's content element, and outside its menus, notices and the like, are the article. Pages without their
-   host's content element use their own, or the whole body.
+   whose size is bounded by that of a page: only tokens on at least ``SUPPORT`` of the host's pages count.
+3. ``lay_out`` tells frame from slots per layout: an element with a slot below it is a layout of the pages that have it, and
+   the texts on nearly all of them are frame. Texts on fewer than ``TEXT_PAGES`` pages never are.
+4. ``extract`` lays the template over each page; texts that are not frame are slots. Names choose between the slots: those below
+   the content element are the article, and those of menus, notices and the like are not. Pages without their
+   host's content element use their own, or all slots of the page.
 
 Character references are decoded, white space inside a block becomes one space, blocks are joined by one space.
-Text below the content element is never taken for template, however often it repeats. Null and empty pages have no text;
+Below the content element a frame text goes only where its place (path and classes) holds no slot, or in a marked element; lines
+that articles share between their own paragraphs stay. Null and empty pages have no text;
 null URLs form a host of their own. Unclosed and cut-off markup is read as far as it goes. Repeated rows get equal results.
 """
 
@@ -21,8 +24,9 @@ from __future__ import annotations
 import html as references
 import re
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import pyarrow as pa
 import xxhash
@@ -84,12 +88,17 @@ CONTENT_MARKS = frozenset("article main content story post entry".split())
 
 @dataclass
 class Text:
-    """A text run: path of its element, number of its block, the text itself."""
+    """A text run: path of its element, number of its block, the text itself, all classes below the content element."""
 
-    __slots__ = ("path", "block", "text")
+    __slots__ = ("path", "block", "text", "classes")
     path: tuple[str, ...]
     block: int
     text: str
+    classes: str | None
+
+    @property
+    def place(self) -> str:
+        return "/".join(self.path) + (f"|{self.classes}" if self.classes else "")
 
 
 def step_of(name: str, marks: str) -> str:
@@ -101,11 +110,22 @@ def step_of(name: str, marks: str) -> str:
     return f"{name}.{'.'.join(own)}" if own else name
 
 
+def classes_of(step: str, marks: str, above: str | None) -> str | None:
+    """All classes from below the content element down, letters only; null outside it."""
+    if above is None:
+        return "" if is_content(step) else None
+    if "class" not in marks.lower():
+        return above
+    words = {w for kind, a, b, c in MARK.findall(marks) if kind.lower() == "class" for w in re.split(r"[^a-z-]+", (a or b or c).lower())}
+    own = ",".join(sorted(words - {""}))
+    return f"{above};{own}" if own else above
+
+
 def parse(page: str) -> tuple[Counter, list[Text]]:
     """How often each element path occurs, and the texts in page order."""
     elements: Counter = Counter()
     texts: list[Text] = []
-    open_: list[tuple[str, str]] = []  # name and step
+    open_: list[tuple[str, str, str | None]] = []  # name, step and classes
     path: tuple[str, ...] = ()
     block = at = 0
 
@@ -123,9 +143,9 @@ def parse(page: str) -> tuple[Counter, list[Text]]:
         if start > at:
             text = page[at:start]
             if not text.isspace():
-                texts.append(Text(path, block, text))
+                texts.append(Text(path, block, text, open_[-1][2] if open_ else None))
             elif texts and texts[-1].block == block:
-                texts.append(Text(path, block, " "))
+                texts.append(Text(path, block, " ", None))
         at = found.end()
         start = page.find("<", at)
         _, end, name, marks = found.groups()
@@ -153,10 +173,10 @@ def parse(page: str) -> tuple[Counter, list[Text]]:
         step = step_of(name, marks)
         elements[(*path, step)] += 1
         if name not in VOID and not marks.endswith("/"):
-            open_.append((name, step))
+            open_.append((name, step, classes_of(step, marks, open_[-1][2] if open_ else None)))
             path = (*path, step)
     if at < len(page) and (text := page[at:]).strip():
-        texts.append(Text(path, block, text))
+        texts.append(Text(path, block, text, open_[-1][2] if open_ else None))
     return elements, texts
 
 
@@ -178,6 +198,7 @@ def marks_of(step: str) -> tuple[str, frozenset[str]]:
     return name, frozenset(marks.split("."))
 
 
+@lru_cache(maxsize=100_000)
 def is_content(step: str) -> bool:
     name, marks = marks_of(step)
     return name in CONTENT_NAMES or bool(marks & CONTENT_MARKS) and not marks & ASIDE_MARKS and name not in INLINE
@@ -209,14 +230,14 @@ def aside_paths(texts: list[Text], depth: int, template: Template | None, conten
     held: Counter = Counter()
     for t in texts:
         own = [t.path[:i] for i in range(depth + 1, len(t.path) + 1)]
-        if not t.text.isspace() and found.isdisjoint(own) and not (template and text_token(t.path, t.text) in template.texts):
+        if not t.text.isspace() and found.isdisjoint(own) and not (template and text_token(t) in template.texts):
             for path in (None, *own):
                 held[path] += len(t.text)
     return found | {path for path in doubtful if 2 * held[path] <= held[None]}
 
 
-def text_token(path: tuple[str, ...], text: str) -> int:
-    return xxhash.xxh64_intdigest("/".join(path) + "\0" + " ".join(text.split())) - (1 << 63)
+def text_token(t: Text) -> int:
+    return xxhash.xxh64_intdigest(t.place + "\0" + " ".join(t.text.split())) - (1 << 63)
 
 
 TOKENS = T.StructType(
@@ -232,7 +253,11 @@ TOKENS = T.StructType(
 
 
 def token_vectors(pages: DataFrame, host: str, page: str, html: str) -> DataFrame:
-    """One row per host and token: path, text hash (null for elements), pages, occurrences, description of its vector."""
+    """One row per host and token: path, text hash (null for elements), pages, occurrences, description of its vector.
+
+    ``chars`` are those of the text, or of all texts directly in the element. Elements of the content count once more by all
+    their classes, behind a bar.
+    """
     bound_batches(pages.sparkSession)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,13 +266,19 @@ def token_vectors(pages: DataFrame, host: str, page: str, html: str) -> DataFram
             for name, number, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 elements, texts = parse(body.as_py() or "")
                 rows.append((name, number, "", None, 1, 0))
-                rows += [(name, number, "/".join(path), None, n, 0) for path, n in elements.items()]
                 seen: dict[tuple, list[int]] = {}
+                held: dict[str, list[int]] = {"/".join(path): [n, 0] for path, n in elements.items()}
                 for t in texts:
                     if t.text != " ":
-                        own = seen.setdefault(("/".join(t.path), text_token(t.path, t.text)), [0, 0])
+                        place = t.place
+                        own = seen.setdefault((place, text_token(t)), [0, 0])
                         own[0] += 1
                         own[1] += len(t.text)
+                        if place:
+                            direct = held.setdefault(place, [0, 0])
+                            direct[0] += "|" in place
+                            direct[1] += len(t.text)
+                rows += [(name, number, path, None, n, chars) for path, (n, chars) in held.items()]
                 rows += [(name, number, path, token, n, chars) for (path, token), (n, chars) in seen.items()]
             columns = list(zip(*rows)) if rows else [()] * 6
             kinds = (pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.int64())
@@ -277,13 +308,13 @@ def templates(vectors: DataFrame, support: float = SUPPORT) -> DataFrame:
 
 @dataclass
 class Template:
-    """Valid classes of a host as a tree of elements, its content element and its texts."""
+    """Valid classes of a host: elements, texts that are frame, places that hold nothing else, the content element."""
 
     pages: int
-    parent: dict[int, int] = field(default_factory=dict)
     elements: dict[tuple[str, ...], int] = field(default_factory=dict)
-    texts: set[int] = field(default_factory=set)
     on: dict[tuple[str, ...], int] = field(default_factory=dict)
+    texts: set[int] = field(default_factory=set)
+    places: set[str] = field(default_factory=set)
     content: tuple[str, ...] | None = None
 
     def is_frame(self, path: tuple[str, ...]) -> bool:
@@ -294,25 +325,59 @@ class Template:
 def nested(pages: int, classes: list[list[tuple]]) -> Template:
     """The template of the classes that nest. A token is (path, text, pages, times, chars)."""
     found = Template(pages)
-    owner = {tuple(path.split("/")): k for k, tokens in enumerate(classes) for path, text, *_ in tokens if text is None}
+    owner = {tuple(path.split("/")): k for k, tokens in enumerate(classes) for path, text, *_ in tokens if text is None and "|" not in path}
+    held: Counter = Counter()
+    texts: list[tuple[str, tuple[str, ...], int, int, int]] = []
     for k, tokens in enumerate(classes):
         above = set()
         for path, text, *_ in tokens:
-            steps = tuple(path.split("/"))
+            steps = steps_of(path)
             above.add(next((o for i in range(len(steps) - (text is None), 0, -1) if (o := owner.get(steps[:i])) not in (None, k)), -1))
         once = all(on == times for _, _, on, times, *_ in tokens)
-        if len(above) == 1 or once:
-            found.parent[k] = -1 if len(above) > 1 else above.pop()
-            for path, text, on, *_ in tokens:
-                if text is None:
-                    found.elements[tuple(path.split("/"))] = k
-                    found.on[tuple(path.split("/"))] = on
-                elif pages >= TEXT_PAGES and on >= TEXT_SUPPORT * pages:
-                    found.texts.add(text)
+        valid = len(above) == 1 or once
+        for path, text, on, _, chars in tokens:
+            steps = steps_of(path)
+            if text is None:
+                held[path] += chars
+                if valid and "|" not in path:
+                    found.elements[steps] = k
+                    found.on[steps] = on
+            elif valid and on >= TEXT_PAGES:
+                texts.append((path, steps, text, on, chars))
+    lay_out(found, held, texts)
     found.content = next(iter(content_paths(found.elements)), None)
     return found
 
 
+def steps_of(place: str) -> tuple[str, ...]:
+    return tuple(place.partition("|")[0].split("/"))
+
+
+def lay_out(found: Template, held: Counter, texts: list[tuple[str, tuple[str, ...], int, int, int]]) -> None:
+    """Tell frame from slots, per layout.
+
+    An element of the template with a slot below it is a layout of the pages that have it; the texts below it on nearly all of
+    these pages are frame. An element without any slot may be one article that is repeated, and makes nothing frame.
+    """
+    on = {(): found.pages, **found.on}
+    below: Counter = Counter()
+    for place, chars in held.items():
+        steps = steps_of(place)
+        for i in range(len(steps) + 1):
+            below[steps[:i]] += chars
+    fixed: dict[tuple[str, ...], list[tuple]] = {}
+    for t in texts:
+        for i in range(len(t[1]) + 1):
+            if t[1][:i] in on and t[3] >= TEXT_SUPPORT * on[t[1][:i]]:
+                fixed.setdefault(t[1][:i], []).append(t)
+    frame = {t for steps, own in fixed.items() if sum(t[4] for t in own) < below[steps] for t in own}
+    found.texts = {t[2] for t in frame}
+    same: Counter = Counter()
+    for place, _, _, _, chars in frame:
+        same[place] += chars
+    found.places = {place for place, chars in same.items() if chars >= TEXT_SUPPORT * held[place]}
+
+
 def content_paths(paths: Iterable[tuple[str, ...]]) -> list[tuple[str, ...]]:
     """Those of content elements, the likeliest first. Asides above them only make them less likely."""
     inside = [path for path in paths if is_content(path[-1])]
@@ -331,14 +396,23 @@ def within(texts: list[Text], content: tuple[str, ...], template: Template | Non
     kept = []
     for start, own in depths.items():
         asides = aside_paths(own, len(start), template, True)
-        kept += [t for t in own if asides.isdisjoint(t.path[:i] for i in range(len(start) + 1, len(t.path) + 1)) and not is_marked_frame(t, len(start), template)]
+        slots = [t for t in own if asides.isdisjoint(t.path[:i] for i in range(len(start) + 1, len(t.path) + 1))]
+        kept += without_frame(slots, lambda t: is_frame(t, start, template))
     chosen = set(map(id, kept))
     return [t for t in texts if id(t) in chosen]
 
 
-def is_marked_frame(t: Text, depth: int, template: Template | None) -> bool:
-    """Whether a text below a marked element is the same on the host's pages."""
-    return bool(template) and any(marks_of(s)[1] & ASIDE_MARKS for s in t.path[depth:]) and text_token(t.path, t.text) in template.texts
+def without_frame(texts: list[Text], frame: Callable[[Text], bool]) -> list[Text]:
+    """The texts of all blocks but those that are frame as a whole: a word all pages set in bold stays in its sentence."""
+    slots = {t.block for t in texts if t.text != " " and not frame(t)}
+    return [t for t in texts if t.block in slots]
+
+
+def is_frame(t: Text, content: tuple[str, ...], template: Template | None) -> bool:
+    """Whether a text below the content element is frame: a line that articles share stays where their own texts stand."""
+    if not template or t.path == content or text_token(t) not in template.texts:
+        return False
+    return t.place in template.places or any(marks_of(s)[1] & ASIDE_MARKS for s in t.path[len(content) :])
 
 
 def main_text(page: str | None, template: Template | None) -> str:
@@ -357,7 +431,7 @@ def main_text(page: str | None, template: Template | None) -> str:
     asides = aside_paths(texts, 0, template, False)
     known = template.texts if template else ()
     kept = [t for t in texts if asides.isdisjoint(t.path[:i] for i in range(1, len(t.path) + 1))]
-    return blocks_of([t for t in kept if t.text == " " or text_token(t.path, t.text) not in known])
+    return blocks_of(without_frame(kept, lambda t: text_token(t) in known))
 
 
 #: Templates a task keeps at a time.
