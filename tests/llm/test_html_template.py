@@ -179,3 +179,17 @@ def test_a_repeated_page_is_no_frame(spark):
     found = h.extract(spark.createDataFrame(rows, "page_id long, url string, html string"))
     texts = [r.text for r in found.collect()]
     assert texts.count("Title Words of an article") == 18 and len(texts) == 24
+
+
+def test_pages_given_twice_keep_their_vectors(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(i, f"http://s.org/{i}", f"<body><div><p>{'left' if i % 2 else 'right'}</p></div><i>{i}</i></body>") for i in range(12)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("host", F.lit("s.org"))
+
+    def classes(given):
+        found = h.templates(h.token_vectors(given, "host", "page_id", "html")).first()
+        return {frozenset((t.path, t.text) for t in c) for c in found.classes}
+
+    once = classes(pages)
+    assert classes(pages.union(pages)) == once and len(once) == 3  # the elements, left, right

@@ -2,7 +2,7 @@
 
 1. Every page is cut into tokens: elements by their path (names and marked classes from the root down) and texts at
    their path. ``token_vectors`` describes the occurrence vector of each token over the pages of its host by a
-   hash that adds up (XOR over pages of page and count), so tokens with equal vectors have equal descriptions and
+   hash that adds up (sums over pages of page and count), so tokens with equal vectors have equal descriptions and
    a hot host is grouped token by token, never as a whole.
 2. ``templates`` groups the frequent tokens of a host into equivalence classes. A class is valid if its tokens occur once per
    page, or if it nests: all its elements lie below one class, or below itself. The valid classes form the host's template,
@@ -286,11 +286,12 @@ def token_vectors(pages: DataFrame, host: str, page: str, html: str) -> DataFram
 
     given = pages.select(F.col(f"`{host}`"), F.col(f"`{page}`"), F.col(f"`{html}`"))
     tokens = given.mapInArrow(cut, TOKENS)
-    return tokens.groupBy("host", "path", "text").agg(
+    return tokens.withColumn("hash", F.xxhash64("page", "n")).groupBy("host", "path", "text").agg(
         F.count("*").alias("pages"),
         F.sum("n").alias("times"),
         F.sum("chars").alias("chars"),
-        F.bit_xor(F.xxhash64("page", "n")).alias("vector"),
+        # Sums of both halves: unlike XOR, pages that are given twice do not cancel out.
+        F.xxhash64(F.sum(F.col("hash").bitwiseAND(F.lit((1 << 32) - 1))), F.sum(F.shiftrightunsigned("hash", 32))).alias("vector"),
     )
 
 
