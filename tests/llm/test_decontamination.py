@@ -105,3 +105,15 @@ def test_awkward_rows(spark):
 def test_empty_benchmark(spark):
     found = d.judged(d.find_benchmark_spans(documents(spark), spark.createDataFrame([], "item_id long, text string")))
     assert found.where("contaminated OR n_hit > 0").count() == 0 and found.count() == len(AWKWARD)
+
+
+@pytest.mark.parametrize("bits", [2, 3, 5])
+def test_words_beyond_the_symbols_of_a_shard(bits):
+    """The shard lacks word number 2 ** bits, which begins, ends or splits a phrase that is whole otherwise."""
+    known = [f"w{i}" for i in range(1, 1 << bits)]
+    phrases = [[*known, "more"], ["more", *known[:2]], [known[0], "more", known[1]], [*known[:2], "more"], known[:3]]
+    items = [(str(i), [w.encode() for w in p]) for i, p in enumerate(phrases)]
+    found = d.search_documents([" ".join(known), " ".join(known[:3])], d.Phrases(items, 3), 1000)
+    windows = windows_of(items, 3)
+    for text, (n, spans, which) in zip([" ".join(known), " ".join(known[:3])], found):
+        assert (n, sum(b - a for a, b in spans), [items[i][0] for i in which]) == brute(text, windows)

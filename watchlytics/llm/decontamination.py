@@ -244,7 +244,7 @@ class Shard:
         index = FmIndex(symbols, BLOCK + phrases.longest)
         out = []
         for numbers, rows in phrases.groups:
-            present = np.flatnonzero((rows < len(index.first) - 1).all(axis=1))
+            present = np.flatnonzero((rows < 1 << index.matrix.bits).all(axis=1))
             which, low, high = index.search(rows[present])
             if len(which):
                 repeats = high - low
