@@ -91,3 +91,18 @@ def test_few_or_no_labels(spark):
 def test_no_python_on_the_executors(spark):
     text = u.judge(spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "url"))._jdf.queryExecution().toString()
     assert "Python" not in text and "Arrow" not in text and "Pandas" not in text
+
+
+def test_a_hot_url_neither_fills_the_bound_nor_goes_missing(spark):
+    """A third of the labelled rows is one URL; the weights of the picked rows add up to about all rows."""
+    n, most = 6000, 300
+    for hot in range(4):
+        values = [(0.0 if i < n // 3 else float(i), "block" if i < n // 3 or i % 2 else "allow") for i in range(n)]
+        rows = spark.createDataFrame(values, "x double, verdict string")
+        rows = rows.select("verdict", *((F.col("x") + hot).alias("u_" + f) for f in u.FEATURES))
+        picked = u.weighted(rows, n, "u_", "verdict", most).collect()
+        assert len(picked) <= 1.3 * most
+        assert [r.weight for r in picked if r.u_url_length == hot] == [n // 3]
+        assert abs(sum(r.weight for r in picked) - n) < 0.3 * n
+    whole = u.weighted(rows, n, "u_", "verdict", n).collect()
+    assert len(whole) == 1 + n - n // 3 and sum(r.weight for r in whole) == n

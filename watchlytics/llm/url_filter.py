@@ -29,7 +29,7 @@ RULES = (
     (BLOCK, "net", "/es/"),
     (BLOCK, "net", "/fr/"),
 )
-#: At most about so many labelled URLs are fitted; a hash of the URL picks them evenly from all.
+#: At most about so many distinct rows of features and verdict are fitted, each with its weight; see ``train``.
 MOST_LABELLED = 200_000
 TREES, DEPTH, SEED = 20, 4, 42
 #: Parts of the sample that is fitted.
@@ -158,19 +158,30 @@ def _vectors(parsed: DataFrame, prefix: str, out: str) -> DataFrame:
     return VectorAssembler(inputCols=[prefix + f for f in FEATURES], outputCol=out).transform(parsed)
 
 
+def weighted(rows: DataFrame, n: int, prefix: str, verdict: str, most: int) -> DataFrame:
+    """The picked ones of ``n`` labelled rows: distinct features and label, with their weight."""
+    label = (F.col(verdict) == BLOCK).cast("double").alias("label")
+    made = rows.groupBy(*(F.col(prefix + f) for f in FEATURES), label).agg(F.count("*").cast("double").alias("weight"))
+    if n <= most:
+        return made
+    least, parts = n / most, 1 << 30
+    hashed = F.pmod(F.xxhash64(*(prefix + f for f in FEATURES), "label"), F.lit(parts)) / parts
+    return made.where(hashed < F.col("weight") / least).withColumn("weight", F.greatest("weight", F.lit(least)))
+
+
 def train(labelled: DataFrame, prefix: str, verdict: str, most: int = MOST_LABELLED) -> Filter:
     """Fit to rows with all features and a verdict (rows with a null verdict do not count).
 
-    ``most`` bounds the rows fitted; their pick depends on the URL alone.
+    Equal rows are fitted once, with their number as weight. ``most`` bounds the rows fitted: of n labelled ones, a row that
+    occurs n / most times or more is always fitted; rarer ones are picked by a hash, as likely as they are frequent, and weigh
+    n / most. So a hot URL neither fills the bound nor goes missing, and all weights are right on average.
     """
     rows = labelled.where(F.col(verdict).isin(ALLOW, BLOCK))
     n, blocked = rows.agg(F.count("*"), F.coalesce(F.sum((F.col(verdict) == BLOCK).cast("int")), F.lit(0))).first()
     if blocked in (0, n):
         return Filter(None, BLOCK if blocked else ALLOW)
-    parts = 1 << 30
-    rows = rows.where(F.pmod(F.xxhash64(*(prefix + f for f in FEATURES), prefix + "host", prefix + "path"), F.lit(parts)) < int(parts * min(1.0, most / n)))
-    rows = rows.select(*(prefix + f for f in FEATURES), (F.col(verdict) == BLOCK).cast("double").alias("label"))
-    trees = GBTClassifier(featuresCol="features", labelCol="label", maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=SEED)
+    rows = weighted(rows, n, prefix, verdict, most)
+    trees = GBTClassifier(featuresCol="features", labelCol="label", weightCol="weight", maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=SEED)
     sample = stored(rows.repartition(PARTS), "url-training")  # bounded, so a few parts do; each tree reads them anew
     return Filter(trees.fit(_vectors(sample, prefix, "features")))
 
