@@ -135,3 +135,17 @@ def test_foreign_archives_become_warc(spark, tmp_path):
     again = new_folder(spark, "test-warc")
     w.convert(spark, str(tmp_path), again)
     assert {r.record_id for r in w.read_warc(spark, again).collect()} == {r.record_id for r in found}
+
+
+@pytest.mark.parametrize("version", ["1", "2"])
+@pytest.mark.parametrize("pack", [bytes, gzip.compress])
+def test_pages_with_the_url_of_a_version_block(version, pack):
+    records = [*RECORDS, ("filedesc://page", "2001", b"HTTP/1.1 200 OK\r\n\r\nx"), ("filedesc://list", "2001", b"1 two three"), RECORDS[0]]
+    other = archive("2" if version == "1" else "1", RECORDS)  # archives may be joined, each with its version block
+    found = list(w.arc_records(pack(archive(version, records)) + pack(other)))
+    assert [(r.headers["URL"], r.headers["Archive-date"], r.block) for r in found] == records + RECORDS
+
+
+def test_round_trip_of_pages_with_the_url_of_a_version_block(spark):
+    rows = [(1, "filedesc://a.arc", "<p>page</p>"), (2, "filedesc://b", None), (3, "http://a.com/", "x")]
+    assert sorted(r.key for r in w.round_trip(pages(spark, rows)).collect()) == [1, 2, 3]

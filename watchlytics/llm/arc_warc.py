@@ -22,6 +22,7 @@ from __future__ import annotations
 import gzip
 import hashlib
 import io
+import re
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -46,6 +47,8 @@ FIELDS = {
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 NAMESPACE = uuid.uuid5(uuid.NAMESPACE_URL, "urn:watchlytics:arc")
 KEY = b"x-record-key"
+#: Version line and field list, by which a version block is told from a page whose URL begins like that of one.
+VERSION_BODY = re.compile(rb"[0-9]+ [^\n]*\nURL IP-address Archive-date ")
 END = "\r\n\r\n"
 
 
@@ -102,23 +105,27 @@ def opened(content: bytes):
 
 def arc_records(content: bytes) -> Iterator[Record]:
     """Records of an ARC file, the version block excluded."""
-    stream, offset, version = opened(content), 0, "1"
+    stream, offset, version, first = opened(content), 0, "1", True
     while line := stream.readline():
         start, offset = offset, offset + len(line)
         if not line.strip():
             continue
         text = line.decode("utf-8", "replace").rstrip("\r\n")
-        own = "1" if text.startswith("filedesc://") and text.count(" ") < 9 else "2" if text.startswith("filedesc://") else version
-        names = FIELDS[own].split(" ")
-        fields = text.rsplit(" ", len(names) - 1)
-        if len(fields) != len(names) or not fields[-1].isdecimal():
+        last = text.rpartition(" ")[2]  # the length, in both versions
+        if not last.isdecimal():
             raise ValueError(f"no ARC header line at byte {start}: {text[:200]!r}")
-        length = int(fields[-1])
+        length = int(last)
         block = stream.read(length)
         if len(block) < length:
             raise ValueError(f"the record at byte {start} ends {length - len(block)} bytes early")
         offset += length
-        if text.startswith("filedesc://"):
+        opening = text.startswith("filedesc://") and (first or VERSION_BODY.match(block) is not None)
+        first = False
+        names = FIELDS[("2" if text.count(" ") >= 9 else "1") if opening else version].split(" ")
+        fields = text.rsplit(" ", len(names) - 1)
+        if len(fields) != len(names):
+            raise ValueError(f"no ARC header line at byte {start}: {text[:200]!r}")
+        if opening:
             version = block.split(b" ", 1)[0].decode("ascii", "replace").strip()
             if version not in FIELDS:
                 raise ValueError(f"unknown ARC version {version!r}")
