@@ -83,3 +83,31 @@ def test_no_python_on_the_executors(spark):
     found = e.duplicates(placed(spark.read.parquet(f"{SF}/documents.parquet")))
     text = found._jdf.queryExecution().toString()
     assert "Python" not in text and "Arrow" not in text and "Pandas" not in text
+
+
+def test_later_calls_compare_bytes_with_earlier_ones(spark, tmp_path):
+    """The weak digest covers many texts: sizes and kept rows must be those of all rows so far, by their bytes."""
+    calls = [
+        [(i, f"text {i % 40}" + "  " * (i % 3), None, None, None) for i in range(60)],
+        [(100 + i, f"text {i}   ", None, None, None) for i in range(30, 90)],
+        [(200, "text 1", None, None, None), (201, "none like it", None, None, None)],
+    ]
+    folder, so_far = new_folder(spark, "test-state"), []
+    for number, rows in enumerate(calls):
+        docs = documents(spark, rows)
+        if number == 1:  # files of a table, with a blank in their path
+            docs.write.parquet(str(tmp_path / "a table"))
+            docs = spark.read.parquet(str(tmp_path / "a table"))
+        so_far += rows
+        found = e.duplicates(placed(docs), checkpoint=folder, digest=weak)
+        own = {doc_id for doc_id, *_ in rows}
+        want = [r for r in plain(so_far)[0] if r[0] in own]
+        assert sorted(((r.doc_id, r.keep_id, r.group_size) for r in found.collect()), key=repr) == want
+        assert all(r.kept == (r.doc_id == r.keep_id) for r in found.collect())
+
+
+def test_a_new_text_is_compared_with_the_one_kept_earlier(spark):
+    folder = new_folder(spark, "test-state")
+    for rows, size in (([(1, "a", None, None, None)], 1), ([(2, "a longer text", None, None, None)], 1), ([(3, " a", None, None, None)], 2)):
+        found = e.duplicates(placed(documents(spark, rows)), checkpoint=folder, digest=lambda text: F.lit("0")).collect()
+        assert [(r.doc_id, r.keep_id, r.group_size) for r in found] == [(rows[0][0], rows[0][0], size)]

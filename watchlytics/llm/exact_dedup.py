@@ -19,6 +19,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -94,15 +96,51 @@ def read_state(spark: SparkSession, checkpoint: str) -> DataFrame:
     return state.select("key.digest", F.col(f"value.{keep}").alias("keep"), F.col(f"value.{count}").alias("n"))
 
 
-def _different_bytes(rows: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def _fetched(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """``rows`` (digest, row) with the normalised text found at their locators, as digest, bare, row."""
+    files = [r.file for r in rows.select("row.file").distinct().toLocalIterator()]
+    kinds: dict[str, str] = {}  # files of a folder are alike: tables, or copies made by ``placed``
+    texts = []
+    for file in files:
+        folder = file.rpartition("/")[0]
+        if folder not in kinds:
+            kinds[folder] = "text" if "text" in spark.read.parquet(unquote(file)).columns else "document"
+    for name, schema, text in (("text", "text string", "text"), ("document", "document struct<text:string>", "document.text")):
+        own = [unquote(f) for f in files if kinds[f.rpartition("/")[0]] == name]
+        if own:
+            read = spark.read.schema(schema).parquet(*own)
+            locator = (F.col("_metadata.file_path").alias("at_file"), F.col("_metadata.row_index").alias("at_place"))
+            texts.append(read.select(normalised(F.col(text)).alias("bare"), *locator))
+    if not texts:
+        return rows.select("digest", F.lit("").alias("bare"), "row")
+    found = reduce(DataFrame.unionByName, texts)
+    at = (F.col("row.file") == F.col("at_file")) & (F.col("row.place") == F.col("at_place"))
+    return rows.join(found, at).select("digest", "bare", "row")
+
+
+def _different_bytes(rows: DataFrame, state: DataFrame, earlier: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Hits with their full bytes (digest, bare, row), and the digests that cover different bytes.
 
-    Each text moves once, whatever the number of hits; a merge join's partitions can be split.
+    Each text moves once, whatever the number of hits; a merge join's partitions can be split. Rows of ``earlier``
+    calls (digest, row) that share a digest agree among themselves, unless it is known to be torn: the best is fetched, which
+    the state either keeps still or has given up for a row of this call.
     """
     repeated = state.where("n > 1").select("digest", "keep")
     hits = stored(rows.join(repeated.hint("merge"), "digest").select("digest", "bare", "row", "keep"), "dedup-hits")
     first = hits.where("row = keep").select("digest", F.col("bare").alias("kept_bare"))
-    others = hits.where("row != keep").select("digest", "bare").join(first.hint("merge"), "digest")
+    compared = hits.where("row != keep").select("digest", "bare")
+    if earlier is not None:
+        best = earlier.groupBy("digest").agg(F.min("row").alias("row"))
+        known = stored(best.join(hits.select("digest"), "digest", "left_semi"), "dedup-known")
+        before = stored(_fetched(rows.sparkSession, known).join(repeated, "digest"), "dedup-before")
+        first = first.unionByName(before.where("row = keep").select("digest", F.col("bare").alias("kept_bare")))
+        compared = compared.unionByName(before.where("row != keep").select("digest", "bare"))
+    others = compared.join(first.hint("merge"), "digest")
     # Not made distinct: that would keep the join's partitions from being split, and repeats do no harm.
     torn = stored(others.where("bare != kept_bare").select("digest"), "dedup-torn")
     return hits, torn
@@ -111,23 +149,39 @@ def _different_bytes(rows: DataFrame, state: DataFrame) -> tuple[DataFrame, Data
 def duplicates(docs: DataFrame, checkpoint: str | None = None, digest: Callable[[Column], Column] = sha256) -> DataFrame:
     """One row per row of ``docs`` (see ``placed``): digest, doc_id, file, place, keep_id, group_size, kept.
 
-    With a ``checkpoint`` of its own the state outlives the call: rows of later calls meet those of earlier ones.
+    With a ``checkpoint`` of its own the state outlives the call: rows of later calls meet those of earlier ones. The folder also
+    keeps the rows of all calls (digest, identifier, locator) and the digests found to cover different bytes. The files of
+    earlier calls must still be there: texts to compare with are fetched from them.
     """
     spark = docs.sparkSession
     rows = _rows(docs, digest)
     ledger = stored(rows.select("digest", "row"), "dedup-ledger")
     folder = checkpoint or new_folder(spark, "dedup-state")
-    update_state(spark, ledger, folder)
+    noted, torn_before, earlier, fed = f"{folder}/rows", f"{folder}/torn", None, ledger
+    if checkpoint:  # a stream goes on only where it began, so all calls feed one folder
+        # A copy, as the folder grows below.
+        earlier = stored(spark.read.schema(ledger.schema).parquet(noted) if _exists(spark, noted) else ledger.limit(0), "dedup-earlier")
+        ledger.write.mode("append").parquet(noted)
+        fed = spark.read.schema(ledger.schema).parquet(noted)
+        fed.stored_path = noted
+    update_state(spark, fed, folder)
     state = stored(read_state(spark, folder), "dedup-groups")
     if not checkpoint:
         discard(spark, folder)
-    hits, torn = _different_bytes(rows, state)
+        hits, torn = _different_bytes(rows, state)
+    else:
+        hits, torn = _different_bytes(rows, state, earlier)
+        torn.distinct().write.mode("append").parquet(torn_before)
+        torn = stored(spark.read.schema(torn.schema).parquet(torn_before).distinct(), "dedup-torn")
     whole = ledger.join(state, "digest")
     if torn.isEmpty():
         discard(spark, hits, torn)
     else:
         parts = hits.join(torn, "digest", "left_semi").drop("keep")
-        by_bytes = parts.groupBy("digest", "bare").agg(F.min("row").alias("keep"), F.count("*").alias("n"))
+        every = parts
+        if earlier is not None:
+            every = parts.unionByName(_fetched(spark, stored(earlier.join(torn, "digest", "left_semi"), "dedup-known")))
+        by_bytes = every.groupBy("digest", "bare").agg(F.min("row").alias("keep"), F.count("*").alias("n"))
         parts = parts.join(stored(by_bytes, "dedup-parts"), ["digest", "bare"])
         whole = whole.join(torn, "digest", "left_anti").unionByName(parts.select(*whole.columns))
     return whole.select(
