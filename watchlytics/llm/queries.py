@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from watchlytics.llm import arc_warc, bpe, decontamination, exact_dedup, html_template, language, quality, simhash, token_counts, url_filter
+from watchlytics.llm import (
+    arc_warc,
+    bpe,
+    decontamination,
+    exact_dedup,
+    fill_middle,
+    html_template,
+    language,
+    quality,
+    simhash,
+    token_counts,
+    url_filter,
+)
 from watchlytics.llm.common import fold_of, placed, stored, table
 
 
@@ -75,6 +87,19 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fill_middle.fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        "n",
+        "form",
+        F.col("prefix_units").alias("prefix_chars"),
+        F.col("middle_units").alias("middle_chars"),
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(fill_middle.restored(F.col("output"), F.col("form")).cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -88,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_bpe_encoding_and_decoding,
         op9_html_extraction,
         op10_url_filters,
+        op13_fill_in_middle,
     )
 }
 
@@ -122,4 +148,34 @@ ORACLES: dict[str, str] = {
                CASE WHEN payload_bytes >= 100 AND page_id <> response THEN response END AS refers_to
         FROM best
     """,
+    "op13_fill_in_middle": """
+        WITH given AS (
+            SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n,
+                   sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS hex
+            FROM documents
+        ),
+        numbers AS (
+            SELECT *, ('0x' || hex[1:8])::BIGINT % (n + 1) AS a, ('0x' || hex[9:16])::BIGINT % (n + 1) AS b,
+                   ('0x' || hex[17:24])::BIGINT % 100 AS c, ('0x' || hex[25:32])::BIGINT % 100 AS d
+            FROM given
+        ),
+        cuts AS (
+            SELECT *, least(a, b) AS p, greatest(a, b) AS q,
+                   CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR c >= 90 THEN 'plain'
+                        WHEN d < 20 THEN 'spm' ELSE 'psm' END AS form
+            FROM numbers
+        ),
+        parts AS (
+            SELECT *, substring(text, 1, p) AS prefix, substring(text, p + 1, q - p) AS middle, substring(text, q + 1, n - q) AS suffix
+            FROM cuts
+        )
+        SELECT doc_id, n, form,
+               CASE WHEN form <> 'plain' THEN p END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN q - p END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN text
+                                WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                                ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+               sha256(text) AS restored_sha256
+        FROM parts
+    """,
 }
