@@ -14,6 +14,7 @@ from watchlytics.llm import (
     fill_middle,
     html_template,
     language,
+    piece_bpe,
     quality,
     simhash,
     token_counts,
@@ -87,6 +88,10 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_sentencepiece_encoding_and_decoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_bpe.digest_documents(table(spark, sf_dir, "documents"))
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = fill_middle.fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select(
@@ -113,6 +118,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_bpe_encoding_and_decoding,
         op9_html_extraction,
         op10_url_filters,
+        op11_sentencepiece_encoding_and_decoding,
         op13_fill_in_middle,
     )
 }
