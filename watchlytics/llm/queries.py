@@ -17,6 +17,7 @@ from watchlytics.llm import (
     piece_bpe,
     quality,
     simhash,
+    spelling,
     token_counts,
     url_filter,
 )
@@ -92,6 +93,11 @@ def op11_sentencepiece_encoding_and_decoding(spark: SparkSession, sf_dir: str) -
     return piece_bpe.digest_documents(table(spark, sf_dir, "documents"))
 
 
+def op12_spelling_variant_grouping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spelling.spelling_variants(docs, slip=spelling.SLIP).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = fill_middle.fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select(
@@ -119,6 +125,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_html_extraction,
         op10_url_filters,
         op11_sentencepiece_encoding_and_decoding,
+        op12_spelling_variant_grouping,
         op13_fill_in_middle,
     )
 }
