@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from watchlytics.functions.derivations import derive_completion
 from watchlytics.functions.joins import lookup_join
-from watchlytics.operators import marts, reports
+from watchlytics.operators import core, marts, reports
 
 SCHEMA = "id int, k int, j string"
 
@@ -157,3 +157,41 @@ def test_engagement_shrinks_before_the_join(spark, hot):
     assert found.agg(F.sum("total_sessions")).first()[0] == N
     day = found.orderBy(F.desc("total_sessions")).first()
     assert day.daily_active_users == day.unique_content_viewed
+
+
+AGGREGATES = {
+    "content_viewing_stats": lambda s, c: core.content_viewing_stats(s.withColumnRenamed("id", "viewing_session_id")),
+    "content_performance_agg": marts.content_performance_agg,
+}
+
+
+@pytest.fixture(scope="module")
+def hot_title(spark, hot):
+    """Sessions of which one title holds a third, by 5,000 users, some unknown."""
+    user = F.when(F.col("id") % 11 == 0, None).otherwise(F.pmod(F.xxhash64("id"), F.lit(5000)).cast("int"))
+    titles = spark.range(500).select(
+        F.col("id").cast("int").alias("content_id"), F.lit("t").alias("title"), F.lit("movie").alias("content_type"),
+        *(F.lit(None).cast(t).alias(c) for c, t in (("genre", "string"), ("subgenre", "string"), ("release_year", "int"))),
+        F.lit(30).alias("duration_minutes"), F.lit(True).alias("is_original"), F.lit(None).cast("decimal(3,1)").alias("imdb_rating"),
+    )
+    return hot["sessions"].withColumn("user_id", user), titles
+
+
+@pytest.mark.parametrize("name", list(AGGREGATES))
+def test_sessions_of_a_hot_title_are_scanned_once(hot_title, small_partitions, name):
+    sessions, titles = hot_title
+    found = AGGREGATES[name](sessions, titles)
+    plan = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert sum("Relation" in line for line in plan) == 1
+    joined = sessions.groupBy("content_id").agg(F.count("*"), F.count_distinct("user_id"), F.sum("duration_seconds"))
+    columns = ["content_id", "total_sessions", "unique_viewers", "total_watch_time_seconds"]
+    assert rows(found, *columns) == rows(joined)
+    assert max(r[1] for r in rows(found, *columns)) >= N / 3
+
+
+def test_no_task_gets_a_hot_title_alone(hot_title, small_partitions):
+    """Rows that meet per content and user are spread; what is left per content is one row per task."""
+    sessions, _ = hot_title
+    pairs = sessions.groupBy("content_id", "user_id").count()
+    sizes = [len(part) for part in pairs.rdd.glom().collect()]
+    assert sum(sizes) > 10_000 and max(sizes) < 2 * sum(sizes) / len(sizes)

@@ -141,6 +141,21 @@ def test_decoding(spark):
     assert found[2].search_filters is None and found[3].search_filters.min_rating == 6.5
 
 
+def test_filters_keep_keys_nobody_asked_for(spark):
+    texts = ["{'genre': 'A', 'own key': {'a': [1, 2]}}", '{"year": "soon", "decade": "90s"}', "{broken", "[1]", "7", "null", "", None, "{}"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, search_filters string")
+    found = loading.decode_json_filters(df).selectExpr(
+        "id", "search_filters.genre", "search_filters.year", "search_filters.decade", "search_filters IS NULL AS none",
+        "to_json(search_filters_variant) AS whole", "try_variant_get(search_filters_variant, \"$['own key'].a[1]\", 'int') AS own",
+    )
+    assert rows(found) == sorted([
+        (0, "A", None, None, False, '{"genre":"A","own key":{"a":[1,2]}}', 2),
+        (1, None, None, "90s", False, '{"decade":"90s","year":"soon"}', None),
+        *((i, None, None, None, True, None, None) for i in range(2, 8)),
+        (8, None, None, None, False, "{}", None),
+    ], key=repr)
+
+
 def test_reload_day_replaces_only_its_day(spark, tmp_path):
     path = str(tmp_path / "users")
     df = spark.range(3)

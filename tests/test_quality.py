@@ -80,3 +80,27 @@ def test_report(dirty):
 def test_declared_checks():
     kinds = [c.kind for c in quality.CHECKS]
     assert (len(kinds), kinds.count("unique"), kinds.count("not_null"), kinds.count("relationships")) == (55, 13, 29, 13)
+
+
+def test_whole_numbers_travel_as_numbers(spark, dirty):
+    """Keys of one whole number move as such; composite and text keys as text; the report is that of text keys alone."""
+    report = rows(quality.dq_report(dirty))
+    as_text = quality._is_whole
+    quality._is_whole = lambda table, column: False
+    try:
+        assert rows(quality.dq_report(dirty)) == report
+    finally:
+        quality._is_whole = as_text
+    assert quality._is_whole(dirty["users"], "id") and not quality._is_whole(dirty["users"], "email")
+
+
+def test_numbers_of_different_width_meet(spark):
+    parent = spark.createDataFrame([(1,), (2,), (2,)], "id bigint")
+    child = spark.createDataFrame([(1, 1), (2, 3), (3, None)], "id int, parent int")
+    checks = [
+        quality.Check("child", "parent", "relationships", parent="parent", parent_column="id"),
+        quality.Check("parent", "id", "unique"),
+        quality.Check("child", "id", "unique"),
+    ]
+    found = quality.dq_report({"parent": parent, "child": child}, checks)
+    assert rows(found, "model", "check", "failures") == [("child", "relationships", 1), ("child", "unique", 0), ("parent", "unique", 1)]

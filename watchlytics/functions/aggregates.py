@@ -23,3 +23,25 @@ def with_distinct_count(
     counted = pairs.groupBy(*(F.col(key).alias(f"_d_{key}") for key in keys)).agg(F.count("_value").alias(name))
     same = reduce(Column.__and__, (F.col(key).eqNullSafe(F.col(f"_d_{key}")) for key in keys))
     return grouped.join(counted, same).drop(*(f"_d_{key}" for key in keys))
+
+
+#: How partial results of an aggregate come together.
+MERGES = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}
+
+
+def merged_over(
+    df: DataFrame, keys: dict[str, Column], value: str, name: str, parts: dict[str, tuple[str, Column]]
+) -> DataFrame:
+    """Group by ``keys``, with the distinct values of ``value`` counted as ``name``, in one pass over ``df``.
+
+    ``parts`` names the other aggregates, each a kind (count, sum, min, max) and its column. They are taken per key and
+    value first, where every distinct value is one row, and merged per key from there: the rows are read once
+    and nothing is joined. A large group spreads over the tasks by its values.
+    """
+    start = {"count": F.count, "sum": F.sum, "min": F.min, "max": F.max}
+    grouping = [column.alias(key) for key, column in keys.items()]
+    per_value = df.groupBy(*grouping, F.col(value).alias("_value")).agg(
+        *(start[kind](column).alias(part) for part, (kind, column) in parts.items())
+    )
+    merged = [MERGES[kind](part).alias(part) for part, (kind, _) in parts.items()]
+    return per_value.groupBy(*keys).agg(F.count("_value").alias(name), *merged)

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from watchlytics.functions.aggregates import with_distinct_count
+from watchlytics.functions.aggregates import merged_over
 from watchlytics.functions.joins import lookup_join
-from watchlytics.functions.numbers import mean_of, mean_of_hundredths
+from watchlytics.functions.numbers import hundredths, mean, mean_of, mean_of_hundredths
 from watchlytics.functions.stamps import with_updated_at
 from watchlytics.schemas import ACTIVE_DAYS, PREMIUM_PLANS
 
@@ -98,20 +98,20 @@ def dim_users(
 
 def content_viewing_stats(stg_sessions: DataFrame) -> DataFrame:
     """Sessions, viewers, watch time and completion per content."""
-    stats = with_distinct_count(
+    stats = merged_over(
         stg_sessions,
         {"content_id": F.col("content_id")},
         "user_id",
         "unique_viewers",
-        [
-            F.count("viewing_session_id").alias("total_sessions"),
-            F.sum(F.col("duration_seconds").cast("bigint")).alias("total_watch_time_seconds"),
-            mean_of_hundredths(F.col("completion_rate")).alias("avg_completion_rate"),
-        ],
-    )
-    return stats.select(
-        "content_id", "total_sessions", "unique_viewers", "total_watch_time_seconds", "avg_completion_rate"
+        {
+            "total_sessions": ("count", F.col("viewing_session_id")),
+            "total_watch_time_seconds": ("sum", F.col("duration_seconds").cast("bigint")),
+            "completion": ("sum", hundredths(F.col("completion_rate"))),
+            "completions": ("count", F.col("completion_rate")),
+        },
     )
+    average = mean(F.col("completion"), F.col("completions"), 100).alias("avg_completion_rate")
+    return stats.select("content_id", "total_sessions", "unique_viewers", "total_watch_time_seconds", average)
 
 
 def content_rating_stats(ratings: DataFrame) -> DataFrame:

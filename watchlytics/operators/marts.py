@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from watchlytics.functions.aggregates import with_distinct_count
+from watchlytics.functions.aggregates import merged_over
 from watchlytics.functions.joins import lookup_join
 from watchlytics.functions.numbers import hundredths, mean, ratio_round
 from watchlytics.functions.ordering import range_buckets, rank_and_running_total
@@ -35,24 +35,24 @@ SCORE_WEIGHTS = {"completion": 0.4, "rating": 0.3, "sessions": 0.3}
 def content_performance_agg(stg_sessions: DataFrame, stg_content: DataFrame) -> DataFrame:
     """Viewing figures of every watched title.
 
-    Sessions are aggregated per content before they meet the catalogue: the
-    join moves one row per content instead of one per session. Catalogue rows
+    Sessions are read once and aggregated per content and user, then per content, before they meet the
+    catalogue: the join moves one row per content instead of one per session. Catalogue rows
     repeated in all their columns add up, as they would in a join of the
     single sessions.
     """
-    watched = with_distinct_count(
+    watched = merged_over(
         stg_sessions,
         {"content_id": F.col("content_id")},
         "user_id",
         "viewers",
-        [
-            F.count("*").alias("sessions"),
-            F.sum(F.col("duration_seconds").cast("bigint")).alias("seconds"),
-            F.sum(hundredths(F.col("completion_rate"))).alias("completion"),
-            F.count("completion_rate").alias("completions"),
-            F.min("session_start").alias("first"),
-            F.max("session_start").alias("last"),
-        ],
+        {
+            "sessions": ("count", F.lit(1)),
+            "seconds": ("sum", F.col("duration_seconds").cast("bigint")),
+            "completion": ("sum", hundredths(F.col("completion_rate"))),
+            "completions": ("count", F.col("completion_rate")),
+            "first": ("min", F.col("session_start")),
+            "last": ("max", F.col("session_start")),
+        },
     )
     titles = stg_content.groupBy(*TITLE_COLUMNS, "imdb_rating").agg(F.count("*").alias("copies"))
     return lookup_join(titles, watched, ["content_id"]).select(

@@ -193,13 +193,20 @@ def _keys(checks: Iterable[Check], tables: dict[str, DataFrame], together: bool)
     return list(dict.fromkeys(keys))
 
 
+def _is_whole(table: DataFrame, column: str) -> bool:
+    return dict(table.dtypes).get(column) in ("tinyint", "smallint", "int", "bigint")
+
+
 def _key_lines(tables: dict[str, DataFrame], keys: list[_Key]) -> DataFrame:
     """Failures of all checks on keys, from one pass over each table.
 
     Every row is stacked to its key values; these are counted inside the map tasks, so a value with very many rows
-    moves as one row per task. The counts of a value in all its roles then meet: it fails a unique check if it
+    moves as one row per task. Whole numbers travel as such and domains by number; only other keys are text.
+    The counts of a value in all its roles then meet: it fails a unique check if it
     occurs more than once, and all its child rows fail if no parent has it.
     """
+    domains = {domain: number for number, domain in enumerate(dict.fromkeys(k.domain for k in keys))}
+    whole = {d for d in domains if all(_is_whole(tables[k.model], k.column) for k in keys if k.domain == d)}
     stacked = []
     for model in dict.fromkeys(k.model for k in keys):
         values = []
@@ -207,12 +214,21 @@ def _key_lines(tables: dict[str, DataFrame], keys: list[_Key]) -> DataFrame:
             if k.model == model:
                 parts = [F.col(c) for c in k.column.split(", ")]
                 complete = reduce(Column.__and__, (p.isNotNull() for p in parts))
-                value = parts[0].cast("string") if len(parts) == 1 else F.to_json(F.array(*(p.cast("string") for p in parts)))
-                values.append(F.struct(F.lit(k.domain).alias("domain"), F.when(complete, value).alias("value"), F.lit(number).alias("role")))
-        stacked.append(tables[model].select(F.inline(F.array(*values))).where("value IS NOT NULL"))
-    counted = reduce(DataFrame.unionByName, stacked).groupBy("domain", "value", "role").agg(F.count("*").alias("n"))
+                text = parts[0].cast("string") if len(parts) == 1 else F.to_json(F.array(*(p.cast("string") for p in parts)))
+                value = {"number": parts[0].cast("bigint")} if k.domain in whole else {"text": F.when(complete, text)}
+                values.append(
+                    F.struct(
+                        F.lit(domains[k.domain]).cast("smallint").alias("domain"),
+                        value.get("number", F.lit(None).cast("bigint")).alias("number"),
+                        value.get("text", F.lit(None).cast("string")).alias("text"),
+                        F.lit(number).cast("smallint").alias("role"),
+                    )
+                )
+        stacked.append(tables[model].select(F.inline(F.array(*values))).where("number IS NOT NULL OR text IS NOT NULL"))
+    value = ["domain", "number", "text"]
+    counted = reduce(DataFrame.unionByName, stacked).groupBy(*value, "role").agg(F.count("*").alias("n"))
     parents = [number for number, k in enumerate(keys) if not k.check]
-    met = counted.groupBy("domain", "value").agg(
+    met = counted.groupBy(*value).agg(
         F.collect_list(F.struct("role", "n")).alias("roles"), F.max(F.col("role").isin(parents)).alias("has_parent")
     )
     single = met.select("has_parent", F.inline("roles"))

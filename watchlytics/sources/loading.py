@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from watchlytics.schemas import TABLES, spark_type
 from watchlytics.sources.landing import OWN_FILES, unescaped
@@ -152,5 +152,16 @@ def decode_array_columns(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def decode_json_filters(df: DataFrame, column: str = "search_filters", fields: str = SEARCH_FILTERS) -> DataFrame:
-    """Turn the text of search filters into a struct; absent filters are NULL."""
-    return df.withColumn(column, F.from_json(column, fields))
+    """Turn the text of search filters into a struct of the wanted ``fields``, and keep all keys.
+
+    ``<column>_variant`` holds the whole value as VARIANT, whatever keys it has; ``column`` becomes the fields taken from
+    it, each NULL where it is absent or does not fit its type. Absent and malformed filters are NULL in both. Single
+    quotes are read like double ones.
+    """
+    whole = f"{column}_variant"
+    wanted = T.StructType.fromDDL(fields).fields
+    taken = [F.try_variant_get(whole, f"$['{f.name}']", f.dataType.simpleString()).alias(f.name) for f in wanted]
+    decoded = df.withColumn(whole, F.from_json(column, "variant"))
+    # The text of a lone value or list is JSON too, but no filters.
+    decoded = decoded.withColumn(whole, F.when(F.schema_of_variant(whole).startswith("OBJECT"), F.col(whole)))
+    return decoded.withColumn(column, F.when(F.col(whole).isNotNull(), F.struct(*taken)))
