@@ -1,7 +1,10 @@
 """Page text: the template, awkward markup, whole pages against a plain extractor of their known layout."""
 
 import html
+import random
 import re
+import time
+from html.parser import HTMLParser
 
 import pytest
 
@@ -193,3 +196,156 @@ def test_pages_given_twice_keep_their_vectors(spark):
 
     once = classes(pages)
     assert classes(pages.union(pages)) == once and len(once) == 3  # the elements, left, right
+
+
+LONGER = "a longer remark " * 30
+ASIDES = [
+    f"<div id='disqus_thread'><p>{LONGER}</p></div>",
+    f"<div class='comments'>{LONGER}</div>",
+    f"<div class='ad'>{LONGER}</div>",
+    f"<ol class='comment-list'><li><article class='comment'><p>{LONGER}</p></article></li></ol>",
+    f"<section class='reader-comments'><h2>Said</h2><p>{LONGER}</p></section>",
+    f"<div class='cookie-notice'>{LONGER}</div>",
+    f"<p class='advert'>{LONGER}</p>",
+    f"<p hidden>{LONGER}</p>",
+    f"<div style='color:red; display: none'>{LONGER}</div>",
+    f"<label>{LONGER}</label>",
+    f"<ul><li class=comment>{LONGER}</li></ul>",
+]
+
+
+@pytest.mark.parametrize("around", ["article", "main", "div"])
+@pytest.mark.parametrize("aside", ASIDES)
+def test_asides_longer_than_the_article(around, aside):
+    page = f"<body><nav>menu</nav><{around}><h1>Title</h1><p>Story</p>{{}}</{around}></body>"
+    assert h.main_text(page.format(aside), None) == "Title Story"
+    before = f"<body><{around}>{aside}<p>Story</p></{around}></body>"
+    assert h.main_text(before, None) == "Story"
+
+
+@pytest.mark.parametrize("around", ["article", "div"])
+@pytest.mark.parametrize("some", [1, 3])
+def test_asides_longer_than_the_article_on_a_host(spark, around, some):
+    """On all ten pages, or on every third: too few for the template to have them."""
+    rows = [
+        (i, f"http://s.org/{i}", f"<body><{around}><h1>Title {i}</h1><p>Story {i}</p>{ASIDES[1 + i % 3] if i % some == 0 else ''}</{around}></body>")
+        for i in range(10)
+    ]
+    found = h.extract(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert sorted(r.text for r in found.collect()) == [f"Title {i} Story {i}" for i in range(10)]
+
+
+KEPT = [
+    ("<article><p>x</p><div class='has-comments'>more</div></article>", "x more"),
+    ("<article><p>x <span class='comment'>y</span></p></article>", "x y"),
+    ("<article><p>x</p><code class='ad'>y</code></article>", "x y"),
+    ("<article><p class='share'>all of it</p></article>", "all of it"),
+    ("<div class='ad'><p>all of an unclosed page", "all of an unclosed page"),
+    ("<article class='comment'>said</article><div class='post'>story</div>", "story"),
+]
+
+
+@pytest.mark.parametrize("page, text", KEPT)
+def test_marks_that_do_not_decide(page, text):
+    assert h.main_text(page, None) == text
+
+
+DEEP = [
+    ("<article>" + "<div>x" * 100_000, 199_999),
+    ("<article>" + "<b>x" * 100_000, 100_000),
+    ("<b>x<h1>y</h1>" * 50_000, None),
+    ("<article>" + "<div class='a'>x</span>" * 50_000, 99_999),
+    ("<article>" + "<ul><li>x" * 50_000, 99_999),
+    ("<article>" + "".join(f"<x{i}>x" for i in range(50_000)), 99_999),
+    ("<article><" + "n" * 1_000_000 + ">x", 1),
+]
+
+
+@pytest.mark.parametrize("page, n", DEEP, ids=range(len(DEEP)))
+def test_nesting_takes_linear_time(page, n):
+    begin = time.perf_counter()
+    text = h.main_text(page, None)
+    assert time.perf_counter() - begin < 15
+    assert n is None or len(text) == n
+
+
+def test_deep_pages_of_a_host(spark):
+    rows = [(i, "http://s.org/", "<body><article>" + f"<div class=k{i}>x{i}" * 3000) for i in range(6)]
+    found = h.extract(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert sorted(r.text for r in found.collect()) == sorted(" ".join([f"x{i}"] * 3000) for i in range(6))
+
+
+class Reference(HTMLParser):
+    """Plain extractor of well-formed pages: the article without elements of given names or classes."""
+
+    OUT = {"nav", "footer", "aside", "form", "script", "style", "header", "label"}
+    CLASSES = {"comments", "comment-list", "ad", "advert", "cookie-notice", "newsletter"}
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.open, self.blocks = [], []
+
+    def handle_starttag(self, tag, attrs):
+        self.open.append((tag, tag in self.OUT or bool(set((dict(attrs).get("class") or "").split()) & self.CLASSES)))
+        if tag != "b":
+            self.blocks.append("")
+
+    def handle_endtag(self, tag):
+        while self.open.pop()[0] != tag:
+            pass
+        if tag != "b":
+            self.blocks.append("")
+
+    def handle_data(self, data):
+        if any(t == "article" for t, _ in self.open) and not any(out for _, out in self.open):
+            self.blocks[-1] += data
+
+    @classmethod
+    def text(cls, page):
+        parser = cls()
+        parser.feed(page)
+        parser.close()
+        return " ".join(" ".join(b.split()) for b in parser.blocks if b.strip())
+
+
+def test_random_sites_against_a_plain_extractor(spark):
+    random.seed(9)
+
+    def words():
+        return " ".join(random.choices(["red", "old", "R&amp;D", "so <b>bold</b> a", "tree", "&lt;p&gt;", "é"], k=random.randrange(3, 25)))
+
+    def aside():
+        name, marks = random.choice([("div", c) for c in sorted(Reference.CLASSES)] + [(n, "") for n in ("nav", "form", "aside", "footer")])
+        return f"<{name} class='{marks}'><p>{words()}</p>{words()}</{name}>"
+
+    rows = []
+    for i in range(120):
+        parts = [f"<p>{words()} {i}</p>" if random.random() < 0.6 else aside() for _ in range(random.randrange(1, 9))]
+        page = f"<html><body><nav><a>Menu</a></nav><article><h1>{words()} {i}</h1>{''.join(parts)}</article>{aside()}</body></html>"
+        rows.append((i, f"http://s{i % 4}.org/{i}", page))
+    found = h.extract(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert {r.page_id: r.text for r in found.collect()} == {i: Reference.text(page) for i, _, page in rows}
+
+
+def test_classes_are_groups_of_equal_vectors(spark):
+    """Occurrence vectors written out, page by page, and grouped by equality."""
+    random.seed(10)
+    rows = []
+    for i in range(15):
+        parts = [f"<p>{random.choice(['same', 'other', 'third'])}</p>" for _ in range(random.randrange(1, 4))]
+        rows.append((i, f"http://s.org/{i}", f"<body><div>{''.join(parts)}</div>{'<ul><li>a<li>b</ul>' * (i % 3 == 0)}<i>{i}</i></body>"))
+    vectors = {}
+    for i, _, page in rows:
+        elements, texts = h.parse(page)
+        tokens = [("/".join(p), None) for p, n in elements.items() for _ in range(n)]
+        tokens += [(t.place, h.text_token(t)) for t in texts if t.text != " "]
+        for token in tokens:
+            vectors.setdefault(token, [0] * len(rows))[i] += 1
+    frequent = {t: tuple(v) for t, v in vectors.items() if sum(map(bool, v)) >= h.SUPPORT * len(rows)}
+    want = {}
+    for token, vector in frequent.items():
+        want.setdefault(vector, set()).add(token)
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'s.org' AS host")
+    found = h.templates(h.token_vectors(pages, "host", "page_id", "html")).first()
+    got = {frozenset((t.path, t.text) for t in c) for c in found.classes}
+    assert got == {frozenset(tokens) for tokens in want.values()} and len(got) > 5

@@ -16,7 +16,9 @@
 Character references are decoded, white space inside a block becomes one space, blocks are joined by one space.
 Below the content element a frame text goes only where its place (path and classes) holds no slot, or in a marked element; lines
 that articles share between their own paragraphs stay. Null and empty pages have no text;
-null URLs form a host of their own. Unclosed and cut-off markup is read as far as it goes. Repeated rows get equal results.
+null URLs form a host of their own. Unclosed and cut-off markup is read as far as it goes; elements nested deeper than
+``MOST_DEPTH`` count as the one above them, so time and memory follow the length of a page, however long or deep.
+Repeated rows get equal results, an empty table gives no rows, columns named like the added one are replaced.
 """
 
 from __future__ import annotations
@@ -49,6 +51,8 @@ TOKEN = re.compile(
     | <\Z""",
     re.S | re.I | re.X,
 )
+#: The attribute that takes an element off the page, or its style that does.
+HIDDEN = re.compile(r"""(?<![\w:.-])(?:hidden(?=[\s=/]|\Z)|style\s*=\s*(?:"[^"]*|'[^']*|[^\s>"']*)display\s*:\s*none)""", re.I)
 MARK = re.compile(r"""(?<![\w:.-])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 
 #: Kinds of HTML elements.
@@ -66,24 +70,41 @@ CLOSES = {
     "option": frozenset(["option"]),
     "body": frozenset(["head"]),
 }
+CLOSABLE = frozenset(["p", *(name for names in CLOSES.values() for name in names)])
 #: Elements of the whole page: their marks tell nothing about a part of it.
 ROOTS = frozenset(["html", "body"])
 #: Elements that hold one paragraph or less: a mark on them does not make them a part of the page of its own.
 PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th tr blockquote pre figcaption caption".split()) | INLINE
 STOPS = frozenset(["ul", "ol", "dl", "table", "select", "article", "section", "div", "body"])
 #: Elements and marks (words of class, id or role) that are never part of an article.
-ASIDE_NAMES = frozenset("head title nav footer aside form button select dialog menu svg canvas object audio video fieldset".split())
+ASIDE_NAMES = frozenset("head title nav footer aside form button select label dialog menu svg canvas object audio video fieldset".split())
 ASIDE_MARKS = frozenset(
     """ad ads adv advert adverts advertisement advertising promo promotion sponsor sponsored banner cookie cookies consent
     notice notices notification alert popup modal overlay newsletter subscribe subscription signup login share sharing social
     related recommended sidebar side menu nav navbar navigation breadcrumb breadcrumbs pagination comment comments
     disqus reply replies footer widget toolbar copyright complementary contentinfo search""".split()
 )
-#: Of these, elements that may wrap a whole page.
+#: Of these, words that articles use for their own parts too: the template and the share of the text decide.
+WEAK_MARKS = frozenset("related recommended search alert side menu widget toolbar signup login copyright promo promotion".split())
+#: And those that hold on a single paragraph as well: adverts, reader comments, notices about cookies, hidden text.
+PARAGRAPH_MARKS = frozenset(
+    """ad ads adv advert adverts advertisement advertising sponsor sponsored cookie cookies consent comment comments disqus
+    reply replies newsletter hidden""".split()
+)
+#: Words that may stand beside a mark in one class without changing its sense: comment-list, but not has-comments.
+BESIDE = frozenset(
+    """area bar block body bottom box button buttons col column container content count desktop display facebook fb form gdpr
+    global google group head header heading icon icons in inline inner item items js left link links list main media meta mid
+    mobile module native outer panel primary reader readers right row secondary section site slot sticky stories story text
+    thread title top unit user users wrap wrapper""".split()
+)
+#: Of the aside elements, those that may wrap a whole page.
 WRAPPERS = frozenset(["form", "fieldset", "object"])
 HEADER = frozenset(["header", "masthead"])
 CONTENT_NAMES = ("article", "main")
 CONTENT_MARKS = frozenset("article main content story post entry".split())
+#: Elements nested deeper belong to the last one above; longer names are cut. Both bound the length of a path.
+MOST_DEPTH, MOST_NAME = 48, 64
 
 
 @dataclass
@@ -102,12 +123,21 @@ class Text:
 
 
 def step_of(name: str, marks: str) -> str:
-    """Name of a path step: the element, with its marks if it has any that tell its use."""
-    if not marks or "=" not in marks or name in ROOTS:
+    """Name of a path step: the element, with its marks if it has any that tell its use.
+
+    A mark that stands beside other words in its class, as in ``has-comments``, gets a question mark.
+    """
+    if not marks or name in ROOTS:
         return name
-    words = {w for _, a, b, c in MARK.findall(marks) for w in re.split(r"[^a-z]+", (a or b or c).lower())}
-    own = sorted(words & (ASIDE_MARKS | CONTENT_MARKS | HEADER))
-    return f"{name}.{'.'.join(own)}" if own else name
+    own = {"hidden"} if HIDDEN.search(marks) else set()
+    if "=" in marks:
+        for _, a, b, c in MARK.findall(marks):
+            for token in (a or b or c).lower().split():
+                words = set(re.split(r"[^a-z]+", token)) - {""}
+                own |= words & (CONTENT_MARKS | HEADER)
+                sure = words <= ASIDE_MARKS | BESIDE | CONTENT_MARKS | HEADER
+                own |= {w if sure else f"{w}?" for w in words & ASIDE_MARKS}
+    return f"{name}.{'.'.join(sorted(own))}" if own else name
 
 
 def classes_of(step: str, marks: str, above: str | None) -> str | None:
@@ -125,14 +155,19 @@ def parse(page: str) -> tuple[Counter, list[Text]]:
     """How often each element path occurs, and the texts in page order."""
     elements: Counter = Counter()
     texts: list[Text] = []
-    open_: list[tuple[str, str, str | None]] = []  # name, step and classes
+    open_: list[tuple[str, tuple[str, ...], str | None]] = []  # name, path above, classes
+    names: Counter = Counter()  # of the open elements
+    closing: list[int] = []  # places of open elements that an opening tag may close, or that stop it
     path: tuple[str, ...] = ()
     block = at = 0
 
     def pop(to: int) -> None:
         nonlocal path
+        path = open_[to][1]
+        names.subtract(name for name, *_ in open_[to:])
         del open_[to:]
-        path = path[:to]
+        while closing and closing[-1] >= to:
+            closing.pop()
 
     start = page.find("<")
     while start >= 0:
@@ -151,30 +186,35 @@ def parse(page: str) -> tuple[Counter, list[Text]]:
         _, end, name, marks = found.groups()
         if not name:
             continue
-        name = name.lower()
+        name = name.lower()[:MOST_NAME]
         inline = name in INLINE
         if not inline:
             block += 1
         if end:
-            for place in range(len(open_) - 1, -1, -1):
-                if open_[place][0] == name:
-                    pop(place)
-                    break
+            if names[name] > 0:
+                pop(next(place for place in range(len(open_) - 1, -1, -1) if open_[place][0] == name))
             continue
         if not inline and name not in VOID:
             closed, ended = CLOSES.get(name, ()), -1
-            for place in range(len(open_) - 1, -1, -1):
+            for place in reversed(closing):
                 if open_[place][0] in STOPS:
                     break
                 if open_[place][0] == "p" or open_[place][0] in closed:
                     ended = place
             if ended >= 0:
                 pop(ended)
+        deep = len(path) >= MOST_DEPTH
+        above = open_[-1][2] if open_ else None
         step = step_of(name, marks)
-        elements[(*path, step)] += 1
+        if not deep:
+            elements[(*path, step)] += 1
         if name not in VOID and not marks.endswith("/"):
-            open_.append((name, step, classes_of(step, marks, open_[-1][2] if open_ else None)))
-            path = (*path, step)
+            if name in STOPS or name in CLOSABLE:
+                closing.append(len(open_))
+            names[name] += 1
+            open_.append((name, path, above if deep else classes_of(step, marks, above)))
+            if not deep:
+                path = (*path, step)
     if at < len(page) and (text := page[at:]).strip():
         texts.append(Text(path, block, text, open_[-1][2] if open_ else None))
     return elements, texts
@@ -193,47 +233,91 @@ def blocks_of(texts: list[Text]) -> str:
     return " ".join(c for c in clean if c)
 
 
-def marks_of(step: str) -> tuple[str, frozenset[str]]:
+@lru_cache(maxsize=100_000)
+def marks_of(step: str) -> tuple[str, frozenset[str], frozenset[str]]:
+    """Element, all marks, and those that stand for themselves."""
     name, _, marks = step.partition(".")
-    return name, frozenset(marks.split("."))
+    words = marks.split(".") if marks else []
+    return name, frozenset(w.rstrip("?") for w in words), frozenset(w for w in words if not w.endswith("?"))
 
 
 @lru_cache(maxsize=100_000)
 def is_content(step: str) -> bool:
-    name, marks = marks_of(step)
-    return name in CONTENT_NAMES or bool(marks & CONTENT_MARKS) and not marks & ASIDE_MARKS and name not in INLINE
+    name, marks, sure = marks_of(step)
+    if name in CONTENT_NAMES:
+        return not sure & PARAGRAPH_MARKS
+    return bool(marks & CONTENT_MARKS) and not marks & (ASIDE_MARKS | {"hidden"}) and name not in INLINE
 
 
 def is_aside(path: tuple[str, ...]) -> bool:
     """Whether an element of the path is a menu, notice or the like, or carries such a mark."""
-    return any(name in ASIDE_NAMES or name == "header" or marks & (ASIDE_MARKS | HEADER) for name, marks in map(marks_of, path))
+    return any(name in ASIDE_NAMES or name == "header" or marks & (ASIDE_MARKS | HEADER) for name, marks, _ in map(marks_of, path))
+
+
+def is_surely_aside(step: str) -> bool:
+    """Whether an element's name or mark says that it is no part of an article, however much it holds."""
+    name, _, sure = marks_of(step)
+    if name in ASIDE_NAMES and name not in WRAPPERS:
+        return True
+    if name in INLINE:
+        return "hidden" in sure
+    return bool(sure & (PARAGRAPH_MARKS if name in PARAGRAPHS else (ASIDE_MARKS | {"hidden"}) - WEAK_MARKS))
 
 
 def aside_paths(texts: list[Text], depth: int, template: Template | None, content: bool) -> set[tuple[str, ...]]:
-    """Paths, longer than ``depth``, of the elements whose texts do not belong to the article.
+    """Paths, longer than ``depth``, at or below the elements whose texts do not belong to the article.
 
-    Marks count only on elements that the host's template has, below a content element not on paragraphs, and never on an
-    element that holds more than half of the text: that one wraps the article. The same goes for headers and forms.
+    Adverts, reader comments, menus and notices never do, however long they are; without a content element the exception
+    is one that holds all the text there is. Words that articles use too count only on elements that the
+    host's template has, below a content element not on paragraphs, and not on an
+    element that holds more than half of the text: that one wraps the article. The same goes for headers and forms of
+    pages without a content element.
     """
-    paths = {t.path[:i] for t in texts for i in range(depth + 1, len(t.path) + 1)}
-    found, doubtful = set(), set()
-    for path in paths:
-        name, marks = marks_of(path[-1])
-        if name in ASIDE_NAMES and name not in WRAPPERS:
-            found.add(path)
-        elif name in WRAPPERS or not content and (name == "header" or marks & HEADER):
+    own: Counter = Counter()
+    for t in texts:
+        own[t.path] += 0 if t.text.isspace() or (template and text_token(t) in template.texts) else len(t.text)
+    nodes: set[tuple[str, ...]] = set()
+    for path in own:
+        while len(path) > depth and path not in nodes:
+            nodes.add(path)
+            path = path[:-1]
+    found, doubtful, named = set(), set(), set()
+    for path in nodes:
+        name, marks, _ = marks_of(path[-1])
+        if is_surely_aside(path[-1]) or content and name in WRAPPERS:
+            (found if content or name in ASIDE_NAMES else named).add(path)
+        elif not content and (name in WRAPPERS or name == "header" or marks & HEADER):
             doubtful.add(path)
-        elif marks & ASIDE_MARKS and (template is None or template.is_frame(path) and not (content and name in PARAGRAPHS)):
+        elif marks & ASIDE_MARKS and name not in INLINE and (template is None or template.is_frame(path) and not (content and name in PARAGRAPHS)):
             doubtful.add(path)
-    if not doubtful:
-        return found
-    held: Counter = Counter()
-    for t in texts:
-        own = [t.path[:i] for i in range(depth + 1, len(t.path) + 1)]
-        if not t.text.isspace() and found.isdisjoint(own) and not (template and text_token(t) in template.texts):
-            for path in (None, *own):
-                held[path] += len(t.text)
-    return found | {path for path in doubtful if 2 * held[path] <= held[None]}
+    downward = sorted(nodes, key=len)
+    if named:
+        held, total = sums(own, downward, depth, below(found, downward))
+        found |= {path for path in named if held[path] < total}
+    if doubtful:
+        held, total = sums(own, downward, depth, below(found, downward))
+        found |= {path for path in doubtful if 2 * held[path] <= total}
+    return below(found, downward)
+
+
+def below(found: set[tuple[str, ...]], downward: list[tuple[str, ...]]) -> set[tuple[str, ...]]:
+    """The paths at or below those found; ``downward`` has shorter paths first."""
+    closed: set[tuple[str, ...]] = set()
+    if found:
+        for path in downward:
+            if path in found or path[:-1] in closed:
+                closed.add(path)
+    return closed
+
+
+def sums(own: Counter, downward: list[tuple[str, ...]], depth: int, without: set[tuple[str, ...]]) -> tuple[Counter, int]:
+    """Characters at and below each path, and all of them, without those of some paths."""
+    held = Counter({path: n for path, n in own.items() if path not in without})
+    total = held.total()
+    for path in reversed(downward):
+        if len(path) > depth + 1:
+            held[path[:-1]] += held[path]
+    return held, total
 
 
 def text_token(t: Text) -> int:
@@ -388,17 +472,20 @@ def content_paths(paths: Iterable[tuple[str, ...]]) -> list[tuple[str, ...]]:
 def within(texts: list[Text], content: tuple[str, ...], template: Template | None) -> list[Text]:
     """Texts of the elements with the content's name, wherever the page has it but in asides that are not above the content."""
     last, above = content[-1], frozenset(content[:-1])
-    depths: dict[tuple[str, ...], list[Text]] = {}
+    starts: dict[tuple[str, ...], tuple[str, ...] | None] = {}
+    for path in {t.path for t in texts}:
+        start = path[: path.index(last) + 1] if last in path else None
+        if start and start != content and is_aside(tuple(s for s in start[:-1] if s not in above)):
+            start = None
+        starts[path] = start
+    parts: dict[tuple[str, ...], list[Text]] = {}
     for t in texts:
-        if last in t.path:
-            start = t.path[: t.path.index(last) + 1]
-            if start == content or not is_aside(tuple(s for s in start[:-1] if s not in above)):
-                depths.setdefault(start, []).append(t)
+        if start := starts[t.path]:
+            parts.setdefault(start, []).append(t)
     kept = []
-    for start, own in depths.items():
+    for start, own in parts.items():
         asides = aside_paths(own, len(start), template, True)
-        slots = [t for t in own if asides.isdisjoint(t.path[:i] for i in range(len(start) + 1, len(t.path) + 1))]
-        kept += without_frame(slots, lambda t: is_frame(t, start, template))
+        kept += without_frame([t for t in own if t.path not in asides], lambda t: is_frame(t, start, template))
     chosen = set(map(id, kept))
     return [t for t in texts if id(t) in chosen]
 
@@ -431,7 +518,7 @@ def main_text(page: str | None, template: Template | None) -> str:
         return ""
     asides = aside_paths(texts, 0, template, False)
     known = template.texts if template else ()
-    kept = [t for t in texts if asides.isdisjoint(t.path[:i] for i in range(1, len(t.path) + 1))]
+    kept = [t for t in texts if t.path not in asides]
     return blocks_of(without_frame(kept, lambda t: text_token(t) in known))
 
 
