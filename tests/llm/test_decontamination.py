@@ -117,3 +117,46 @@ def test_words_beyond_the_symbols_of_a_shard(bits):
     windows = windows_of(items, 3)
     for text, (n, spans, which) in zip([" ".join(known), " ".join(known[:3])], found):
         assert (n, sum(b - a for a, b in spans), [items[i][0] for i in which]) == brute(text, windows)
+
+
+@pytest.mark.parametrize("at_once", [7, 40, 500_000])
+def test_items_longer_than_a_block(spark, at_once):
+    """One item of thousands of windows, short ones around it, and documents with passages from all over."""
+    rng = random.Random(4)
+    long = [rng.choice("abcdefgh") * rng.randint(1, 2) for _ in range(2000)]
+    items = [("long", long)] + [(f"s{i}", [rng.choice("abc") for _ in range(rng.randint(0, 16))]) for i in range(30)]
+    texts = []
+    for _ in range(40):
+        at = rng.randrange(1980)
+        texts.append(" ".join([*rng.choices("abcxyz", k=20), *long[at : at + rng.randint(5, 40)], *rng.choices("abc", k=30)]))
+    texts.append(" ".join(long))
+    benchmark = spark.createDataFrame([(n, " ".join(w)) for n, w in items], "item_id string, text string")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    found = {r.doc_id: r for r in d.judged(d.find_benchmark_spans(docs, benchmark, phrases_at_once=at_once)).collect()}
+    windows = windows_of([(n, [w.encode() for w in ws]) for n, ws in items])
+    for i, text in enumerate(texts):
+        assert (found[i].n_words, found[i].n_hit, found[i]["items"]) == brute(text, windows)
+        assert all(a.end < b.first for a, b in zip(found[i].spans, found[i].spans[1:]))
+
+
+def test_blocks_are_bounded_and_hold_every_window(spark):
+    rng = random.Random(5)
+    items = [(str(i), [str(rng.randrange(9)) for _ in range(rng.choice([0, 3, 13, 50, 700]))]) for i in range(60)]
+    benchmark = spark.createDataFrame([(n, " ".join(w)) for n, w in items], "item_id string, text string")
+    blocks = {}
+    for r in d.benchmark_blocks(benchmark, 13, 100).collect():
+        own = bytes(r.words).split()
+        blocks.setdefault(r.block, []).extend((r.item, tuple(own[k : k + 13])) for k in range(max(1, len(own) - 12)))
+    assert len(blocks) > 20 and max(map(len, blocks.values())) < 200
+    want = sorted((n, tuple(w.encode() for w in ws[k : k + 13])) for n, ws in items if ws for k in range(max(1, len(ws) - 12)))
+    assert sorted(x for own in blocks.values() for x in own) == want
+
+
+def test_texts_are_cut_once(spark, monkeypatch):
+    """Several blocks, one group of texts: each text becomes words once."""
+    cuts = []
+    texts = [[b"a", b"b", b"c"] * 5, [b"x"]]
+    original = d.words
+    monkeypatch.setattr(d, "words", lambda t: cuts.append(t) or original(t))
+    phrases = [d.Phrases([("1", [b"a", b"b"])]), d.Phrases([("2", [b"c", b"a"])])]
+    assert [[len(s) for _, s, _ in d.search_words(texts, p, 1000)] for p in phrases] == [[5, 0], [4, 0]] and not cuts

@@ -11,7 +11,9 @@ Words that no phrase uses cannot be part of an occurrence; they end a run of wor
 the shortest phrase hold no occurrence and stay out of the index. A long run is indexed in blocks that
 overlap by the longest phrase less one word, so every occurrence lies within a block.
 
-Benchmark phrases are broadcast in blocks of items of at most ``PHRASES_AT_ONCE`` phrases. Null text
+Spark cuts the items into words and deals them to blocks of some ``PHRASES_AT_ONCE`` phrases, long items in overlapping parts.
+The driver fetches and broadcasts block after block, so it holds one at a time; a task cuts its texts once and searches them for
+the phrases of one block after the other. Very long texts fill several shards. Null text
 has no words. An item without words has no window. Repeated documents each get their own row; repeated
 items each count. An empty benchmark leaves every document clean, empty documents give no rows.
 """
@@ -26,7 +28,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from watchlytics.llm.common import bound_batches
+from watchlytics.functions.ordering import range_buckets, rank_and_running_total
+from watchlytics.llm.common import bound_batches, discard, stored
 
 WINDOW = 13
 #: A document is contaminated from one hit word in so many words on.
@@ -39,8 +42,10 @@ SHARD_BITS = 20
 BLOCK = 96
 #: Every so many words of a block the suffix position is stored.
 SAMPLE = 8
-#: Phrases of a broadcast block of benchmark items (about 50 bytes each).
+#: Phrases of a broadcast block of benchmark items (fewer than twice as many; some 7 bytes each, a word).
 PHRASES_AT_ONCE = 500_000
+#: Bytes of texts that are searched for one block after the other, where there are several.
+TEXTS_AT_ONCE = 16 << 20
 
 
 def words(text: str | None) -> list[bytes]:
@@ -270,10 +275,14 @@ def spans_of(first: np.ndarray, lengths: np.ndarray) -> list[list[int]]:
 
 def search_documents(texts: list[str | None], phrases: Phrases, capacity: int) -> list[tuple]:
     """Number of words, merged spans and item numbers of each text."""
+    return search_words([words(t) for t in texts], phrases, capacity)
+
+
+def search_words(texts: list[list[bytes]], phrases: Phrases, capacity: int) -> list[tuple]:
+    """The same for texts that are cut into words already."""
     shard, counts, found = Shard(phrases, capacity), [], []
     number = phrases.vocabulary.get
-    for document, text in enumerate(texts):
-        own = words(text)
+    for document, own in enumerate(texts):
         counts.append(len(own))
         if phrases.shortest and len(own) >= phrases.shortest:
             ids = np.fromiter(map(number, own, repeat(0)), np.int64, len(own))
@@ -297,21 +306,32 @@ def search_documents(texts: list[str | None], phrases: Phrases, capacity: int) -
 SPANS = T.ArrayType(T.StructType([T.StructField("first", T.LongType()), T.StructField("end", T.LongType())]))
 
 
-def benchmark_blocks(benchmark: DataFrame, window: int, most: int) -> list[list[tuple[str, list[bytes]]]]:
-    """The items in blocks of at most ``most`` phrases, or of one item with more."""
-    blocks: list[list[tuple[str, list[bytes]]]] = [[]]
-    size = 0
-    for name, text in benchmark.select(F.col("item_id").cast("string"), "text").toLocalIterator():
-        own = words(text)
-        if not own:
-            continue
-        count = max(1, len(own) - window + 1)
-        if blocks[-1] and size + count > most:
-            blocks.append([])
-            size = 0
-        blocks[-1].append((name or "", own))
-        size += count
-    return blocks
+def benchmark_blocks(benchmark: DataFrame, window: int, most: int) -> DataFrame:
+    """The items in blocks of about ``most`` phrases, stored: ``block``, ``item`` and ``words``, joined by spaces.
+
+    Items are cut into words, and long ones into parts that overlap by a window less one word, by map tasks; the parts
+    are dealt to blocks by a running sum of their phrases. A block has fewer than twice ``most``.
+    """
+    bound_batches(benchmark.sparkSession)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                own = words(text)
+                for part, at in enumerate(range(0, max(1, len(own) - window + 1), most) if own else ()):
+                    piece = own[at : at + most + window - 1]
+                    rows.append((name or "", part, b" ".join(piece), max(1, len(piece) - window + 1)))
+            columns = zip(*rows) if rows else [()] * 4
+            kinds = (pa.string(), pa.int32(), pa.binary(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["item", "part", "words", "phrases"])
+
+    given = benchmark.select(F.col("item_id").cast("string").alias("item"), "text")
+    parts = given.mapInArrow(cut, "item string, part int, words binary, phrases long")
+    order = [F.col("item"), F.col("part"), F.xxhash64("words")]
+    summed = rank_and_running_total(range_buckets(parts, order), order, "phrases", running="so_far")
+    block = F.floor((F.col("so_far") - F.col("phrases")) / most).cast("int")
+    return stored(summed.select(block.alias("block"), "item", "words"), "benchmark-blocks")
 
 
 def find_benchmark_spans(
@@ -333,36 +353,63 @@ def find_benchmark_spans(
     kept = [c for c in docs.columns if c.lower() not in added]
     given = docs.select(*(F.col(f"`{c}`") for c in kept))
     text = kept.index("text")
-    out = given
-
-    def finder(content, first: bool):
-        def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            phrases = Phrases(content.value, window)
-            for batch in batches:
-                results = search_documents(batch.column(text).to_pylist(), phrases, capacity)
-                columns = [batch.column(i) for i in range(len(kept))]
-                spans = [s for _, s, _ in results]
-                items = [{phrases.names[i] for i in x} for _, _, x in results]
-                if not first:
-                    before = batch.column(len(kept) + 1).to_pylist()
-                    spans = [merge_spans([[y["first"], y["end"]] for y in b] + s) for b, s in zip(before, spans)]
-                    items = [i | set(b) for i, b in zip(items, batch.column(len(kept) + 2).to_pylist())]
+    blocks = benchmark_blocks(benchmark, window, phrases_at_once)
+    number = (blocks.agg(F.max("block")).first()[0] or 0) + 1
+    # The driver holds one block at a time, and hands it on; empty blocks lie within parts of the block before.
+    contents = []
+    for k in range(number):
+        rows = [(r.item, bytes(r.words)) for r in blocks.where(F.col("block") == k).select("item", "words").toLocalIterator()]
+        if rows or not k:
+            contents.append(spark.sparkContext.broadcast(rows))
+    discard(spark, blocks)
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only: list[Phrases] = []
+
+        def phrases_of(content) -> Phrases:
+            if only:
+                return only[0]
+            phrases = Phrases([(name, joined.split(b" ")) for name, joined in content.value], window)
+            if len(contents) == 1:
+                only.append(phrases)
+            return phrases
+
+        for group in grouped(batches, 0 if len(contents) == 1 else TEXTS_AT_ONCE):
+            texts = [words(t) for batch in group for t in batch.column(text).to_pylist()]
+            spans: list[list[list[int]]] = [[] for _ in texts]
+            items: list[set[str]] = [set() for _ in texts]
+            for content in contents:
+                phrases = phrases_of(content)
+                for at, (_, found, which) in enumerate(search_words(texts, phrases, capacity)):
+                    spans[at] = merge_spans(spans[at] + found) if spans[at] and found else spans[at] or found
+                    items[at].update(phrases.names[i] for i in which)
+            first = 0
+            for batch in group:
+                part = slice(first, first := first + batch.num_rows)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *columns,
-                        pa.array([n for n, _, _ in results], pa.int64()),
-                        pa.array([[{"first": a, "end": b} for a, b in s] for s in spans], pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))),
-                        pa.array([sorted(i) for i in items], pa.list_(pa.string())),
+                        *(batch.column(i) for i in range(len(kept))),
+                        pa.array([len(t) for t in texts[part]], pa.int64()),
+                        pa.array([[{"first": a, "end": b} for a, b in s] for s in spans[part]], pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))),
+                        pa.array([sorted(i) for i in items[part]], pa.list_(pa.string())),
                     ],
                     names=[*kept, *added],
                 )
 
-        return find
-
     schema = T.StructType([*given.schema.fields, T.StructField("n_words", T.LongType()), T.StructField("spans", SPANS), T.StructField("items", T.ArrayType(T.StringType()))])
-    for number, block in enumerate(benchmark_blocks(benchmark, window, phrases_at_once)):
-        out = out.mapInArrow(finder(spark.sparkContext.broadcast(block), not number), schema)
-    return out
+    return given.mapInArrow(find, schema)
+
+
+def grouped(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[list[pa.RecordBatch]]:
+    """Batches in groups of about ``most`` bytes."""
+    group: list[pa.RecordBatch] = []
+    for batch in batches:
+        group.append(batch)
+        if sum(b.nbytes for b in group) >= most:
+            yield group
+            group = []
+    if group:
+        yield group
 
 
 def merge_spans(spans: list[list[int]]) -> list[list[int]]:
