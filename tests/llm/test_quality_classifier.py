@@ -1,6 +1,12 @@
 """Quality classifier: held-out accuracy, the discriminant itself, awkward rows."""
 
+import re
+import time
+import zlib
+from itertools import groupby
+
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from llm_helpers import AWKWARD, clashing, documents
@@ -78,3 +84,82 @@ def test_awkward_rows(spark):
         by_id.setdefault(r.text, set()).add(r.quality_score)
     assert all(len(s) == 1 for s in by_id.values()) and by_id[None] == by_id[""]
     assert q.features(documents(spark, [])).count() == 0
+
+
+def plainly(text):
+    """All statistics, written out one by one."""
+    text = text or ""
+    words, lines = text.split(), [x for x in text.split("\n") if x.strip()]
+    letters = [c for c in text if c.isalpha()]
+    marks = [c for c in text if not (c.isalnum() and (c.isalpha() or c.isdigit())) and not c.isspace() and c not in ".,;:?'\"-()"]
+    marks = [c for c in marks if not c.isalpha() and not c.isdigit()]
+
+    def share(a, b):
+        return np.log((a + 0.5) / (b + 1.0))
+
+    runs = 0  # runs of two marks or more, none of them a sign of prose, that stand before white space or the end
+    for is_mark, run in groupby(text + "\n", lambda c: re.match(r"[^\w\s.,;:?!'\")]", c) is not None):
+        if is_mark:
+            last = len(list(run))
+        else:
+            first = next(run)
+            runs += locals().get("last", 0) >= 2 and first.isspace()
+        if not is_mark:
+            last = 0
+    raw = text.encode()
+    return [
+        np.log(1 + len(words)),
+        share(sum(c.isupper() for c in letters), len(letters)),
+        share(len(marks), len(text)),
+        share(text.count("|"), len(words)),
+        share(text.count("!"), len(words)),
+        share(sum(c.isdigit() and not c.isalpha() for c in text), len(text)),
+        share(sum(a == b for a, b in zip(words, words[1:])), len(words)),
+        share(max((words.count(w) for w in set(words)), default=0), len(words)),
+        share(len(words) - len(set(words)), len(words)),
+        np.log(1 + len(letters) / len(words)) if words else 0.0,
+        share(len(lines) - len(set(lines)), len(lines)),
+        share(runs, len(words)),
+        share(sum(x.rstrip()[-1] in ".!?:;\"'" for x in lines), len(lines)),
+        share(len(raw) - len(text), len(text)),
+        share(len(zlib.compress(raw, 1)), len(raw)),
+    ]
+
+
+def test_statistics_against_a_plain_version(spark):
+    texts = [t for _, t, *_ in AWKWARD if t is None or len(t) < 10_000]
+    texts += [r.text for r in table(spark, SF, "documents").select("text").limit(150).collect() if len(r.text or "") < 5000]
+    texts += ["a -- b", "## x ##", "a##b ##\n==", "***!", "!!", "|| |", "##.", "## \n", "A-A --- é\u2003--", "x\n\nx.\n x?\n"]
+    for text in texts:
+        assert np.allclose(q.statistics(text), plainly(text)), text
+
+
+@pytest.mark.parametrize("text", ["#" * 1_000_000 + "a", "# " * 500_000, "=" * 500_000 + "." * 500_000, "-=" * 500_000, "a" * 1_000_000])
+def test_statistics_take_linear_time(text):
+    begin = time.perf_counter()
+    q.statistics(text)
+    assert time.perf_counter() - begin < 4
+
+
+def test_shrinkage_follows_the_data():
+    rng = np.random.default_rng(2)
+    few, many = (q.shrinkage(n, np.cov(rng.normal(size=(n, 6)).T, bias=True)) for n in (12, 100_000))
+    assert 0.5 < few[0] < 0.8 and many[0] < 0.001  # 21 parameters
+    assert few[1] > many[1] or many[1] == 1.0
+    tied = np.full((6, 6), 0.9) + 0.1 * np.eye(6)
+    assert q.shrinkage(100_000, tied)[1] < 0.001 < q.shrinkage(10, tied)[1] < 0.5
+    assert q.shrinkage(1, np.zeros((3, 3)))[1] == 1.0
+
+
+def test_training_on_texts(spark):
+    """All labelled texts below the bound; above it those that a hash picks, whatever the repeats."""
+    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
+    every = q.train(q.features(docs.select("doc_id", "text")), labels)
+    assert np.allclose(q.train_texts(docs, labels).means, every.means)
+    twice = q.train_texts(docs, labels.union(labels))
+    assert np.allclose(twice.means, every.means) and np.allclose(twice.log_priors, every.log_priors)
+    some = q.train_texts(docs, labels, 300)
+    assert not np.allclose(some.means, every.means)
+    x = np.array([q.statistics(r.text) for r in docs.select("text").limit(200).collect()])
+    assert ((some.scores(x) >= 0.7) == (every.scores(x) >= 0.7)).mean() > 0.97
+    assert q.train_texts(docs, labels.limit(0)).constant == 0.5

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -24,6 +27,25 @@ def bound_batches(spark: SparkSession) -> None:
             spark.conf.set(key, str(most))
 
 
+#: Folders made inside each ``released`` block that is open.
+_made: list[list[str]] = []
+
+
+@contextmanager
+def released(spark: SparkSession) -> Iterator[list[str]]:
+    """Remove, at the end of a block, the folders that ``stored`` made inside it, but for those taken off the list given.
+
+    Only for blocks whose results are written by then: what reads a removed folder fails.
+    """
+    own: list[str] = []
+    _made.append(own)
+    try:
+        yield own
+    finally:
+        _made.remove(own)
+        discard(spark, *own)
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -31,6 +53,8 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     to the planner, which then broadcasts them only if they are small.
     """
     path = new_folder(df.sparkSession, purpose)
+    if _made:
+        _made[-1].append(path)
     df.write.option("compression", "zstd").parquet(path)
     found = df.sparkSession.read.schema(df.schema).parquet(path)
     found.stored_path = path

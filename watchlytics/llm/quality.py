@@ -2,12 +2,13 @@
 
 ``features`` turns each whole text into a fixed number of statistics on log scales, inside map tasks. ``fit``
 sums counts, values and products of them per class in one aggregation (some hundred numbers reach the
-driver, whatever the size of the data), shrinks each class covariance towards the pooled one and its diagonal, and factors
-it. ``score`` takes the difference of the Gaussian log densities, each from its cached Cholesky factor: half the
+driver, whatever the size of the data), shrinks each class covariance towards the pooled one and its diagonal, as far as the
+numbers of rows and the covariances themselves say, and factors it. ``score`` takes the difference of the Gaussian log densities, each from its cached Cholesky factor: half the
 squared Mahalanobis length plus the log of the diagonal.
 
 Labels other than 0 and 1 and labels without a document do not count; a document labelled several times counts as
-often. Null and empty texts have the statistics of an empty text and get a score like any other. If one class has
+often. Very long texts are read whole, in time and memory in proportion to their length; an empty table gives no rows;
+columns named like the added ones are replaced. Null and empty texts have the statistics of an empty text and get a score like any other. If one class has
 no rows, every score is the share of label 1, or 0.5 without labels. Repeated rows get equal scores.
 """
 
@@ -15,6 +16,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -28,9 +30,8 @@ from watchlytics.llm.common import bound_batches, fold_of
 
 #: From this score on a document is predicted to be of quality.
 THRESHOLD = 0.7
-#: Weight of the pooled covariance, and then of the diagonal, in each class covariance.
-POOLED = 0.002
-DIAGONAL = 0.002
+#: At most about so many labelled documents are fitted by ``train_texts``.
+MOST_LABELLED = 40_000
 #: Smallest standard deviation a statistic is taken to have.
 LEAST_DEVIATION = 0.05
 
@@ -47,10 +48,16 @@ FEATURES = (
     "word_length",
     "repeated_lines",
     "marked_words",
+    "ended_lines",
+    "bytes_a_character",
+    "compressed",
 )
 #: Marks that prose has, besides letters, digits and white space.
 PROSE = frozenset(".,;:?'\"-()")
-MARKED = re.compile(r"[^\w\s.,;:?!'\")]{2,}(?=\s|$)")
+#: A run of marks up to the next white space. It begins where no mark precedes and never gives one back: linear time.
+MARKED = re.compile(r"(?<![^\w\s.,;:?!'\")])[^\w\s.,;:?!'\")]{2,}+(?=\s|\Z)")
+#: Signs a line of prose ends with.
+ENDS = tuple(".!?:;\"'")
 
 
 def statistics(text: str | None) -> list[float]:
@@ -72,6 +79,7 @@ def statistics(text: str | None) -> list[float]:
     counts = Counter(words)
     repeats = sum(map(str.__eq__, words, words[1:]))
     lines = [line for line in text.split("\n") if line.strip()]
+    raw = text.encode("utf-8", "replace")
 
     def share(part: float, whole: float) -> float:
         return math.log((part + 0.5) / (whole + 1.0))
@@ -89,6 +97,9 @@ def statistics(text: str | None) -> list[float]:
         math.log1p(letters / n) if n else 0.0,
         share(len(lines) - len(set(lines)), len(lines)),
         share(len(MARKED.findall(text)), n),
+        share(sum(line.rstrip().endswith(ENDS) for line in lines), len(lines)),
+        share(len(raw) - len(text), len(text)),
+        share(len(zlib.compress(raw, 1)), len(raw)),
     ]
 
 
@@ -127,8 +138,25 @@ class Discriminant:
         return 1.0 / (1.0 + np.exp(np.clip(logs[0] - logs[1], -700, 700)))
 
 
-def discriminant(counts: np.ndarray, sums: np.ndarray, products: np.ndarray, pooled: float = POOLED, diagonal: float = DIAGONAL) -> Discriminant:
-    """From counts (2), sums (2, d) and sums of products (2, d, d) of the classes."""
+def shrinkage(n: float, own: np.ndarray) -> tuple[float, float]:
+    """Weights of the pooled covariance and of the diagonal, from a class's rows and covariance alone.
+
+    The pooled covariance weighs as much as the rows it takes to estimate one, a row a parameter. The diagonal weighs what
+    oracle-approximating shrinkage gives for the correlations, whose target it is.
+    """
+    d = len(own)
+    parameters = d * (d + 1) / 2
+    deviations = np.sqrt(np.maximum(np.diag(own), LEAST_DEVIATION**2))
+    squares = float(((own / np.outer(deviations, deviations)) ** 2).sum())
+    gap = (n + 1 - 2 / d) * (squares - d)
+    diagonal = min(1.0, ((1 - 2 / d) * squares + d * d) / gap) if gap > 0 else 1.0
+    return parameters / (n + parameters), diagonal
+
+
+def discriminant(
+    counts: np.ndarray, sums: np.ndarray, products: np.ndarray, pooled: float | None = None, diagonal: float | None = None
+) -> Discriminant:
+    """From counts (2), sums (2, d) and sums of products (2, d, d) of the classes; weights not given follow ``shrinkage``."""
     d = sums.shape[1]
     total = counts.sum()
     if not counts.all():
@@ -139,8 +167,10 @@ def discriminant(counts: np.ndarray, sums: np.ndarray, products: np.ndarray, poo
     common = scatter.sum(axis=0) / total
     whiten, half_logs = [], []
     for k in (0, 1):
-        own = (1 - pooled) * scatter[k] / counts[k] + pooled * common
-        own = (1 - diagonal) * own + diagonal * np.diag(np.diag(own))
+        chosen = shrinkage(counts[k], scatter[k] / counts[k])
+        toward_all, toward_diagonal = (c if w is None else w for w, c in zip((pooled, diagonal), chosen))
+        own = (1 - toward_all) * scatter[k] / counts[k] + toward_all * common
+        own = (1 - toward_diagonal) * own + toward_diagonal * np.diag(np.diag(own))
         own += np.eye(d) * LEAST_DEVIATION**2
         factor = np.linalg.cholesky(own)
         whiten.append(np.linalg.inv(factor))
@@ -178,14 +208,32 @@ def score(featured: DataFrame, model: Discriminant, name: str = "features", out:
     return given.mapInArrow(make, featured.select(*(F.col(f"`{c}`") for c in kept)).schema.add(out, "double"))
 
 
+def learnt_labels(labels: DataFrame) -> DataFrame:
+    """``id`` and ``label`` of the rows outside fold 2."""
+    wanted = labels.where("quality in (0, 1)").where(fold_of(F.col("doc_id")) != 2)
+    return wanted.select(F.col("doc_id").alias("id"), F.col("quality").alias("label"))
+
+
 def train(featured: DataFrame, labels: DataFrame, name: str = "features") -> Discriminant:
     """Fit ``quality`` on the labelled rows of ``featured`` (doc_id and statistics) outside fold 2."""
-    wanted = labels.where("quality in (0, 1)").where(fold_of(F.col("doc_id")) != 2)
-    wanted = wanted.select(F.col("doc_id").alias("id"), F.col("quality").alias("label"))
-    rows = featured.select("doc_id", F.col(f"`{name}`").alias("features")).join(wanted, F.col("doc_id") == F.col("id"))
+    rows = featured.select("doc_id", F.col(f"`{name}`").alias("features")).join(learnt_labels(labels), F.col("doc_id") == F.col("id"))
     return fit(rows.select("features", "label"))
 
 
+def train_texts(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> Discriminant:
+    """The same from texts, of which only those that are fitted get statistics.
+
+    Up to about ``most`` labelled documents are fitted: all of them, or those whose id a hash picks. The labels picked, one row per
+    document and label with its number, are then small enough to go to every task.
+    """
+    wanted = learnt_labels(labels).groupBy("id", "label").agg(F.count("*").alias("times"))
+    n = wanted.count()
+    if n > most:
+        wanted = wanted.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(1_000_000 * most / n))
+    picked = docs.select("doc_id", "text").join(F.broadcast(wanted), F.col("doc_id") == F.col("id")).select("text", "label", "times")
+    return fit(features(picked).select("features", "label", F.explode(F.sequence(F.lit(1), "times"))))
+
+
 def score_texts(docs: DataFrame, model: Discriminant, out: str) -> DataFrame:
     """``docs`` with the score of each text as column ``out``; rows stay where they are."""
     bound_batches(docs.sparkSession)
