@@ -2,6 +2,10 @@
 
 Each stage works on all documents its predecessor kept. Its result is written as Parquet to the shared
 folder and read again by the next stage, so lost executors cost no more than the stage at hand.
+
+Null texts count as empty in every stage, very long ones are read whole, repeated rows and ties are settled as the operators
+say, an empty table gives an empty result, and other columns, whatever their names, stay with their documents until the
+last stage, which returns tokens.
 """
 
 from __future__ import annotations
@@ -9,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from watchlytics.llm import bpe, decontamination, exact_dedup, quality, simhash
-from watchlytics.llm.common import free_name, stored, table
+from watchlytics.llm.common import discard, free_name, released, stored, table
 
 
 def _columns(docs: DataFrame) -> list:
@@ -19,7 +23,7 @@ def _columns(docs: DataFrame) -> list:
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the classifier takes for quality, learnt from the labelled ones among ``docs``."""
     score = free_name(docs, "quality_score")
-    model = quality.train(quality.features(docs.select("doc_id", "text")), table(spark, sf_dir, "labels"))
+    model = quality.train_texts(docs, table(spark, sf_dir, "labels"))
     return quality.score_texts(docs, model, score).where(F.col(score) >= quality.THRESHOLD).select(*_columns(docs))
 
 
@@ -59,7 +63,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, applied to the documents of ``sf_dir``."""
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
+        with released(spark) as made:  # what a stage wrote on its way goes when its result is written
+            docs = stored(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
+            made.remove(docs.stored_path)
+        if before:
+            discard(spark, before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)

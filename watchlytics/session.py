@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,15 +37,25 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local session may do without the setting; it gets a folder of its own.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
+    local = spark.sparkContext.master.startswith("local")
     if folder:
+        if not local and _is_temporary(folder):
+            raise ValueError(f"spark.checkpoint.dir names {folder}, which every machine has for itself")
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not local:
         raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
     folder = tempfile.mkdtemp(prefix="watchlytics-")
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
+def _is_temporary(folder: str) -> bool:
+    """Whether a path lies in this machine's folder for temporary files. Other ``file:`` paths may be mounted everywhere."""
+    place = urlparse(folder)
+    own = os.path.realpath(tempfile.gettempdir())
+    return place.scheme == "file" and os.path.commonpath([own, os.path.realpath(place.path)]) == own
+
+
 def new_folder(spark: SparkSession, purpose: str) -> str:
     """Path of a folder not used before, inside the shared folder."""
     return f"{shared_folder(spark)}/watchlytics/{purpose}-{uuid.uuid4().hex}"
