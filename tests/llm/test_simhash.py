@@ -140,3 +140,24 @@ def test_awkward_rows_have_fingerprints(spark):
     found = simhash.fingerprints(clashing(documents(spark), "FP"))
     assert found.columns[-1] == "fp" and found.count() == len(AWKWARD)
     assert {r.doc_id: r.fp for r in found.collect()}[1] == 0
+
+
+def test_a_bucket_of_far_more_than_64_chunks(spark):
+    """All codes share two blocks; each pair of chunks stays small and no link is lost."""
+    rng = np.random.default_rng(8)
+    codes = np.unique(rng.integers(0, 1 << 13, 700, dtype=np.uint64))
+    nodes = spark.createDataFrame([(int(c),) for c in codes.tolist()], "fp long")
+    links = {(r.u, r.v) for r in simhash.near_links(nodes, chunk=6).collect()}
+    assert len(codes) / 6 > 100
+    own = {int(c): int(c) for c in codes}
+
+    def root(c):
+        while own[c] != c:
+            c = own[c]
+        return c
+
+    for u, v in links:
+        own[root(u)] = root(v)
+    assert sets_of((c, root(c)) for c in own) == sets_of(slow_components([int(c) for c in codes]).items())
+    held = simhash.dealt_out(nodes, 6).groupBy("bucket", "pair").count().agg(F.max("count")).first()[0]
+    assert held <= 40  # two chunks of six on average

@@ -9,8 +9,9 @@
    not shared cannot exceed the limit, the groups are linked whole.
 4. Only a spanning forest of each bucket leaves the task; the components of all forests are the answer.
 
-Buckets above ``CHUNK`` rows are cut into chunks and every pair of chunks is a bucket of its own, so
-no group is ever whole in one task; no link is lost. Text of null counts as empty; texts without words have fingerprint
+Buckets above ``CHUNK`` rows are cut into as many chunks as it takes and every pair of chunks is a bucket of its own, so
+what a task holds at a time is bounded and no link is lost; a bucket that large is sent once per chunk. A very long text is
+hashed in parts, its words are in memory once. Columns named like the added ones are replaced. Text of null counts as empty; texts without words have fingerprint
 zero and link like any other. Repeated rows share a fingerprint. Empty tables give no rows.
 """
 
@@ -33,9 +34,8 @@ SEED = 42
 BITS = 4
 #: Widths of the bit blocks, from the highest bits down; BITS differences leave two of them equal.
 BLOCKS = (11, 11, 11, 11, 10, 10)
-#: Rows of a chunk, and chunks of a bucket at most.
-CHUNK = 4096
-MOST_CHUNKS = 64
+#: Rows of a chunk, on average. A task holds two at a time, whatever the size of their bucket.
+CHUNK = 32_768
 #: Children of an index node.
 FAN = 8
 #: Rows indexed together and node pairs compared together in a task.
@@ -207,23 +207,27 @@ def _block_keys(fp: Column) -> Column:
     return F.array(*keys)
 
 
-def near_links(nodes: DataFrame, limit: int = BITS, chunk: int = CHUNK) -> DataFrame:
-    """Links (u, v) between distinct fingerprints ``fp`` whose components are those of all links of ``limit`` bits or fewer."""
-    if limit > len(BLOCKS) - 2:
-        raise ValueError("the blocks leave no two equal at so many differing bits")
+def dealt_out(nodes: DataFrame, chunk: int) -> DataFrame:
+    """Rows of all pairs of chunks: fp, bucket, pair, and the side a row is on (0: both chunks are the same)."""
     dealt = nodes.select("fp", F.explode(_block_keys(F.col("fp"))).alias("bucket"))
     sizes = dealt.groupBy("bucket").count().where(F.col("count") > chunk)
-    sizes = stored(sizes.select("bucket", F.least(F.ceil(F.col("count") / chunk), F.lit(MOST_CHUNKS)).cast("int").alias("chunks")), "buckets")
-    dealt = dealt.join(sizes, "bucket", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
-    own = F.pmod(F.xxhash64("fp", "bucket"), F.col("chunks")).cast("int")
-    dealt = dealt.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    dealt = dealt.select(
+    sizes = stored(sizes.select("bucket", F.ceil(F.col("count") / chunk).alias("chunks")), "buckets")
+    dealt = dealt.join(sizes, "bucket", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1).cast("long")))
+    own = F.pmod(F.xxhash64("fp", "bucket"), F.col("chunks"))
+    dealt = dealt.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
+    return dealt.select(
         "fp",
         "bucket",
-        (F.least("own", "other") * MOST_CHUNKS + F.greatest("own", "other")).alias("pair"),
+        (F.least("own", "other") * F.col("chunks") + F.greatest("own", "other")).alias("pair"),
         F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2).cast("byte").alias("side"),
     )
-    dealt = dealt.repartition("bucket", "pair").sortWithinPartitions("bucket", "pair")
+
+
+def near_links(nodes: DataFrame, limit: int = BITS, chunk: int = CHUNK) -> DataFrame:
+    """Links (u, v) between distinct fingerprints ``fp`` whose components are those of all links of ``limit`` bits or fewer."""
+    if limit > len(BLOCKS) - 2:
+        raise ValueError("the blocks leave no two equal at so many differing bits")
+    dealt = dealt_out(nodes, chunk).repartition("bucket", "pair").sortWithinPartitions("bucket", "pair")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
