@@ -92,3 +92,63 @@ def test_nothing_learnt(spark):
     nothing = g.learn(documents(spark, [(1, "x", None, None, 0)]))
     assert nothing.languages == []
     assert {r.lang_pred for r in g.label_spans(documents(spark), nothing).collect()} == {"und"}
+
+
+def many(n):
+    rng = np.random.default_rng(7)
+    logs = np.log(rng.random((1 << g.BUCKET_BITS, n)) + 1e-3).astype(np.float32)
+    return g.Model([f"l{i:03d}" for i in range(n)], logs, np.ones((len(g.SCRIPTS) + 1, n), bool))
+
+
+def test_slices_change_nothing(monkeypatch):
+    model = many(5)
+    texts = ["one two_three 4four fünf щщщ, a" * 40, "x" * 3000, "", " .", "a b " * 500 + "é" * 700 + "z"]
+    want = g.label_texts(texts, model, 3.0)
+    scores = [g.score_words(t, model)[2] for t in texts]
+    monkeypatch.setattr(g, "SLICE", 7)
+    monkeypatch.setattr(g, "LETTERS_AT_ONCE", 3)
+    for a, t in zip(scores, texts):
+        assert np.allclose(a, g.score_words(t, model)[2], rtol=1e-4)
+    found = g.label_texts(texts, model, 3.0)
+    assert [(x, spans) for x, _, spans in found] == [(x, spans) for x, _, spans in want]
+
+
+def test_scores_are_sums_over_the_letters():
+    model = many(3)
+    text = "Ab cde, щэ"
+    bucket, _, starts, ends, firsts = g.words_of(text)
+    s, e, scores = g.score_words(text, model)
+    assert [text[a:b] for a, b in zip(s, e)] == ["Ab", "cde", "щэ"]
+    for k, (first, n) in enumerate(zip(firsts, e - s)):
+        assert np.allclose(scores[k], sum(model.logs[x] for x in bucket[first : first + n]))
+
+
+def test_long_text_under_many_languages():
+    """A million characters under 100 languages: what is held follows the words, not letters times languages."""
+    import tracemalloc
+
+    text = "some words of a very long text " * 31_000
+    model = many(100)
+    tracemalloc.start()
+    [(lang, _, _)] = g.label_texts([text], model)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    words = len(text.split())
+    assert lang.startswith("l") and peak < 2.5 * words * 100 * 4 + 60e6 < 4 * 100 * len(text), peak
+
+
+def test_learnt_counts_against_plain_ones(spark):
+    """Letters and trigrams counted one by one, whatever the slices."""
+    rows = [(1, "Abc abc é1x", "a", None, 0), (2, "abc" * 50, "a", None, 0), (3, "щ abc", "b", None, 0)]
+    model = g.learn(documents(spark, rows))
+    size = 1 << g.BUCKET_BITS
+    for k, lang in enumerate(("a", "b")):
+        counts, scripts = np.zeros(size), np.zeros(len(g.SCRIPTS) + 1)
+        for _, text, own, *_ in rows:
+            if own == lang:
+                bucket, script, *_ = g.words_of(text)
+                for x, y in zip(bucket.tolist(), script.tolist()):
+                    counts[x] += 1
+                    scripts[y] += 1
+        assert np.allclose(model.logs[:, k], np.log((counts + 0.5) / (counts.sum() + 0.5 * size)), rtol=1e-5)
+        assert (model.scripts[:, k] == (scripts >= max(1, g.SCRIPT_SHARE * scripts.sum()))).all()

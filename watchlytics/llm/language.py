@@ -8,11 +8,13 @@ together. A document's language is the one with the most letters, the first by n
 of the letters.
 
 Null texts, texts without letters and all texts of a model without languages are ``und`` with score 0 and no spans.
-Repeated rows get equal results; rows never move, and only counts are shuffled.
+Very long texts are read whole, in slices: what stays of them is a score per word and language. An empty table
+gives no rows; columns named like the added ones are replaced. Repeated rows get equal results; rows never move, and only counts are shuffled.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,6 +28,10 @@ UNKNOWN = "und"
 BUCKET_BITS = 16
 #: Cost of a change of language, in units of log probability.
 SWITCH = 10.0
+#: Characters of a text cut into words, and letters scored under all languages, at a time.
+SLICE, LETTERS_AT_ONCE = 1 << 19, 1 << 14
+#: Certainly no letter: a text may be cut there.
+NO_LETTER = re.compile(r"[\W\d_]")
 #: Share of a language's letters from which on a script counts as one of its own.
 SCRIPT_SHARE = 0.001
 #: First code points of Unicode ranges and their scripts.
@@ -116,6 +122,16 @@ def words_of(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray,
     return bucket[letters], script[letters], starts, ends, firsts
 
 
+def slices_of(text: str) -> Iterator[tuple[int, str]]:
+    """Parts of a text with their first characters: of ``SLICE`` characters and the rest of a word. No word is cut."""
+    at = 0
+    while at < len(text):
+        found = NO_LETTER.search(text, at + SLICE)
+        end = found.start() if found else len(text)
+        yield at, text[at:end]
+        at = end
+
+
 @dataclass
 class Model:
     """Languages by name; log probabilities (bucket, language); scripts (script, language) that are their own."""
@@ -136,12 +152,13 @@ def learn(docs: DataFrame, lang: str = "lang", text: str = "text") -> Model:
         totals: dict[str, np.ndarray] = {}
         for batch in batches:
             for name, words in zip(batch.column(0).to_pylist(), batch.column(1)):
-                bucket, script, *_ = words_of(words.as_py())
                 own = totals.setdefault(name, np.zeros(size + len(SCRIPTS) + 1, np.int64))
-                own[:size] += np.bincount(bucket, minlength=size) if len(bucket) > size // 4 else 0
-                if len(bucket) <= size // 4:
-                    np.add.at(own, bucket, 1)
-                own[size:] += np.bincount(script, minlength=len(SCRIPTS) + 1)
+                for _, part in slices_of(words.as_py()):
+                    bucket, script, *_ = words_of(part)
+                    own[:size] += np.bincount(bucket, minlength=size) if len(bucket) > size // 4 else 0
+                    if len(bucket) <= size // 4:
+                        np.add.at(own, bucket, 1)
+                    own[size:] += np.bincount(script, minlength=len(SCRIPTS) + 1)
         for name, own in totals.items():
             some = np.flatnonzero(own)
             yield pa.RecordBatch.from_arrays([pa.array([name] * len(some), pa.string()), pa.array(some.astype(np.int32)), pa.array(own[some])], names=["lang", "place", "n"])
@@ -193,26 +210,36 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, switch: float = SWITCH) ->
     return path
 
 
+def score_words(text: str, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and scores (word, language) of the words of a text, from slices of its letters."""
+    found = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty((0, len(model.languages)), np.float32))]
+    for first, part in slices_of(text):
+        bucket, script, starts, ends, firsts = words_of(part)
+        scores = np.zeros((len(starts), len(model.languages)), np.float32)
+        for a in range(0, len(bucket), LETTERS_AT_ONCE):
+            b = min(len(bucket), a + LETTERS_AT_ONCE)
+            low, high = np.searchsorted(firsts, [a, b - 1], side="right")
+            within = np.maximum(firsts[low - 1 : high] - a, 0)
+            scores[low - 1 : high] += np.add.reduceat(model.logs[bucket[a:b]], within, axis=0)
+        fits = model.scripts[script[firsts]]
+        scores[~fits & fits.any(axis=1)[:, None]] = -1e9
+        found.append((starts + first, ends + first, scores))
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
 def label_texts(texts: list[str | None], model: Model, switch: float = SWITCH) -> list[tuple[str, float, list[tuple[int, int, str]]]]:
     """Language, score and spans (characters from, to, language) of each text."""
     none = (UNKNOWN, 0.0, [])
     if not model.languages:
         return [none] * len(texts)
-    pieces = [words_of(t or "") for t in texts]
-    lengths = np.array([len(p[2]) for p in pieces], np.int64)
-    scores = np.empty((int(lengths.sum()), len(model.languages)), np.float32)
-    at = 0
-    for bucket, script, starts, _, firsts in pieces:
-        if len(starts):
-            part = np.add.reduceat(model.logs[bucket], firsts, axis=0)
-            fits = model.scripts[script[firsts]]
-            part[~fits & fits.any(axis=1)[:, None]] = -1e9
-            scores[at : at + len(starts)] = part
-            at += len(starts)
+    pieces = [score_words(t or "", model) for t in texts]
+    lengths = np.array([len(p[0]) for p in pieces], np.int64)
+    scores = np.concatenate([p[2] for p in pieces])
+    pieces = [p[:2] for p in pieces]
     scores -= scores.max(axis=1, keepdims=True)
-    path = viterbi(np.maximum(scores, np.float32(-1e6)), lengths, switch)
+    path = viterbi(np.maximum(scores, np.float32(-1e6), out=scores), lengths, switch)
     out, at = [], 0
-    for (_, _, starts, ends, _), n in zip(pieces, lengths.tolist()):
+    for (starts, ends), n in zip(pieces, lengths.tolist()):
         if not n:
             out.append(none)
             continue
