@@ -1,0 +1,182 @@
+"""Days that a daily run writes anew, and those it leaves alone."""
+
+import datetime as dt
+import os
+
+import pytest
+from conftest import rows
+from frames import frame, session, title, user
+
+from watchlytics import schemas
+from watchlytics.plans import daily
+from watchlytics.plans.daily import run_daily
+from watchlytics.plans.models import PARTITIONS, Parameters
+from watchlytics.sources import landing, staging_store
+from watchlytics.sources.loading import Parsed
+
+FACT, MART = "core/fact_viewing_sessions", "marts/mart_user_engagement"
+
+
+def tables(spark, users, sessions):
+    found = {name: frame(spark, name) for name in schemas.TABLES}
+    found["users"] = frame(spark, "users", *users)
+    found["content"] = frame(spark, "content", title(1), title(2))
+    found["viewing_sessions"] = frame(spark, "viewing_sessions", *sessions)
+    return {name: df.drop("_loaded_at") for name, df in found.items()}
+
+
+def files(store, model):
+    """Paths and times of a model's files, by day."""
+    found = {}
+    for folder, _, names in os.walk(f"{store}/{model}"):
+        if "=" in os.path.basename(folder):
+            parts = [f"{folder}/{n}" for n in names if n.endswith(".parquet")]
+            found[os.path.basename(folder).split("=")[1]] = sorted((p, os.stat(p).st_mtime_ns) for p in parts)
+    return found
+
+
+def stored(spark, store, model):
+    df = spark.read.parquet(f"{store}/{model}")
+    return rows(df, *(c for c in df.columns if c != "updated_at"))
+
+
+def run(spark, tmp_path, store, as_of, given):
+    root = str(tmp_path / "landing")
+    landing.land_all_tables(spark, given.__getitem__, root, as_of)
+    return {(r.kind, r.name, r.check): r.n for r in run_daily(spark, root, str(store), Parameters(as_of=as_of)).collect()}
+
+
+FIRST = [session(i, 1 + i % 3, start=f"2024-01-{10 + i} 10:00:00") for i in range(6)]
+USERS = [user(i, age_group="18-24", subscription_plan="basic") for i in (1, 2, 3)]
+
+
+def rebuilt(spark, tmp_path, days):
+    """The same days run into a new store whose models are always written whole."""
+    store = tmp_path / "whole"
+    for as_of, given in days:
+        for name in ("changes",):
+            landing.remove(spark, f"{store}/{name}")
+        report = run(spark, tmp_path, store, as_of, given)
+    return store, report
+
+
+def test_late_sessions_rewrite_their_days_only(spark, tmp_path):
+    late = [session(10, 2, start="2024-01-12 23:00:00"), session(11, 2, start="2024-01-20 01:00:00")]
+    days = [("2024-02-01", tables(spark, USERS, FIRST)), ("2024-02-02", tables(spark, USERS, late))]
+    store = tmp_path / "store"
+    run(spark, tmp_path, store, *days[0])
+    before = {m: files(store, m) for m in (FACT, MART)}
+    assert all(len(found) == 6 for found in before.values())
+    report = run(spark, tmp_path, store, *days[1])
+    for model in (FACT, MART):
+        after = files(store, model)
+        assert set(after) == {*before[model], "2024-01-20"}
+        assert {d for d in before[model] if after[d] != before[model][d]} == {"2024-01-12"}
+    whole, same = rebuilt(spark, tmp_path, days)
+    assert report == same
+    for model in (FACT, MART):
+        assert stored(spark, store, model) == stored(spark, whole, model)
+    # the table's name belonged to the other store in between
+    run(spark, tmp_path, store, *days[1])
+    assert {r[0] for r in rows(spark.table("core_fact_viewing_sessions"), "viewing_session_key")} == {*range(6), 10, 11}
+    assert files(store, FACT)["2024-01-10"] == before[FACT]["2024-01-10"]
+
+
+def test_a_changed_profile_rewrites_the_days_of_its_user(spark, tmp_path):
+    other = [USERS[0] | {"subscription_plan": "family"}, *USERS[1:]]
+    days = [("2024-02-01", tables(spark, USERS, FIRST)), ("2024-02-02", tables(spark, other, []))]
+    store = tmp_path / "store"
+    run(spark, tmp_path, store, *days[0])
+    before = {m: files(store, m) for m in (FACT, MART)}
+    run(spark, tmp_path, store, *days[1])
+    assert files(store, FACT) == before[FACT]
+    after = files(store, MART)
+    assert {d for d in after if after[d] != before[MART][d]} == {"2024-01-10", "2024-01-13"}
+    whole, _ = rebuilt(spark, tmp_path, days)
+    assert stored(spark, store, MART) == stored(spark, whole, MART)
+
+
+def test_replaced_sessions_leave_no_folder_behind(spark, tmp_path):
+    """The day is run again without some sessions: their days go or shrink."""
+    days = [("2024-02-01", tables(spark, USERS, FIRST)), ("2024-02-01", tables(spark, USERS, FIRST[2:]))]
+    store = tmp_path / "store"
+    for day in days:
+        run(spark, tmp_path, store, *day)
+    whole, _ = rebuilt(spark, tmp_path, days[1:])
+    for model in (FACT, MART):
+        assert set(files(store, model)) == {f"2024-01-{d}" for d in range(12, 16)}
+        assert stored(spark, store, model) == stored(spark, whole, model)
+
+
+def test_a_failed_run_leaves_nothing_stale(spark, tmp_path, monkeypatch):
+    """It fails after the load; the run that follows rewrites the days of both loads."""
+    late = [session(0, 1, start="2024-01-11 05:00:00")]
+    store = tmp_path / "store"
+    run(spark, tmp_path, store, "2024-02-01", tables(spark, USERS, FIRST))
+    with monkeypatch.context() as patched:
+        patched.setattr(daily, "staging_models", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            run(spark, tmp_path, store, "2024-02-01", tables(spark, USERS, late))
+    run(spark, tmp_path, store, "2024-02-01", tables(spark, USERS, late))
+    for model in (FACT, MART):
+        assert set(files(store, model)) == {"2024-01-11"}
+
+
+def test_another_start_date_rewrites_all(spark, tmp_path):
+    store, root = tmp_path / "store", str(tmp_path / "landing")
+    run(spark, tmp_path, store, "2024-02-01", tables(spark, USERS, FIRST))
+    run_daily(spark, root, str(store), Parameters(as_of="2024-02-01", start_date="2024-01-13")).count()
+    assert set(files(store, FACT)) == {"2024-01-13", "2024-01-14", "2024-01-15"}
+
+
+def test_folders_of_unknown_days(spark, tmp_path):
+    path = str(tmp_path / "model")
+    df = spark.createDataFrame([(1, None), (2, dt.date(2024, 1, 1)), (3, dt.date(2024, 1, 2))], "id int, day date")
+    staging_store.materialize(df, "core", "unknown_days", path, "day", [dt.date(2024, 1, 1)])  # nothing is stored yet
+    assert spark.table("core_unknown_days").count() == 3
+    staging_store.materialize(df.where("id = 2"), "core", "unknown_days", path, "day", [None])
+    assert rows(spark.table("core_unknown_days"), "id") == [(2,), (3,)]
+    staging_store.materialize(df.where("id = 1"), "core", "unknown_days", path, "day", [None, dt.date(2024, 1, 2)])
+    assert rows(spark.table("core_unknown_days"), "id") == [(1,), (2,)]
+    before = os.listdir(path)
+    staging_store.materialize(df, "core", "unknown_days", path, "day", [])
+    assert os.listdir(path) == before
+    spark.sql("DROP TABLE core_unknown_days")
+    staging_store.materialize(df, "core", "unknown_days", path, "day", [dt.date(2024, 1, 2)])
+    assert rows(spark.table("core_unknown_days"), "id", "day") == [(1, None), (2, dt.date(2024, 1, 1)), (3, dt.date(2024, 1, 2))]
+
+
+def test_landed_files_are_read_once(spark, tmp_path, monkeypatch):
+    """Once parsed, the files may go: typed rows, rejected lines and both counts come from that one pass."""
+    folder = tmp_path / "landing" / "raw" / "postgres" / "watchlist" / "2024-02-01"
+    folder.mkdir(parents=True)
+    lines = "".join(f"{'x' if i % 7 == 0 else i},2,3,,True,\n" for i in range(2000))
+    for name in ("+lines-1.csv", "export.csv"):
+        (folder / name).write_text("id,user_id,content_id,added_date,watched,watched_date\n" + lines)
+    scans = []
+
+    def parse_and_remove(raw, *more):
+        scans.append(raw._jdf.queryExecution().optimizedPlan().toString().count("Relation ["))
+        found = Parsed(raw, *more)
+        landing.remove(spark, str(folder))
+        return found
+
+    monkeypatch.setattr(daily, "Parsed", parse_and_remove)
+    store, rejects = str(tmp_path / "staging"), str(tmp_path / "rejects")
+    counts = daily.load_table(spark, str(tmp_path / "landing"), store, rejects, "watchlist", "2024-02-01")
+    good = 2 * sum(i % 7 != 0 for i in range(2000))
+    assert counts == (good, 4000 - good) and scans == [2]  # one scan for each kind of file
+    assert spark.read.parquet(f"{store}/watchlist").count() == good
+    assert rows(spark.read.parquet(f"{rejects}/watchlist").groupBy("id").count()) == [("x", 4000 - good)]
+
+
+def test_only_the_kinds_of_files_that_are_there_are_planned(spark, tmp_path):
+    from watchlytics.sources import loading
+
+    (tmp_path / "export.csv").write_text("id\n1\n")
+    assert loading.kinds_of_files(spark, str(tmp_path)) == [False]
+    (tmp_path / "+lines-00.csv").write_text("id\n1\n")
+    assert loading.kinds_of_files(spark, [str(tmp_path)]) == [True, False]
+    assert loading.kinds_of_files(spark, str(tmp_path / "+*")) == [True]
+    assert loading.kinds_of_files(spark, str(tmp_path / "none")) == [True, False]
+    assert set(PARTITIONS) == {"fact_viewing_sessions", "mart_user_engagement"}

@@ -2,15 +2,19 @@
 
 import datetime as dt
 
+import pytest
 from conftest import rows
 from frames import frame, session, title, user
 
+from pyspark.sql import functions as F
+
 from watchlytics import schemas
 from watchlytics.__main__ import main
 from watchlytics.plans.daily import run_daily
 from watchlytics.plans.models import Parameters
 from watchlytics.sources import landing
-from watchlytics.streaming.incremental import land_incremental
+from watchlytics.sources.loading import read_text
+from watchlytics.streaming.incremental import land_incremental, store_batch
 
 
 def test_each_file_is_loaded_once(spark, tmp_path):
@@ -28,6 +32,39 @@ def test_each_file_is_loaded_once(spark, tmp_path):
     assert run() == [(dt.date(2024, 1, 1), 40), (dt.date(2024, 1, 2), 5)]
 
 
+def test_one_stream_fills_both_sinks(spark, tmp_path):
+    """Good and rejected lines of each batch; a batch that is repeated replaces its own rows in either place."""
+    folder = tmp_path / "raw" / "postgres" / "watchlist" / "2024-01-01"
+    folder.mkdir(parents=True)
+    for k in range(3):
+        (folder / f"part{k}.csv").write_text(f"id,user_id,content_id,added_date,watched,watched_date\n{k},2,3,,True,\nx{k},2,3,,,\n")
+    out, bad, checkpoint = (str(tmp_path / part) for part in ("out", "bad", "checkpoint"))
+
+    def found():
+        return rows(spark.read.parquet(out), "id", "_load_date"), rows(spark.read.parquet(bad), "id", "bad_columns")
+
+    def run():
+        land_incremental(spark, str(tmp_path), "watchlist", out, checkpoint, max_files=1, rejects=bad).awaitTermination()
+        return found()
+
+    day = dt.date(2024, 1, 1)
+    want = [(k, day) for k in range(3)], [(f"x{k}", ["id"]) for k in range(3)]
+    assert run() == want == run()
+    batches = {r[0] for r in rows(spark.read.parquet(out), "_batch")}
+    assert len(batches) >= 3
+    lines = read_text(spark, str(folder / "part1.csv"), "watchlist").withColumn("_load_date", F.lit(day))
+    again = next(r._batch for r in spark.read.parquet(out).where("id = 1").collect())
+    for _ in range(2):
+        store_batch(lines, again, "watchlist", out, bad, str(tmp_path / "work"))
+        assert found() == want
+
+
+def test_a_folder_of_a_file_sink_is_refused(spark, tmp_path):
+    (tmp_path / "out" / "_spark_metadata").mkdir(parents=True)
+    with pytest.raises(ValueError):
+        land_incremental(spark, str(tmp_path), "users", str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+
+
 def test_bad_lines_do_not_stop_the_stream(spark, tmp_path):
     folder = tmp_path / "raw" / "postgres" / "watchlist" / "2024-01-01"
     folder.mkdir(parents=True)

@@ -9,7 +9,7 @@ from watchlytics.plans.daily import run_daily
 from watchlytics.plans.extract import run_extract
 from watchlytics.plans.models import Parameters
 from watchlytics.session import build_session
-from watchlytics.streaming.incremental import land_incremental, reject_incremental
+from watchlytics.streaming.incremental import land_incremental
 
 
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
@@ -52,10 +52,8 @@ def main(argv: list[str] | None = None) -> None:
         }
         run_extract(spark, source, args.landing, args.as_of, args.partitions).show(truncate=False)
     elif args.job == "load":
-        land_incremental(spark, args.landing, args.table, args.out, args.checkpoint).awaitTermination()
-        if args.rejects:
-            checkpoint = args.checkpoint.rstrip("/") + "-rejects"
-            reject_incremental(spark, args.landing, args.table, args.rejects, checkpoint).awaitTermination()
+        stream = land_incremental(spark, args.landing, args.table, args.out, args.checkpoint, rejects=args.rejects)
+        stream.awaitTermination()
     else:
         parameters = Parameters(
             as_of=args.as_of,

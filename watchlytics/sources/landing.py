@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from watchlytics.schemas import TABLES
@@ -75,6 +76,20 @@ def exists(spark: SparkSession, path: str) -> bool:
     return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
+def observed(seen: Observation) -> dict:
+    """What was observed while a frame was written; nothing where Spark knew it to be empty and ran no task."""
+    try:
+        return seen.get
+    except Py4JJavaError:
+        return {}
+
+
+def make(spark: SparkSession, path: str) -> None:
+    """Make a folder, if it is not there."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(place)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Remove a folder and what it holds, if it is there."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -97,7 +112,7 @@ def land_all_tables(
         else:
             seen = Observation(f"land_{name}")
             land_csv_dated(df.observe(seen, F.count(F.lit(1)).alias("n")), root, name, as_of)
-            written = seen.get["n"]
+            written = observed(seen).get("n", 0)
         counts.append((name, written))
     return spark.createDataFrame(counts, "table_name string, row_count bigint")
 

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from watchlytics.schemas import TABLES, spark_type
-from watchlytics.sources.landing import OWN_FILES, unescaped
+from watchlytics.sources.landing import OWN_FILES, observed, unescaped
 
 BROKEN = "_broken"
 FILE = "_file"
@@ -44,6 +46,19 @@ def text_schema(table: str) -> str:
     return ", ".join(f"{c} string" for c in [*TABLES[table], BROKEN])
 
 
+def kinds_of_files(spark: SparkSession, path: str | list[str]) -> list[bool]:
+    """Which files lie at the paths, by their names: own (True), foreign (False); both if there are none at all."""
+    kinds = set()
+    for place in [path] if isinstance(path, str) else path:
+        pattern = spark._jvm.org.apache.hadoop.fs.Path(place)
+        system = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+        for found in system.globStatus(pattern) or ():
+            files = system.listStatus(found.getPath()) if found.isDirectory() else [found]
+            names = [f.getPath().getName() for f in files]
+            kinds |= {n.startswith(OWN_FILES) for n in names if not n.startswith(("_", "."))}
+    return sorted(kinds, reverse=True) or [True, False]
+
+
 def _undone(lines: DataFrame, table: str) -> DataFrame:
     return lines.withColumns({c: unescaped(F.col(c)) for c, t in TABLES[table].items() if _is_text(t)})
 
@@ -57,16 +72,16 @@ def read_text(
 ) -> DataFrame:
     """Landed lines of ``table``, every field still text, with the path of their file as ``FILE``.
 
-    Files of this library and foreign ones may lie side by side.
+    Files of this library and foreign ones may lie side by side; a kind that is not there is not planned for.
     """
     parts = []
-    for own in (True, False):
+    for own in (True, False) if stream else kinds_of_files(spark, path):
         reader = (spark.readStream if stream else spark.read).schema(text_schema(table)).options(**csv_options(own))
         if max_files:
             reader = reader.option("maxFilesPerTrigger", max_files)
         lines = reader.csv(path).withColumn(FILE, F.col("_metadata.file_path"))
         parts.append(_undone(lines, table) if own else lines)
-    return parts[0].unionByName(parts[1])
+    return reduce(DataFrame.unionByName, parts)
 
 
 def load_filename_pattern(df: DataFrame, pattern: str) -> DataFrame:
@@ -133,6 +148,31 @@ def load_reject_bad_rows(raw: DataFrame, table: str) -> tuple[DataFrame, DataFra
     return good_rows(raw, table), rejected_rows(raw, table)
 
 
+class Parsed:
+    """Landed lines parsed once: typed rows and rejected lines, read from what that one pass wrote.
+
+    The lines are converted and written to ``folder`` in one job, cut by a partition column into accepted and rejected
+    ones, and counted on the way. Reading either kind opens only its files, and never the landed ones again.
+    """
+
+    def __init__(self, raw: DataFrame, table: str, folder: str, keep: tuple[str, ...] = ()):
+        self.folder, seen = folder, Observation()
+        lines = parsed(raw, table).withColumn("_accepted", _fits())
+        wide = lines.select(
+            *(F.when(F.col("_accepted"), F.col(f"_row.{c}")).alias(c) for c in TABLES[table]),
+            *(F.when(F.col("_accepted"), F.col(c)).alias(c) for c in keep),
+            F.when(~F.col("_accepted"), F.struct(*raw.columns, F.col("_faults").alias("bad_columns"))).alias("_line"),
+            "_accepted",
+        )
+        counted = wide.observe(seen, F.count_if("_accepted").alias("accepted"), F.count_if(~F.col("_accepted")).alias("rejected"))
+        counted.write.mode("overwrite").partitionBy("_accepted").parquet(folder)
+        counts = observed(seen)
+        self.accepted, self.rejected = counts.get("accepted", 0), counts.get("rejected", 0)
+        stored = raw.sparkSession.read.schema(wide.schema).parquet(folder)
+        self.good = stored.where("_accepted").drop("_line", "_accepted")
+        self.bad = stored.where("NOT _accepted").select("_line.*")
+
+
 def load_csv_typed(spark: SparkSession, path: str | list[str], table: str) -> DataFrame:
     """Typed rows of landed files; lines that do not fit are left out."""
     return good_rows(read_text(spark, path, table), table)
