@@ -90,6 +90,15 @@ def test_other_kinds_are_refused(own):
             piece_bpe.Codec(other.SerializeToString())
 
 
+@pytest.mark.parametrize("limit", [0, 5, 10**6])
+def test_both_agendas_give_the_same(library, monkeypatch, limit):
+    monkeypatch.setattr(piece_bpe, "LIST_UP_TO", limit)
+    fresh = piece_bpe.Codec(piece_bpe.read_model(piece_bpe.default_model()))
+    random.seed(14)
+    texts = [*EDGES, *("".join(random.choices("aeinrstlo ▁é漢.,", k=random.randrange(40))) for _ in range(2000))]
+    assert [fresh.encode(t) for t in texts] == library.encode(texts, add_bos=True, add_eos=True)
+
+
 def test_long_stretch_takes_no_square_time(own, library):
     text = "ab" * 150_000
     begin = time.perf_counter()
@@ -99,10 +108,10 @@ def test_long_stretch_takes_no_square_time(own, library):
 
 
 def test_memory_is_bounded(own, monkeypatch):
-    monkeypatch.setattr(piece_bpe, "MEMORY", 5)
+    monkeypatch.setattr(piece_bpe, "STRETCHES", 10)
     small = piece_bpe.Codec(piece_bpe.read_model(piece_bpe.default_model()))
     text = " ".join(f"word{i} again" for i in range(50))
-    assert small.encode(text) == own.encode(text) and len(small.memory) <= 5
+    assert small.encode(text) == own.encode(text) and len(small.memory) <= 5 and len(small.memory.older) <= 5
 
 
 def test_query_on_whole_documents(spark, library):

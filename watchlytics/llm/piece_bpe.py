@@ -1,8 +1,7 @@
 """SentencePiece vocabularies of merge type: encode by a score-ordered agenda of adjacent symbol pairs, decode by pieces.
 
 A text becomes one row of characters, with U+2581 for spaces and one before the text. The agenda holds every
-adjacent pair whose joined string is a piece; the highest score comes first, the leftmost among equals; entries whose
-symbols have changed since are skipped. Characters left that are no piece become their bytes. The text is
+adjacent pair whose joined string is a piece; the highest score comes first, the leftmost among equals. Characters left that are no piece become their bytes. The text is
 cut beforehand only where no piece of the vocabulary can reach over: between two characters that stand side by side
 in no piece.
 
@@ -24,14 +23,14 @@ import hashlib
 import re
 from array import array
 from collections.abc import Iterable, Iterator
-from heapq import heapify, heappop, heappush
-from itertools import chain, groupby
+from heapq import heappop, heappush
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from watchlytics.llm.bpe import MEMORY, MEMORY_PIECE, _lists
+from watchlytics.llm.bpe import _lists
 from watchlytics.llm.common import bound_batches, free_name
 
 MARK = "▁"
@@ -54,20 +53,41 @@ def read_model(path: str) -> bytes:
         return file.read()
 
 
+#: Symbols of a stretch whose agenda is a list; longer ones have a heap. Both give the same.
+LIST_UP_TO = 32
+NO_JOIN = 1 << 62
+#: A symbol joined to its left neighbour: forms no pair any more.
+GONE = -(1 << 40)
+#: Characters of no piece are numbered from here down.
+UNKNOWN_FROM = -(1 << 41)
+#: Stretches kept with their ids in one worker, half of them older; only stretches of up to so many characters.
+STRETCHES, LONGEST_KEPT = 1_000_000, 48
+
+
 class Memory(dict):
-    """Packed ids of the stretches met so far; long ones are never kept."""
+    """Packed ids of the stretches met of late; long ones are never kept.
 
-    def __init__(self, merged, pairs: set[tuple[str, str]]):
-        self.merged, self.pairs = merged, pairs
+    Full, it becomes the ``older`` half and begins anew; what is met again comes back from there.
+    """
+
+    def __init__(self, merged, pairs: set[str]):
+        self.merged, self.pairs, self.older = merged, pairs, {}
 
     def __missing__(self, stretch: str) -> bytes:
-        cuts = [i for i, pair in enumerate(zip(stretch, stretch[1:]), 1) if pair not in self.pairs]
-        if cuts:
-            found = b"".join(self[stretch[a:b]] for a, b in zip([0, *cuts], [*cuts, len(stretch)]))
-        else:
-            found = array("I", self.merged(stretch)).tobytes()
-        if len(stretch) <= MEMORY_PIECE:
-            if len(self) >= MEMORY:
+        found = self.older.get(stretch)
+        if found is None:
+            if stretch.lstrip(MARK).isalpha():  # a word is rarely cut further
+                found = array("I", self.merged(stretch)).tobytes()
+            else:
+                pairs = self.pairs
+                cuts = [i for i in range(1, len(stretch)) if stretch[i - 1 : i + 1] not in pairs]
+                if cuts:
+                    found = b"".join([self[stretch[a:b]] for a, b in zip([0, *cuts], [*cuts, len(stretch)])])
+                else:
+                    found = array("I", self.merged(stretch)).tobytes()
+        if len(stretch) <= LONGEST_KEPT:
+            if len(self) >= STRETCHES // 2:
+                self.older = self.copy()
                 self.clear()
             self[stretch] = found
         return found
@@ -95,8 +115,19 @@ class Codec:
         self.by_bytes = trained.byte_fallback
         self.bytes_ids = {int(p.piece[3:5], 16): i for i, p in enumerate(model.pieces) if p.type == BYTE}
         self.ids = {p.piece: i for i, p in enumerate(model.pieces) if p.type == NORMAL}
+        # Characters that are only part of longer pieces get numbers after all ids.
+        self.characters = sorted({c for p in self.ids for c in p} - self.ids.keys())
+        self.numbers = self.ids | {c: len(kinds) + i for i, c in enumerate(self.characters)}
+        #: Any two symbols that make a piece -> (rank of its score, its id) in one number; the highest score ranks first.
+        self.size = len(kinds) + len(self.characters) + 1
         order = {s: r for r, s in enumerate(sorted({p.score for p in model.pieces}, reverse=True))}
-        self.ranks = {p.piece: order[p.score] for p in model.pieces if p.type == NORMAL}
+        self.joins = {}
+        for p in model.pieces:
+            if p.type == NORMAL:
+                for i in range(1, len(p.piece)):
+                    left, right = self.numbers.get(p.piece[:i]), self.numbers.get(p.piece[i:])
+                    if left is not None and right is not None:
+                        self.joins[left * self.size + right] = order[p.score] * self.size + self.ids[p.piece]
         self.strings = []
         for p in model.pieces:
             if p.type == BYTE:
@@ -108,7 +139,7 @@ class Codec:
         self.hidden = frozenset(i for i, k in enumerate(kinds) if k == CONTROL)
         self.marked = frozenset(i for p, i in self.ids.items() if p.startswith(MARK))
         self.cut = re.compile(self.stretches()).findall
-        self.memory = Memory(self.merged, {pair for p in self.ids for pair in zip(p, p[1:])})
+        self.memory = Memory(self.merged, {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)})
 
     def stretches(self) -> str:
         """Pattern of the stretches no piece reaches beyond."""
@@ -123,39 +154,70 @@ class Codec:
 
     def merged(self, stretch: str) -> list[int]:
         """Ids of one stretch: always join the pair of the highest score, the leftmost first."""
-        symbols = list(stretch)
-        n, ranks = len(symbols), self.ranks
+        symbols = list(map(self.numbers.get, stretch))
+        known = None not in symbols
+        if not known:  # characters of no piece: numbers of their own, which form no pair
+            symbols = [UNKNOWN_FROM - ord(c) if s is None else s for c, s in zip(stretch, symbols)]
+        joined = self.by_list(symbols) if len(symbols) <= LIST_UP_TO else self.by_heap(symbols)
+        if known and not self.characters:
+            return joined
+        out: list[int] = []
+        for s in joined:
+            if 0 <= s < len(self.strings):
+                out.append(s)
+            elif self.by_bytes:
+                character = chr(UNKNOWN_FROM - s) if s < 0 else self.characters[s - len(self.strings)]
+                out.extend(map(self.bytes_ids.__getitem__, character.encode()))
+            else:
+                out.append(self.unknown)
+        return out
+
+    def by_list(self, symbols: list[int]) -> list[int]:
+        """A short agenda: one entry a pair, in the order of the text; its least is the next join."""
+        join, size = self.joins.get, self.size
+        agenda = [join(a * size + b, NO_JOIN) for a, b in zip(symbols, symbols[1:])]
+        while agenda:
+            best = min(agenda)
+            if best == NO_JOIN:
+                break
+            at = agenda.index(best)
+            symbols[at] = made = best % size
+            del symbols[at + 1], agenda[at]
+            if at:
+                agenda[at - 1] = join(symbols[at - 1] * size + made, NO_JOIN)
+            if at < len(agenda):
+                agenda[at] = join(made * size + symbols[at + 1], NO_JOIN)
+        return symbols
+
+    def by_heap(self, symbols: list[int]) -> list[int]:
+        """A long agenda: a heap over linked symbols; entries whose symbols have changed since are skipped."""
+        join, size, n = self.joins.get, self.size, len(symbols)
         before, after = list(range(-1, n - 1)), [*range(1, n), -1]
-        # An entry is the rank of the score * n + place of the left symbol.
-        agenda = [rank * n + at for at, (a, b) in enumerate(zip(symbols, symbols[1:])) if (rank := ranks.get(a + b)) is not None]
-        heapify(agenda)
+        # An entry is (rank of the score * n + place of the left symbol) * size + piece made.
+        agenda: list[int] = []
+
+        def enter(at: int, right: int) -> None:
+            if (found := join(symbols[at] * size + symbols[right])) is not None:
+                rank, made = divmod(found, size)
+                heappush(agenda, (rank * n + at) * size + made)
+
+        for at in range(n - 1):
+            enter(at, at + 1)
         while agenda:
-            rank, at = divmod(heappop(agenda), n)
+            entry, made = divmod(heappop(agenda), size)
+            rank, at = divmod(entry, n)
             right = after[at]
-            if right < 0 or not symbols[at] or ranks.get(symbols[at] + symbols[right]) != rank:
-                continue  # stale: one of the two symbols has changed since
-            symbols[at] = joined = symbols[at] + symbols[right]
-            symbols[right] = ""
+            if right < 0 or join(symbols[at] * size + symbols[right]) != rank * size + made:
+                continue
+            symbols[at], symbols[right] = made, GONE
             after[at] = beyond = after[right]
             after[right] = -1
             if beyond >= 0:
                 before[beyond] = at
-                if (rank := ranks.get(joined + symbols[beyond])) is not None:
-                    heappush(agenda, rank * n + at)
-            left = before[at]
-            if left >= 0 and (rank := ranks.get(symbols[left] + joined)) is not None:
-                heappush(agenda, rank * n + left)
-        out: list[int] = []
-        for symbol in symbols:
-            if symbol:
-                number = self.ids.get(symbol)
-                if number is not None:
-                    out.append(number)
-                elif self.by_bytes:
-                    out.extend(map(self.bytes_ids.__getitem__, symbol.encode()))
-                else:
-                    out.append(self.unknown)
-        return out
+                enter(at, beyond)
+            if before[at] >= 0:
+                enter(before[at], at)
+        return [s for s in symbols if s != GONE]
 
     def encode_bytes(self, text: str, bos: bool = True, eos: bool = True) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
@@ -210,12 +272,8 @@ class Shared:
 def agreeing(library, texts: list[str], packed: list[bytes], decoded: list[str], bos: bool, eos: bool) -> list[bool]:
     """Whether the library has the same ids, and the same text for them, of each text of a batch."""
     want = library.encode(texts, add_bos=bos, add_eos=eos, num_threads=1)
-    lengths = np.fromiter(map(len, want), np.int64, len(want))
-    every = np.fromiter(chain.from_iterable(want), "<u4", int(lengths.sum())).tobytes()
-    ends = (4 * np.cumsum(lengths)).tolist()
-    starts = [0, *ends[:-1]]
     back = library.decode(want, num_threads=1) if want else []
-    return [every[a:b] == p and t == d for a, b, p, t, d in zip(starts, ends, packed, back, decoded)]
+    return [array("I", w).tobytes() == p and t == d for w, p, t, d in zip(want, packed, back, decoded)]
 
 
 def encode_documents(
