@@ -13,7 +13,8 @@ join back is one whose skewed partitions adaptive execution splits.
 
 Files are written and read by Spark, so any store will do. A task writes one file and reads files one at a time, record by
 record. An archive must fit the 2 GB of one binary value. Null URLs are written as ``unknown:``, white space in URLs is
-percent-encoded, null pages are empty payloads, null keys come after all others. Repeated rows get a record each. An empty
+percent-encoded, null pages are empty payloads, null keys come after all others. Only the columns for key, URL and page are read,
+whatever others are called. Repeated rows get a record each; of records with the same key the first by record id is the response. An empty
 table gives archives without records.
 """
 

@@ -2,7 +2,8 @@
 
 ``encode_documents`` adds the token ids of every text, ``decode_documents`` the text
 of every id list; both work row by row inside map tasks, nothing is shuffled.
-Null text counts as empty and has no tokens. Equal rows give equal results.
+Null text counts as empty and has no tokens. Equal rows give equal results, an empty table gives no rows. A very long text is a
+batch of its own; it needs memory in proportion to its length, its longest piece n log n steps.
 The vocabulary file is read once on the driver and broadcast: it has a fixed size
 that does not depend on the data.
 """

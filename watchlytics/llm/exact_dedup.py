@@ -9,7 +9,8 @@ normalised bytes compared with those of the kept row; should a digest ever cover
 these bytes instead.
 
 Rows that repeat an identifier are told apart by their place, null identifiers come after all others. An empty table gives no
-rows. Extra columns of any name are neither read nor in the way.
+rows. Extra columns of any name are neither read nor in the way. Very long texts are read whole; one must fit a row.
+The kept row of a repeated identifier is its first place alone; SQL without places cannot tell such rows apart.
 
 Everything is a built-in expression. A hot text shrinks to one row per task before the state shuffle; the
 joins are ones whose skewed partitions adaptive execution splits.

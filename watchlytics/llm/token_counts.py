@@ -8,7 +8,8 @@ A token that reaches over a section's border counts once, by one of two rules: `
 section that holds most of its characters (the first among equals), ``first`` to the section of its first
 character inside any section. Tokens outside all sections are counted under section -1 with null borders. A
 character that several tokens share belongs to each of them; empty sections have no tokens. Null text has no
-sections and no rows; repeated rows get rows each.
+sections and no rows; repeated rows get rows each, an empty table gives none. Very long texts are encoded whole, in memory in
+proportion to their length.
 """
 
 from __future__ import annotations

@@ -7,7 +7,7 @@ else that of the trees.
 
 A URL without ``://`` and a null URL have an empty host and path and no rule; the trees judge them like any other. If the
 labelled URLs know one verdict only, it is given to all others, and ``allow`` if there are none. Repeated rows are judged
-alike.
+alike; very long URLs are read whole, and an empty table gives no rows.
 """
 
 from __future__ import annotations
