@@ -99,6 +99,20 @@ def test_both_agendas_give_the_same(library, monkeypatch, limit):
     assert [fresh.encode(t) for t in texts] == library.encode(texts, add_bos=True, add_eos=True)
 
 
+@pytest.mark.parametrize("options", [{}, {"FEW": 1}, {"FEW": 1, "LIST_UP_TO": 5}, {"FEW": 1, "SLICE": 100, "STRETCHES": 50, "LONGEST_KEPT": 4}])
+def test_texts_side_by_side(own, library, monkeypatch, options):
+    for name, value in options.items():
+        monkeypatch.setattr(piece_bpe, name, value)
+    fresh = piece_bpe.Codec(piece_bpe.read_model(piece_bpe.default_model()))
+    random.seed(15)
+    texts = ["".join(random.choices("aeinrstlo   ▁é漢.,\n", k=random.randrange(200))) for _ in range(3000)] + EDGES
+    want = [np.array(x, "<u4").tobytes() for x in library.encode(texts, add_bos=True, add_eos=True)]
+    assert fresh.encode_texts(texts) == want
+    assert fresh.encode_texts(texts[::-1]) == want[::-1]
+    assert fresh.encode_texts([]) == []
+    assert len(fresh.memory) <= piece_bpe.STRETCHES // 2 and all(len(s) <= piece_bpe.LONGEST_KEPT for s in fresh.memory)
+
+
 def test_long_stretch_takes_no_square_time(own, library):
     text = "ab" * 150_000
     begin = time.perf_counter()

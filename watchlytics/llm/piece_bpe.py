@@ -24,7 +24,7 @@ import re
 from array import array
 from collections.abc import Iterable, Iterator
 from heapq import heappop, heappush
-from itertools import groupby
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -53,44 +53,44 @@ def read_model(path: str) -> bytes:
         return file.read()
 
 
-#: Symbols of a stretch whose agenda is a list; longer ones have a heap. Both give the same.
-LIST_UP_TO = 32
+#: Stretches of up to so many symbols are merged side by side, longer ones by a heap each; so are those of a length that has
+#: only a few new stretches. Both give the same.
+LIST_UP_TO, FEW = 32, 16
 NO_JOIN = 1 << 62
-#: A symbol joined to its left neighbour: forms no pair any more.
-GONE = -(1 << 40)
-#: Characters of no piece are numbered from here down.
-UNKNOWN_FROM = -(1 << 41)
+#: Characters of the texts merged together, or one longer text.
+SLICE = 2_000_000
 #: Stretches kept with their ids in one worker, half of them older; only stretches of up to so many characters.
 STRETCHES, LONGEST_KEPT = 1_000_000, 48
 
 
 class Memory(dict):
-    """Packed ids of the stretches met of late; long ones are never kept.
+    """Packed ids of the stretches met of late; long ones are kept for one slice of texts only.
 
     Full, it becomes the ``older`` half and begins anew; what is met again comes back from there.
     """
 
-    def __init__(self, merged, pairs: set[str]):
-        self.merged, self.pairs, self.older = merged, pairs, {}
+    def __init__(self, merged):
+        self.merged, self.older, self.long = merged, {}, []
 
-    def __missing__(self, stretch: str) -> bytes:
-        found = self.older.get(stretch)
-        if found is None:
-            if stretch.lstrip(MARK).isalpha():  # a word is rarely cut further
-                found = array("I", self.merged(stretch)).tobytes()
+    def meet(self, stretches: set[str]) -> None:
+        """Hold the ids of all these stretches."""
+        new = []
+        for stretch in stretches.difference(self):
+            found = self.older.get(stretch)
+            if found is None:
+                new.append(stretch)
             else:
-                pairs = self.pairs
-                cuts = [i for i in range(1, len(stretch)) if stretch[i - 1 : i + 1] not in pairs]
-                if cuts:
-                    found = b"".join([self[stretch[a:b]] for a, b in zip([0, *cuts], [*cuts, len(stretch)])])
-                else:
-                    found = array("I", self.merged(stretch)).tobytes()
-        if len(stretch) <= LONGEST_KEPT:
-            if len(self) >= STRETCHES // 2:
-                self.older = self.copy()
-                self.clear()
-            self[stretch] = found
-        return found
+                self[stretch] = found
+        self.update(zip(new, self.merged(new)))
+        self.long = [s for s in new if len(s) > LONGEST_KEPT]
+
+    def shrink(self) -> None:
+        """Forget the long ones met last, and the older half if there are too many."""
+        for stretch in self.long:
+            del self[stretch]
+        if len(self) > STRETCHES // 2:
+            self.older = dict(islice(self.items(), STRETCHES // 2))
+            self.clear()
 
 
 class Codec:
@@ -115,19 +115,22 @@ class Codec:
         self.by_bytes = trained.byte_fallback
         self.bytes_ids = {int(p.piece[3:5], 16): i for i, p in enumerate(model.pieces) if p.type == BYTE}
         self.ids = {p.piece: i for i, p in enumerate(model.pieces) if p.type == NORMAL}
-        # Characters that are only part of longer pieces get numbers after all ids.
-        self.characters = sorted({c for p in self.ids for c in p} - self.ids.keys())
-        self.numbers = self.ids | {c: len(kinds) + i for i, c in enumerate(self.characters)}
-        #: Any two symbols that make a piece -> (rank of its score, its id) in one number; the highest score ranks first.
-        self.size = len(kinds) + len(self.characters) + 1
-        order = {s: r for r, s in enumerate(sorted({p.score for p in model.pieces}, reverse=True))}
-        self.joins = {}
-        for p in model.pieces:
-            if p.type == NORMAL:
-                for i in range(1, len(p.piece)):
-                    left, right = self.numbers.get(p.piece[:i]), self.numbers.get(p.piece[i:])
-                    if left is not None and right is not None:
-                        self.joins[left * self.size + right] = order[p.score] * self.size + self.ids[p.piece]
+        #: Rank of each piece's score, the highest first: two symbols join if their joined string is here.
+        order = {v: r for r, v in enumerate(sorted({p.score for p in model.pieces}, reverse=True))}
+        self.ranks = {p.piece: order[p.score] for p in model.pieces if p.type == NORMAL}
+        # The same for numbers: any two pieces side by side that make a piece, sorted, with its id and rank.
+        self.size = len(kinds)
+        pairs = []
+        for piece, rank in self.ranks.items():
+            for i in range(1, len(piece)):
+                left, right = self.ids.get(piece[:i]), self.ids.get(piece[i:])
+                if left is not None and right is not None:
+                    pairs.append((left * self.size + right, self.ids[piece], rank))
+        pairs = np.array([*sorted(pairs), (NO_JOIN, 0, 0)], np.int64)
+        self.pairs, self.makes, self.costs = (np.ascontiguousarray(c) for c in pairs.T)
+        single = {ord(p): i for p, i in self.ids.items() if len(p) == 1}
+        self.of_character = np.full(max(single, default=0) + 2, -1, np.int64)  # the last stands for all beyond
+        self.of_character[list(single)] = list(single.values())
         self.strings = []
         for p in model.pieces:
             if p.type == BYTE:
@@ -136,10 +139,10 @@ class Codec:
                 self.strings.append(trained.unk_surface.encode() if p.type == UNKNOWN else b"")
             else:
                 self.strings.append(p.piece.replace(MARK, " ").encode())
-        self.hidden = frozenset(i for i, k in enumerate(kinds) if k == CONTROL)
+        self.hidden = np.array([k == CONTROL for k in kinds])
         self.marked = frozenset(i for p, i in self.ids.items() if p.startswith(MARK))
         self.cut = re.compile(self.stretches()).findall
-        self.memory = Memory(self.merged, {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)})
+        self.memory = Memory(self.merged)
 
     def stretches(self) -> str:
         """Pattern of the stretches no piece reaches beyond."""
@@ -152,64 +155,86 @@ class Codec:
             return rf"[{MARK}{letters}]+|[^{MARK}{letters}]"
         return rf"{MARK}*[{letters}]+|{MARK}+|[^{MARK}{letters}]"
 
-    def merged(self, stretch: str) -> list[int]:
-        """Ids of one stretch: always join the pair of the highest score, the leftmost first."""
-        symbols = list(map(self.numbers.get, stretch))
-        known = None not in symbols
-        if not known:  # characters of no piece: numbers of their own, which form no pair
-            symbols = [UNKNOWN_FROM - ord(c) if s is None else s for c, s in zip(stretch, symbols)]
-        joined = self.by_list(symbols) if len(symbols) <= LIST_UP_TO else self.by_heap(symbols)
-        if known and not self.characters:
-            return joined
-        out: list[int] = []
-        for s in joined:
-            if 0 <= s < len(self.strings):
-                out.append(s)
-            elif self.by_bytes:
-                character = chr(UNKNOWN_FROM - s) if s < 0 else self.characters[s - len(self.strings)]
-                out.extend(map(self.bytes_ids.__getitem__, character.encode()))
-            else:
-                out.append(self.unknown)
-        return out
-
-    def by_list(self, symbols: list[int]) -> list[int]:
-        """A short agenda: one entry a pair, in the order of the text; its least is the next join."""
-        join, size = self.joins.get, self.size
-        agenda = [join(a * size + b, NO_JOIN) for a, b in zip(symbols, symbols[1:])]
-        while agenda:
-            best = min(agenda)
-            if best == NO_JOIN:
+    def merged(self, stretches: list[str]) -> list[bytes]:
+        """Packed ids of each stretch: always join the pair of the highest score, the leftmost first."""
+        out: list[bytes | None] = [None] * len(stretches)
+        groups: dict[int, list[int]] = {}
+        for i, length in enumerate(map(len, stretches)):
+            groups.setdefault(length, []).append(i)
+        for length, group in groups.items():
+            if length > LIST_UP_TO or len(group) < FEW:
+                continue
+            characters = np.frombuffer("".join([stretches[i] for i in group]).encode("utf-32-le"), "<u4")
+            symbols = self.of_character[np.minimum(characters, len(self.of_character) - 1)].reshape(-1, length)
+            known = (symbols >= 0).all(axis=1)
+            own = [i for i, k in zip(group, known.tolist()) if k]
+            for i, found in zip(own, self.side_by_side(np.ascontiguousarray(symbols[known].T))):
+                out[i] = found
+        return [array("I", self.by_heap(s)).tobytes() if o is None else o for s, o in zip(stretches, out)]
+
+    def joins(self, left: np.ndarray, right: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """Agenda entries (rank of the score, then place) of the pairs at ``at``, and the pieces they make."""
+        wanted = left * self.size + right
+        found = np.searchsorted(self.pairs, wanted)
+        return np.where(self.pairs[found] == wanted, self.costs[found] * length + at, NO_JOIN), self.makes[found]
+
+    def side_by_side(self, symbols: np.ndarray) -> list[bytes]:
+        """Packed ids of stretches of one length, a column of symbols each.
+
+        Every stretch has an agenda of one entry a pair, and the least entry of each is joined in the same step. Symbols are linked by
+        ``after`` and ``before``; one joined to its left neighbour becomes -1 and has no entry any more.
+        """
+        length, n = symbols.shape
+        place = np.arange(length)[:, None]
+        after, before = np.repeat(place + 1, n, axis=1), np.repeat(place - 1, n, axis=1)
+        agenda, makes = np.full((length, n), NO_JOIN), np.zeros((length, n), np.int64)
+        agenda[:-1], makes[:-1] = self.joins(symbols[:-1], symbols[1:], place[:-1], length)
+        while True:
+            best = agenda.min(axis=0)
+            column = np.flatnonzero(best < NO_JOIN)
+            if not len(column):
                 break
-            at = agenda.index(best)
-            symbols[at] = made = best % size
-            del symbols[at + 1], agenda[at]
-            if at:
-                agenda[at - 1] = join(symbols[at - 1] * size + made, NO_JOIN)
-            if at < len(agenda):
-                agenda[at] = join(made * size + symbols[at + 1], NO_JOIN)
-        return symbols
-
-    def by_heap(self, symbols: list[int]) -> list[int]:
-        """A long agenda: a heap over linked symbols; entries whose symbols have changed since are skipped."""
-        join, size, n = self.joins.get, self.size, len(symbols)
+            at = best[column] % length
+            right = after[at, column]
+            beyond = after[right, column]
+            symbols[at, column] = made = makes[at, column]
+            symbols[right, column] = -1
+            agenda[at, column] = agenda[right, column] = NO_JOIN
+            after[at, column] = beyond
+            for to_right, near in ((True, beyond), (False, before[at, column])):
+                has = np.flatnonzero((near >= 0) & (near < length))
+                c, here, other = column[has], at[has], near[has]
+                if to_right:
+                    before[other, c] = here
+                    agenda[here, c], makes[here, c] = self.joins(made[has], symbols[other, c], here, length)
+                else:
+                    agenda[other, c], makes[other, c] = self.joins(symbols[other, c], made[has], other, length)
+        left = symbols.T >= 0
+        packed = symbols.T[left].astype("<u4").tobytes()
+        ends = (4 * left.sum(axis=1).cumsum()).tolist()
+        return [packed[a:b] for a, b in zip([0, *ends], ends)]
+
+    def by_heap(self, stretch: str) -> list[int]:
+        """Ids of one stretch by a heap over linked symbols; entries whose symbols have changed since are skipped.
+
+        A symbol joined to its left neighbour becomes empty. An entry is rank of the score * n + place of the left symbol.
+        """
+        find, symbols, n = self.ranks.get, list(stretch), len(stretch)
         before, after = list(range(-1, n - 1)), [*range(1, n), -1]
-        # An entry is (rank of the score * n + place of the left symbol) * size + piece made.
         agenda: list[int] = []
 
         def enter(at: int, right: int) -> None:
-            if (found := join(symbols[at] * size + symbols[right])) is not None:
-                rank, made = divmod(found, size)
-                heappush(agenda, (rank * n + at) * size + made)
+            if (rank := find(symbols[at] + symbols[right])) is not None:
+                heappush(agenda, rank * n + at)
 
         for at in range(n - 1):
             enter(at, at + 1)
         while agenda:
-            entry, made = divmod(heappop(agenda), size)
-            rank, at = divmod(entry, n)
+            rank, at = divmod(heappop(agenda), n)
             right = after[at]
-            if right < 0 or join(symbols[at] * size + symbols[right]) != rank * size + made:
+            if right < 0 or not symbols[at] or find(symbols[at] + symbols[right]) != rank:
                 continue
-            symbols[at], symbols[right] = made, GONE
+            symbols[at], symbols[right] = symbols[at] + symbols[right], ""
             after[at] = beyond = after[right]
             after[right] = -1
             if beyond >= 0:
@@ -217,29 +242,59 @@ class Codec:
                 enter(at, beyond)
             if before[at] >= 0:
                 enter(before[at], at)
-        return [s for s in symbols if s != GONE]
+        out: list[int] = []
+        for symbol in filter(None, symbols):
+            number = self.ids.get(symbol)
+            if number is not None:
+                out.append(number)
+            elif self.by_bytes:
+                out.extend(map(self.bytes_ids.__getitem__, symbol.encode()))
+            else:
+                out.append(self.unknown)
+        return out
+
+    def encode_texts(self, texts: list[str], bos: bool = True, eos: bool = True) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers."""
+        begin, end = (i.to_bytes(4, "little") if wanted else b"" for i, wanted in ((self.bos, bos), (self.eos, eos)))
+        out, first = [], 0
+        while first < len(texts):
+            last, size = first + 1, len(texts[first])
+            while last < len(texts) and size + len(texts[last]) <= SLICE:
+                size += len(texts[last])
+                last += 1
+            cuts = [self.cut(self.prefix + t.replace(" ", MARK)) if t else [] for t in texts[first:last]]
+            self.memory.meet(set(chain.from_iterable(cuts)))
+            for stretches in cuts:
+                packed = b"".join(map(self.memory.__getitem__, stretches))
+                if not self.by_bytes:  # the library makes one id of neighbouring unknown characters
+                    ids = np.frombuffer(packed, "<u4")
+                    again = np.concatenate([[False], (ids[1:] == self.unknown) & (ids[:-1] == self.unknown)])
+                    packed = ids[~again[: len(ids)]].tobytes()
+                out.append(begin + packed + end)
+            self.memory.shrink()
+            first = last
+        return out
 
     def encode_bytes(self, text: str, bos: bool = True, eos: bool = True) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
-        packed = b"".join(map(self.memory.__getitem__, self.cut(self.prefix + text.replace(" ", MARK)))) if text else b""
-        if not self.by_bytes and text:  # the library makes one id of neighbouring unknown characters
-            ids = np.frombuffer(packed, "<u4")
-            again = np.concatenate([[False], (ids[1:] == self.unknown) & (ids[:-1] == self.unknown)])
-            packed = ids[~again].tobytes()
-        return (self.bos.to_bytes(4, "little") if bos else b"") + packed + (self.eos.to_bytes(4, "little") if eos else b"")
+        return self.encode_texts([text], bos, eos)[0]
 
     def encode(self, text: str, bos: bool = True, eos: bool = True) -> list[int]:
         return np.frombuffer(self.encode_bytes(text, bos, eos), "<u4").tolist()
 
     def decode(self, ids: Iterable[int]) -> str:
         """Text of the ids, without the space that encoding puts first."""
-        parts: list[list[int]] = []  # the bytes of a character never stand around a control id
-        for hidden, run in groupby(ids, self.hidden.__contains__):
-            if not hidden:
-                parts.append(list(run))
-        texts = [b"".join(map(self.strings.__getitem__, p)).decode("utf-8", "watchlytics-each-byte") for p in parts]
-        if self.strips and parts and parts[0][0] in self.marked:
-            texts[0] = texts[0][1:]
+        return self.decode_bytes(array("I", ids).tobytes())
+
+    def decode_bytes(self, packed: bytes) -> str:
+        """Text of ids given as little-endian unsigned 32-bit integers."""
+        ids = np.frombuffer(packed, "<u4")
+        texts, begin = [], 0  # the bytes of a character never stand around a control id
+        for end in (*np.flatnonzero(self.hidden[ids]).tolist(), len(ids)):
+            if begin < end:
+                run = ids[begin:end].tolist()
+                text = b"".join(map(self.strings.__getitem__, run)).decode("utf-8", "watchlytics-each-byte")
+                texts.append(text[1:] if self.strips and not texts and run[0] in self.marked else text)
+            begin = end + 1
         return "".join(texts)
 
 
@@ -290,10 +345,10 @@ def encode_documents(
         own = shared.codec()
         for batch in batches:
             texts = [t or "" for t in batch.column(batch.num_columns - 1).to_pylist()]
-            packed = [own.encode_bytes(t, bos, eos) for t in texts]
+            packed = own.encode_texts(texts, bos, eos)
             columns = [*(batch.column(i) for i in range(len(kept))), _lists(packed)]
             if check:
-                decoded = [own.decode(np.frombuffer(p, "<u4").tolist()) for p in packed]
+                decoded = [own.decode_bytes(p) for p in packed]
                 columns.append(pa.array(agreeing(shared.library(), texts, packed, decoded, bos, eos), pa.bool_()))
             yield pa.RecordBatch.from_arrays(columns, names=[*kept, *added])
 
@@ -337,8 +392,8 @@ def digest_documents(docs: DataFrame, model: str | None = None, key: str = "doc_
         own = shared.codec()
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            packed = [own.encode_bytes(t) for t in texts]
-            decoded = [own.decode(np.frombuffer(p, "<u4").tolist()) for p in packed]
+            packed = own.encode_texts(texts)
+            decoded = [own.decode_bytes(p) for p in packed]
             agrees = agreeing(shared.library(), texts, packed, decoded, True, True) if check else [None] * len(texts)
             columns = [
                 batch.column(0),
