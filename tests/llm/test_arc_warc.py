@@ -2,6 +2,7 @@
 
 import gzip
 import hashlib
+from pathlib import Path
 
 import pytest
 
@@ -58,6 +59,32 @@ def test_round_trip_of_awkward_pages(spark):
     assert len({r.record_id for r in rows}) == len(rows)
 
 
+@pytest.mark.parametrize("most", [1, 700, 5000])
+def test_tasks_begin_new_archives(spark, most):
+    rows = [(i, f"http://a.com/{i}", f"<p>{i % 70} " + "long words " * (i % 13 * 10) + "</p>") for i in range(300)]
+    table = pages(spark, rows).coalesce(1)
+    folder, warc = new_folder(spark, "test-arc"), new_folder(spark, "test-warc")
+    w.write_arc(table, folder, most=most)
+    files = sorted(Path(folder).glob("part-*"))
+    sizes, found = [], []
+    for file in files:
+        content = gzip.decompress(file.read_bytes())
+        sizes.append(len(content))
+        own = list(w.arc_records(file.read_bytes()))
+        assert content.startswith(b"filedesc://") and own
+        assert all(int(r.headers.get("Offset", r.offset)) == r.offset for r in own)
+        found += [r.headers["URL"] for r in own]
+    assert sorted(found) == sorted(u for _, u, _ in rows)
+    assert len(files) > 10 and max(sizes) <= most + 2200
+    w.convert(spark, folder, warc, most=most)
+    packed = [gzip.decompress(f.read_bytes()) for f in Path(warc).glob("part-*")]
+    assert len(packed) > 10 and all(c.startswith(b"WARC/1.1\r\nWARC-Type: warcinfo") for c in packed)
+    assert max(map(len, packed)) <= most + 3000
+    many = {(r.key, r.payload_digest, r.record_type, r.refers_to) for r in w.round_trip(table, most).collect()}
+    assert many == {(r.key, r.payload_digest, r.record_type, r.refers_to) for r in w.round_trip(table).collect()}
+    assert len(many) == len(rows)
+
+
 def test_empty_table(spark):
     assert w.round_trip(pages(spark, [])).count() == 0
 

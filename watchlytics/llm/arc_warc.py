@@ -11,8 +11,9 @@ every run), an ISO timestamp, a type, digests of payload and block. Of records w
 payload; smaller payloads are always responses. Only digests and keys are grouped (a hot payload shrinks to a row per task), the
 join back is one whose skewed partitions adaptive execution splits.
 
-Files are written and read by Spark, so any store will do. A task writes one file and reads files one at a time, record by
-record. An archive must fit the 2 GB of one binary value. Null URLs are written as ``unknown:``, white space in URLs is
+Files are written and read by Spark, so any store will do. A task begins a new archive when one has ``ARCHIVE_BYTES`` or more (before
+it is packed), so a file holds that and one record at most, whatever the task's share of the rows; files are read one at a time,
+record by record. Only an archive made elsewhere can be too large: packed, it must fit the 2 GB of one binary value. Null URLs are written as ``unknown:``, white space in URLs is
 percent-encoded, null pages are empty payloads, null keys come after all others. Only the columns for key, URL and page are read,
 whatever others are called. Repeated rows get a record each; of records with the same key the first by record id is the response. An empty
 table gives archives without records.
@@ -37,6 +38,9 @@ from watchlytics.session import new_folder
 LEAST_REVISIT = 100
 #: Capture time written for pages, which have none of their own.
 CAPTURED = "20240101000000"
+#: Bytes, not packed, after which a task begins its next archive, and the rows such an archive is written in.
+ARCHIVE_BYTES = 256 << 20
+SEGMENTS = 32
 #: Rows handed over at a time.
 ROWS_AT_ONCE = 500
 BYTES_AT_ONCE = 8 << 20
@@ -191,13 +195,58 @@ class _Rows:
         self.columns, self.size = [], 0
 
 
+class _Archives:
+    """The archives of one task, one after the other, as rows: every ``SEGMENTS`` rows make an archive.
+
+    A row joins records until it has its share of ``most`` bytes. The last rows of an archive that is full before may be
+    empty; they become empty lines, which end records in both formats.
+    """
+
+    def __init__(self, separator: str, most: int):
+        self.separator, self.most = separator.encode(), most
+        self.number, self.offset, self.written = -1, 0, 0
+        self.parts: list[bytes] = []
+        self.held = 0
+        self.rows = _Rows(RECORD)
+
+    def full(self) -> bool:
+        """Whether the next record belongs to a new archive, which ``begin`` must open."""
+        return self.number < 0 or self.offset >= self.most
+
+    def begin(self) -> Iterator[pa.RecordBatch]:
+        if self.number >= 0:
+            yield from self._row()
+            while self.written < SEGMENTS:
+                yield from self._row(empty=True)
+        self.number, self.offset, self.written = self.number + 1, 0, 0
+
+    def add(self, record: bytes) -> Iterator[pa.RecordBatch]:
+        self.parts.append(record)
+        self.held += len(record)
+        self.offset += len(record) + len(self.separator)
+        if self.held * SEGMENTS >= self.most:
+            yield from self._row()
+
+    def _row(self, empty: bool = False) -> Iterator[pa.RecordBatch]:
+        if self.parts or empty:
+            joined = self.separator.join(self.parts)
+            self.parts, self.held = [], 0
+            self.written += 1
+            yield from self.rows.add((joined,), len(joined))
+
+    def rest(self) -> Iterator[pa.RecordBatch]:
+        yield from self._row()
+        yield from self.rows.rest()
+
+
 def _write(records: DataFrame, path: str, separator: str) -> None:
-    """One packed file per task; each binary ``record`` is followed by the separator."""
+    """Packed files of ``SEGMENTS`` rows; each binary ``record`` is followed by the separator."""
     (
         records.select(F.col("record").cast("string").alias("value"))
         .write.option("compression", "gzip")
         .option("zlib.compress.level", "BEST_SPEED")
         .option("lineSep", separator)
+        .option("maxRecordsPerFile", SEGMENTS)
         .text(path)
     )
 
@@ -205,25 +254,24 @@ def _write(records: DataFrame, path: str, separator: str) -> None:
 RECORD = pa.schema([("record", pa.binary())])
 
 
-def write_arc(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", html: str = "html", stamp: str = CAPTURED) -> None:
+def write_arc(
+    pages: DataFrame, path: str, key: str = "page_id", url: str = "url", html: str = "html", stamp: str = CAPTURED, most: int = ARCHIVE_BYTES
+) -> None:
     """One ARC record per row, in the version 1 or 2 by turns of the files."""
     bound_batches(pages.sparkSession)
     given = pages.select(F.col(f"`{key}`").cast("long"), F.col(f"`{url}`"), F.col(f"`{html}`").cast("binary"), F.spark_partition_id())
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, offset, version, name = _Rows(RECORD), 0, "", ""
+        out, version, name = _Archives("\n", most), "", ""
         for batch in batches:
             for number, address, body, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3).to_pylist()):
-                if not version:
-                    version, name = "12"[part % 2], f"pages-{part:05d}.arc.gz"
-                    first = version_block(name, version, stamp)
-                    offset += len(first) + 1
-                    yield from rows.add((first,), len(first))
+                if out.full():
+                    yield from out.begin()
+                    version, name = "12"[(part + out.number) % 2], f"pages-{part:05d}-{out.number:05d}.arc.gz"
+                    yield from out.add(version_block(name, version, stamp))
                 block = http_response(body.as_py() or b"", number)
-                record = arc_header(clean_url(address), "0.0.0.0", stamp, "text/html", len(block), version, 200, offset, name) + block
-                offset += len(record) + 1
-                yield from rows.add((record,), len(record))
-        yield from rows.rest()
+                yield from out.add(arc_header(clean_url(address), "0.0.0.0", stamp, "text/html", len(block), version, 200, out.offset, name) + block)
+        yield from out.rest()
 
     _write(given.mapInArrow(make, "record binary"), path, "\n")
 
@@ -283,20 +331,20 @@ def warc_header(kind: str, fields: list[tuple[str, str | None]], length: int, co
     return "\r\n".join([*lines, f"Content-Type: {content_type}", f"Content-Length: {length}", "", ""]).encode()
 
 
-def write_warc(records: DataFrame, path: str) -> None:
+def write_warc(records: DataFrame, path: str, most: int = ARCHIVE_BYTES) -> None:
     """Write parsed records; those with ``refers_to`` (record id) become revisits without payload."""
     bound_batches(records.sparkSession)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, first = _Rows(RECORD), True
+        out = _Archives(END, most)
         for batch in batches:
             for r in batch.to_pylist():
-                if first:
+                if out.full():
+                    yield from out.begin()
                     body = b"software: watchlytics\r\nformat: WARC File Format 1.1\r\n"
                     about = f"urn:uuid:{uuid.uuid5(NAMESPACE, 'about ' + r['record_id'])}"
                     head = warc_header("warcinfo", [("WARC-Record-ID", f"<{about}>"), ("WARC-Date", r["captured"])], len(body), "application/warc-fields")
-                    yield from rows.add((head + body,), len(body))
-                    first = False
+                    yield from out.add(head + body)
                 again = r["refers_to"] is not None
                 block = r["head"] if again else r["head"] + r["payload"]
                 fields = [
@@ -311,13 +359,13 @@ def write_warc(records: DataFrame, path: str) -> None:
                 ]
                 kind = "application/http; msgtype=response" if r["head"] else "application/octet-stream"
                 record = warc_header("revisit" if again else "response", fields, len(block), kind) + block
-                yield from rows.add((record,), len(record))
-        yield from rows.rest()
+                yield from out.add(record)
+        yield from out.rest()
 
     _write(records.mapInArrow(make, "record binary"), path, END)
 
 
-def convert(spark: SparkSession, arc: str, warc: str, least: int = LEAST_REVISIT) -> None:
+def convert(spark: SparkSession, arc: str, warc: str, least: int = LEAST_REVISIT, most: int = ARCHIVE_BYTES) -> None:
     """Rewrite all ARC files below ``arc`` as WARC files in the folder ``warc``."""
     rank = F.struct(F.col("key").isNull().alias("nameless"), F.col("key"), F.col("record_id"))
     small = read_arc(spark, arc, with_payload=False).where(F.col("payload_bytes") >= least)
@@ -328,7 +376,7 @@ def convert(spark: SparkSession, arc: str, warc: str, least: int = LEAST_REVISIT
     again = (F.col("payload_bytes") >= least) & (F.col("response") != F.col("record_id")) & (F.length("head") > 0)
     records = records.withColumn("refers_to", F.when(again, F.col("response")))
     columns = [f.name for f in PARSED]
-    write_warc(records.withColumn("payload", F.when(F.col("refers_to").isNull(), F.col("payload"))).select(*columns, "refers_to"), warc)
+    write_warc(records.withColumn("payload", F.when(F.col("refers_to").isNull(), F.col("payload"))).select(*columns, "refers_to"), warc, most)
 
 
 READ = pa.schema(
@@ -383,12 +431,12 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     return _files(spark, path).mapInArrow(parse, READ_DDL)
 
 
-def round_trip(pages: DataFrame) -> DataFrame:
+def round_trip(pages: DataFrame, most: int = ARCHIVE_BYTES) -> DataFrame:
     """Write pages as ARC, convert to WARC, read that back: key, payload bytes and digest, type, key of the response."""
     spark = pages.sparkSession
     arc, warc = new_folder(spark, "arc"), new_folder(spark, "warc")
-    write_arc(pages, arc)
-    convert(spark, arc, warc)
+    write_arc(pages, arc, most=most)
+    convert(spark, arc, warc, most=most)
     found = stored(read_warc(spark, warc), "warc-records")
     wanted = found.where("refers_to_record IS NOT NULL").select(F.col("refers_to_record").alias("response_record")).distinct()
     responses = found.join(wanted, F.col("record_id") == F.col("response_record"), "left_semi")
