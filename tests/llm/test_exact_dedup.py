@@ -111,3 +111,25 @@ def test_a_new_text_is_compared_with_the_one_kept_earlier(spark):
     for rows, size in (([(1, "a", None, None, None)], 1), ([(2, "a longer text", None, None, None)], 1), ([(3, " a", None, None, None)], 2)):
         found = e.duplicates(placed(documents(spark, rows)), checkpoint=folder, digest=lambda text: F.lit("0")).collect()
         assert [(r.doc_id, r.keep_id, r.group_size) for r in found] == [(rows[0][0], rows[0][0], size)]
+
+
+@pytest.mark.parametrize("broken", ["update_state", "read_state"])
+def test_a_failed_call_can_be_repeated(spark, monkeypatch, tmp_path, broken):
+    """Its rows count once, whether it failed before or after the state had them; later calls see them once too."""
+    calls = [[(i, f"text {i % 4}", None, None, None) for i in range(10 * n, 10 * n + 10)] for n in range(3)]
+    folder, so_far = new_folder(spark, "test-state"), []
+    for number, rows in enumerate(calls):
+        documents(spark, rows).write.parquet(str(tmp_path / str(number)))
+        docs = placed(spark.read.parquet(str(tmp_path / str(number))))
+        if number == 1:
+            with monkeypatch.context() as patch:
+                patch.setattr(e, broken, lambda *_: 1 / 0)
+                with pytest.raises(ZeroDivisionError):
+                    e.duplicates(docs, checkpoint=folder, call="second")
+        so_far += rows
+        for _ in range(2 if number == 1 else 1):
+            found = e.duplicates(docs, checkpoint=folder, call="second" if number == 1 else None).collect()
+            want = [r for r in plain(so_far)[0] if r[0] in {d for d, *_ in rows}]
+            assert sorted(((r.doc_id, r.keep_id, r.group_size) for r in found), key=repr) == want
+    with pytest.raises(ValueError):
+        e.duplicates(docs, checkpoint=folder, call="../x")

@@ -19,6 +19,8 @@ joins are ones whose skewed partitions adaptive execution splits.
 from __future__ import annotations
 
 import math
+import re
+import uuid
 from collections.abc import Callable
 from functools import reduce
 from urllib.parse import unquote
@@ -69,7 +71,7 @@ def update_state(spark: SparkSession, ledger: DataFrame, checkpoint: str, files_
     size = place.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(place).getLength()
     settings = {PROVIDER: ROCKSDB, PARTITIONS: str(max(LEAST_PARTITIONS, math.ceil(size / PARTITION_BYTES)))}
     before = {key: spark.conf.get(key, None) for key in settings}
-    frame = spark.readStream.schema(ledger.schema).option("maxFilesPerTrigger", files_at_once).parquet(path)
+    frame = spark.readStream.schema(ledger.schema).option("recursiveFileLookup", True).option("maxFilesPerTrigger", files_at_once).parquet(path)
     best = frame.groupBy("digest").agg(F.min("row").alias("keep"), F.count("*").alias("n"))
     for key, value in settings.items():
         spark.conf.set(key, value)
@@ -102,6 +104,21 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
+def _calls(spark: SparkSession, folder: str) -> list[str]:
+    """Folders of the calls noted so far."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return [f.getPath().toString() for f in place.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(place)]
+
+
+def _moved(spark: SparkSession, old: str, new: str) -> None:
+    """A folder written whole takes its place in one step, so that no reader meets a part of it."""
+    old, new = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (old, new))
+    files = new.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(new.getParent())
+    if not files.rename(old, new):
+        raise OSError(f"{old} could not become {new}")
+
+
 def _fetched(spark: SparkSession, rows: DataFrame) -> DataFrame:
     """``rows`` (digest, row) with the normalised text found at their locators, as digest, bare, row."""
     files = [r.file for r in rows.select("row.file").distinct().toLocalIterator()]
@@ -147,23 +164,34 @@ def _different_bytes(rows: DataFrame, state: DataFrame, earlier: DataFrame | Non
     return hits, torn
 
 
-def duplicates(docs: DataFrame, checkpoint: str | None = None, digest: Callable[[Column], Column] = sha256) -> DataFrame:
+def duplicates(
+    docs: DataFrame, checkpoint: str | None = None, digest: Callable[[Column], Column] = sha256, call: str | None = None
+) -> DataFrame:
     """One row per row of ``docs`` (see ``placed``): digest, doc_id, file, place, keep_id, group_size, kept.
 
     With a ``checkpoint`` of its own the state outlives the call: rows of later calls meet those of earlier ones. The folder also
     keeps the rows of all calls (digest, identifier, locator) and the digests found to cover different bytes. The files of
-    earlier calls must still be there: texts to compare with are fetched from them.
+    earlier calls must still be there: texts to compare with are fetched from them. A call that failed may be repeated with the
+    same name ``call`` (letters, digits, hyphens) and the same rows of the same files: they count once.
     """
     spark = docs.sparkSession
     rows = _rows(docs, digest)
-    ledger = stored(rows.select("digest", "row"), "dedup-ledger")
     folder = checkpoint or new_folder(spark, "dedup-state")
-    noted, torn_before, earlier, fed = f"{folder}/rows", f"{folder}/torn", None, ledger
-    if checkpoint:  # a stream goes on only where it began, so all calls feed one folder
-        # A copy, as the folder grows below.
-        earlier = stored(spark.read.schema(ledger.schema).parquet(noted) if _exists(spark, noted) else ledger.limit(0), "dedup-earlier")
-        ledger.write.mode("append").parquet(noted)
-        fed = spark.read.schema(ledger.schema).parquet(noted)
+    noted, torn_before, earlier = f"{folder}/rows", f"{folder}/torn", None
+    if not checkpoint:
+        ledger = fed = stored(rows.select("digest", "row"), "dedup-ledger")
+    else:  # a stream goes on only where it began, so all calls feed one folder, each from a folder of its own below
+        name = call or uuid.uuid4().hex
+        if not re.fullmatch("[A-Za-z0-9-]+", name):
+            raise ValueError("the name of a call may have letters, digits and hyphens only")
+        own, schema = f"{noted}/{name}", rows.select("digest", "row").schema
+        if not _exists(spark, own):
+            rows.select("digest", "row").write.mode("overwrite").parquet(f"{noted}-new/{name}")
+            _moved(spark, f"{noted}-new/{name}", own)
+        ledger = spark.read.schema(schema).parquet(own)
+        others = [c for c in _calls(spark, noted) if c.rpartition("/")[2] != name]
+        earlier = spark.read.schema(schema).parquet(*others) if others else ledger.limit(0)
+        fed = ledger.limit(0)
         fed.stored_path = noted
     update_state(spark, fed, folder)
     state = stored(read_state(spark, folder), "dedup-groups")
