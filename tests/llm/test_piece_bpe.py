@@ -113,6 +113,40 @@ def test_texts_side_by_side(own, library, monkeypatch, options):
     assert len(fresh.memory) <= piece_bpe.STRETCHES // 2 and all(len(s) <= piece_bpe.LONGEST_KEPT for s in fresh.memory)
 
 
+def test_punctuation_makes_no_new_stretches():
+    """Each word is merged once, whatever stands before and behind it, unless a piece reaches over."""
+    fresh = piece_bpe.Codec(piece_bpe.read_model(piece_bpe.default_model()))
+    given, merged = [], fresh.memory.merged
+    fresh.memory.merged = lambda stretches: given.extend(stretches) or merged(stretches)
+    words = [f"{a}{b}{c}ation" for a in "bdfgl" for b in "aeiou" for c in "mnrst"]
+    text = " ".join(word + mark for word in words for mark in ("", ",", "!", "?", "…", ";", "”"))
+    fresh.encode(text)
+    assert len(given) <= len(words) + 20
+
+
+@pytest.mark.parametrize("slots", [1, 1 << 13, 1 << 22])
+def test_cuts_where_no_piece_reaches_over(library, monkeypatch, slots):
+    monkeypatch.setattr(piece_bpe, "SLOTS", slots)
+    fresh = piece_bpe.Codec(piece_bpe.read_model(piece_bpe.default_model()))
+    random.seed(16)
+    texts = ["".join(random.choices("aeinrst(),.' \n▁éß漢\U0001f600\x00", k=random.randrange(80))) for _ in range(1000)] + EDGES
+    stretches, upto = fresh.cut(texts)
+    stretches, begin, sides = stretches.to_pylist(), 0, set()
+    for text, end in zip(texts, upto.tolist()):
+        own = stretches[begin:end]
+        assert "".join(own) == (" " + text if text else "")
+        sides |= {(a[-1] + b[0]).replace(" ", "▁") for a, b in zip(own, own[1:])}
+        begin = end
+    assert end == len(stretches) and (len(sides) > 50 or slots == 1)
+    assert not any(side in piece for piece in fresh.ids for side in sides)
+    want = library.encode(texts, add_bos=True, add_eos=True)
+    packed = [np.array(x, "<u4").tobytes() for x in want]
+    assert fresh.encode_texts(texts) == packed
+    assert fresh.decode_texts(packed) == library.decode(want)
+    assert fresh.encode_texts(["", ""]) == 2 * [packed[texts.index("")]]
+    assert fresh.decode_texts([b"", b""]) == ["", ""] and fresh.decode_texts([]) == []
+
+
 def test_long_stretch_takes_no_square_time(own, library):
     text = "ab" * 150_000
     begin = time.perf_counter()

@@ -3,7 +3,8 @@
 A text becomes one row of characters, with U+2581 for spaces and one before the text. The agenda holds every
 adjacent pair whose joined string is a piece; the highest score comes first, the leftmost among equals. Characters left that are no piece become their bytes. The text is
 cut beforehand only where no piece of the vocabulary can reach over: between two characters that stand side by side
-in no piece.
+in no piece. Cutting, counting the distinct stretches and putting their ids together are done on arrays for many texts at
+once; only stretches that are new to a worker are merged.
 
 ``encode_documents`` adds the ids of every text, ``decode_documents`` the text of every id list, both in map tasks and
 without a shuffle. With ``check=True`` each Arrow batch is also encoded and decoded by the sentencepiece library;
@@ -20,11 +21,10 @@ from __future__ import annotations
 
 import codecs
 import hashlib
-import re
 from array import array
 from collections.abc import Iterable, Iterator
 from heapq import heappop, heappush
-from itertools import chain, islice
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -57,8 +57,11 @@ def read_model(path: str) -> bytes:
 #: only a few new stretches. Both give the same.
 LIST_UP_TO, FEW = 32, 16
 NO_JOIN = 1 << 62
-#: Characters of the texts merged together, or one longer text.
-SLICE = 2_000_000
+#: Slots of the table of neighbouring characters, a power of two, and the factor that spreads the left ones. Pairs that share a slot
+#: are only cut less often, which gives the same ids.
+SLOTS, SPREAD = 1 << 22, 8209
+#: Characters of the texts cut and merged together, or one longer text: a whole batch, as its stretches are counted once.
+SLICE = 8_000_000
 #: Stretches kept with their ids in one worker, half of them older; only stretches of up to so many characters.
 STRETCHES, LONGEST_KEPT = 1_000_000, 48
 
@@ -72,17 +75,19 @@ class Memory(dict):
     def __init__(self, merged):
         self.merged, self.older, self.long = merged, {}, []
 
-    def meet(self, stretches: set[str]) -> None:
-        """Hold the ids of all these stretches."""
+    def meet(self, stretches: list[str]) -> list[bytes]:
+        """Packed ids of all these stretches, which are distinct; they are held until ``shrink``."""
         new = []
-        for stretch in stretches.difference(self):
-            found = self.older.get(stretch)
-            if found is None:
-                new.append(stretch)
-            else:
-                self[stretch] = found
+        for stretch in stretches:
+            if stretch not in self:
+                found = self.older.get(stretch)
+                if found is None:
+                    new.append(stretch)
+                else:
+                    self[stretch] = found
         self.update(zip(new, self.merged(new)))
         self.long = [s for s in new if len(s) > LONGEST_KEPT]
+        return list(map(self.__getitem__, stretches))
 
     def shrink(self) -> None:
         """Forget the long ones met last, and the older half if there are too many."""
@@ -131,32 +136,51 @@ class Codec:
         single = {ord(p): i for p, i in self.ids.items() if len(p) == 1}
         self.of_character = np.full(max(single, default=0) + 2, -1, np.int64)  # the last stands for all beyond
         self.of_character[list(single)] = list(single.values())
-        self.strings = []
+        strings = []
         for p in model.pieces:
             if p.type == BYTE:
-                self.strings.append(bytes([int(p.piece[3:5], 16)]))
+                strings.append(bytes([int(p.piece[3:5], 16)]))
             elif p.type in (UNKNOWN, CONTROL):
-                self.strings.append(trained.unk_surface.encode() if p.type == UNKNOWN else b"")
+                strings.append(trained.unk_surface.encode() if p.type == UNKNOWN else b"")
             else:
-                self.strings.append(p.piece.replace(MARK, " ").encode())
+                strings.append(p.piece.replace(MARK, " ").encode())
+        self.surfaces = pa.array(strings, pa.large_binary())
         self.hidden = np.array([k == CONTROL for k in kinds])
-        self.marked = frozenset(i for p, i in self.ids.items() if p.startswith(MARK))
-        self.cut = re.compile(self.stretches()).findall
+        self.marked = np.array([k == NORMAL and p.piece.startswith(MARK) for k, p in zip(kinds, model.pieces)])
+        self.reach = self.reaching()
         self.memory = Memory(self.merged)
 
-    def stretches(self) -> str:
-        """Pattern of the stretches no piece reaches beyond."""
-        longer = [p for p in self.ids if len(p) > 1]
-        joined = set().union(*longer) if longer else set()
-        letters = "".join(map(re.escape, sorted(joined - {MARK})))
-        if not letters:
-            return rf"{MARK}+|[^{MARK}]"
-        if any(MARK in p.lstrip(MARK) for p in longer):
-            return rf"[{MARK}{letters}]+|[^{MARK}{letters}]"
-        return rf"{MARK}*[{letters}]+|{MARK}+|[^{MARK}{letters}]"
+    def reaching(self) -> np.ndarray:
+        """Table of the slots of any two characters that stand side by side in a piece; a space stands for the mark too."""
+        pairs = {pair for p in self.ids for pair in zip(p, p[1:])}
+        pairs |= {(a.replace(MARK, " "), b) for a, b in pairs}
+        pairs |= {(a, b.replace(MARK, " ")) for a, b in pairs}
+        table = np.zeros(SLOTS, bool)
+        for left, right in pairs:
+            table[(ord(left) * SPREAD + ord(right)) % SLOTS] = True
+        return table
+
+    def cut(self, texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+        """Stretches of the texts that no piece reaches beyond, in order, and how many there are up to the end of each text."""
+        prefix = " " if self.prefix else ""
+        joined = "".join([prefix + t if t else "" for t in texts])
+        points = np.frombuffer(joined.encode("utf-32-le"), "<u4")
+        ends = np.fromiter((len(prefix) + len(t) if t else 0 for t in texts), np.int64, len(texts)).cumsum()
+        begins = np.ones(len(points) + 1, bool)  # the last stands for the end of all
+        begins[1:-1] = ~self.reach[(points[:-1] * np.uint32(SPREAD) + points[1:]) % np.uint32(len(self.reach))]
+        begins[ends] = True
+        at = np.flatnonzero(begins)
+        if joined.isascii() or not len(points):
+            offsets = at
+        else:
+            widths = np.add(points >= 0x80, 1, dtype=np.uint8) + (points >= 0x800) + (points >= 0x10000)
+            offsets = np.concatenate([[0], np.add.reduceat(widths, at[:-1], dtype=np.int64).cumsum()])
+        buffers = [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(joined.encode())]
+        return pa.Array.from_buffers(pa.large_string(), len(at) - 1, buffers), np.searchsorted(at, ends)
 
     def merged(self, stretches: list[str]) -> list[bytes]:
         """Packed ids of each stretch: always join the pair of the highest score, the leftmost first."""
+        stretches = [s.replace(" ", MARK) for s in stretches]
         out: list[bytes | None] = [None] * len(stretches)
         groups: dict[int, list[int]] = {}
         for i, length in enumerate(map(len, stretches)):
@@ -262,19 +286,30 @@ class Codec:
             while last < len(texts) and size + len(texts[last]) <= SLICE:
                 size += len(texts[last])
                 last += 1
-            cuts = [self.cut(self.prefix + t.replace(" ", MARK)) if t else [] for t in texts[first:last]]
-            self.memory.meet(set(chain.from_iterable(cuts)))
-            for stretches in cuts:
-                packed = b"".join(map(self.memory.__getitem__, stretches))
+            for packed in self.slice_ids(texts[first:last]):
                 if not self.by_bytes:  # the library makes one id of neighbouring unknown characters
                     ids = np.frombuffer(packed, "<u4")
                     again = np.concatenate([[False], (ids[1:] == self.unknown) & (ids[:-1] == self.unknown)])
                     packed = ids[~again[: len(ids)]].tobytes()
                 out.append(begin + packed + end)
-            self.memory.shrink()
             first = last
         return out
 
+    def slice_ids(self, texts: list[str]) -> Iterator[bytes]:
+        """Packed ids of each text; the texts are cut, and the ids of their stretches put together, in one go."""
+        stretches, upto = self.cut(texts)
+        coded = stretches.dictionary_encode()
+        which = coded.indices.to_numpy()
+        packed = self.memory.meet(coded.dictionary.to_pylist())
+        self.memory.shrink()
+        sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
+        count = sizes[which]
+        ends = np.concatenate([[0], count.cumsum()])
+        place = np.repeat((sizes.cumsum() - sizes)[which] - ends[:-1], count) + np.arange(ends[-1])
+        ids = np.frombuffer(b"".join(packed), "<u4")[place].tobytes()
+        bounds = [0, *(4 * ends[upto]).tolist()]
+        return (ids[a:b] for a, b in zip(bounds, bounds[1:]))
+
     def encode_bytes(self, text: str, bos: bool = True, eos: bool = True) -> bytes:
         return self.encode_texts([text], bos, eos)[0]
 
@@ -287,15 +322,29 @@ class Codec:
 
     def decode_bytes(self, packed: bytes) -> str:
         """Text of ids given as little-endian unsigned 32-bit integers."""
-        ids = np.frombuffer(packed, "<u4")
-        texts, begin = [], 0  # the bytes of a character never stand around a control id
-        for end in (*np.flatnonzero(self.hidden[ids]).tolist(), len(ids)):
-            if begin < end:
-                run = ids[begin:end].tolist()
-                text = b"".join(map(self.strings.__getitem__, run)).decode("utf-8", "watchlytics-each-byte")
-                texts.append(text[1:] if self.strips and not texts and run[0] in self.marked else text)
-            begin = end + 1
-        return "".join(texts)
+        return self.decode_texts([packed])[0]
+
+    def decode_texts(self, packed: list[bytes]) -> list[str]:
+        """Text of each list of ids given as little-endian unsigned 32-bit integers."""
+        ids = np.frombuffer(b"".join(packed), "<u4")
+        surfaces = self.surfaces.take(pa.array(ids))
+        _, places, data = (b or pa.py_buffer(bytes(8)) for b in surfaces.buffers())
+        places = np.frombuffer(places, np.int64)
+        hidden = np.flatnonzero(self.hidden[ids]).tolist()
+        out, begin, h = [], 0, 0
+        for end in np.fromiter((len(p) // 4 for p in packed), np.int64, len(packed)).cumsum().tolist():
+            texts = []  # the bytes of a character never stand around a control id
+            while begin < end:
+                stop = end
+                if h < len(hidden) and hidden[h] < end:
+                    stop, h = hidden[h], h + 1
+                if begin < stop:
+                    text = data[places[begin] : places[stop]].to_pybytes().decode("utf-8", "watchlytics-each-byte")
+                    texts.append(text[1:] if self.strips and not texts and self.marked[ids[begin]] else text)
+                begin = stop + 1
+            out.append("".join(texts))
+            begin = end
+        return out
 
 
 _codecs: dict[str, tuple] = {}
@@ -348,7 +397,7 @@ def encode_documents(
             packed = own.encode_texts(texts, bos, eos)
             columns = [*(batch.column(i) for i in range(len(kept))), _lists(packed)]
             if check:
-                decoded = [own.decode_bytes(p) for p in packed]
+                decoded = own.decode_texts(packed)
                 columns.append(pa.array(agreeing(shared.library(), texts, packed, decoded, bos, eos), pa.bool_()))
             yield pa.RecordBatch.from_arrays(columns, names=[*kept, *added])
 
@@ -369,7 +418,7 @@ def decode_documents(docs: DataFrame, ids: str = "ids", text: str = "decoded", m
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.codec()
         for batch in batches:
-            texts = pa.array([own.decode(x or ()) for x in batch.column(place).to_pylist()], pa.string())
+            texts = pa.array(own.decode_texts([array("I", x or ()).tobytes() for x in batch.column(place).to_pylist()]), pa.string())
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(kept))), texts], names=[*kept, text])
 
     picked = docs.select(*(F.col(f"`{c}`") for c in kept))
@@ -393,7 +442,7 @@ def digest_documents(docs: DataFrame, model: str | None = None, key: str = "doc_
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             packed = own.encode_texts(texts)
-            decoded = [own.decode_bytes(p) for p in packed]
+            decoded = own.decode_texts(packed)
             agrees = agreeing(shared.library(), texts, packed, decoded, True, True) if check else [None] * len(texts)
             columns = [
                 batch.column(0),
