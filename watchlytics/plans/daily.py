@@ -16,7 +16,7 @@ from watchlytics.plans.models import PARTITIONS, Parameters, application_views,
 from watchlytics.schemas import TABLES, ddl
 from watchlytics.session import new_folder
 from watchlytics.sources.landing import exists, landing_path, observed, remove
-from watchlytics.sources.loading import Parsed, load_default_loaded_at, read_text
+from watchlytics.sources.loading import Parsed, kinds_of_files, load_default_loaded_at, read_text
 from watchlytics.sources.staging_store import day_path, materialize, reload_day
 
 #: Tables loaded, and models written, at the same time: small ones leave tasks free.
@@ -36,7 +36,7 @@ def load_table(spark: SparkSession, landing: str, store: str, rejected: str, tab
         remove(spark, day_path(f"{store}/{table}", as_of))
         remove(spark, day_path(f"{rejected}/{table}", as_of))
         return 0, 0
-    both = Parsed(read_text(spark, path, table), table, new_folder(spark, f"parsed-{table}"))
+    both = Parsed(read_text(spark, path, table, kinds=kinds_of_files(spark, path)), table, new_folder(spark, f"parsed-{table}"))
     if both.rejected:
         reload_day(both.bad, f"{rejected}/{table}", as_of)
     else:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
@@ -68,14 +69,19 @@ def _is_text(declared: str) -> bool:
 
 
 def read_text(
-    spark: SparkSession, path: str | list[str], table: str, stream: bool = False, max_files: int | None = None
+    spark: SparkSession,
+    path: str | list[str],
+    table: str,
+    stream: bool = False,
+    max_files: int | None = None,
+    kinds: Sequence[bool] = (True, False),
 ) -> DataFrame:
     """Landed lines of ``table``, every field still text, with the path of their file as ``FILE``.
 
-    Files of this library and foreign ones may lie side by side; a kind that is not there is not planned for.
+    Files of this library and foreign ones may lie side by side; only the ``kinds`` given (see ``kinds_of_files``) are planned for.
     """
     parts = []
-    for own in (True, False) if stream else kinds_of_files(spark, path):
+    for own in kinds:
         reader = (spark.readStream if stream else spark.read).schema(text_schema(table)).options(**csv_options(own))
         if max_files:
             reader = reader.option("maxFilesPerTrigger", max_files)
@@ -175,7 +181,7 @@ class Parsed:
 
 def load_csv_typed(spark: SparkSession, path: str | list[str], table: str) -> DataFrame:
     """Typed rows of landed files; lines that do not fit are left out."""
-    return good_rows(read_text(spark, path, table), table)
+    return good_rows(read_text(spark, path, table, kinds=kinds_of_files(spark, path)), table)
 
 
 def load_default_loaded_at(df: DataFrame, as_of: dt.datetime | str) -> DataFrame:
